@@ -88,3 +88,174 @@ SELECT team_id, team_name, gameweek, fixture, difficulty,
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY team_id ORDER BY gameweek NULLS FIRST,
         fixture NULLS FIRST, difficulty NULLS FIRST) AS fixture_order FROM g_upcoming) ranked
 WHERE fixture_order <= 5""", "g_upcoming")
+
+# ---- projections and scalar functions -----------------------------------------------
+from aurum.registry.oracle import DAVG2, DSUM2, R  # noqa: E402
+
+ORACLE["project_rename"] = """
+SELECT c_custkey AS player_id, c_name AS display_name, CAST(c_nationkey AS BIGINT) AS team_id,
+       c_acctbal AS balance, c_mktsegment AS segment FROM customer"""
+
+ORACLE["star_expand"] = """
+SELECT a.*, o.o_orderdate, o.o_orderpriority
+FROM (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey) a
+JOIN orders o ON a.l_orderkey = o.o_orderkey"""
+
+ORACLE["derived_arith"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1 - l_discount) AS net_price,
+       l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge, l_orderkey + l_partkey AS key_sum,
+       l_quantity - l_linenumber AS qty_delta
+FROM lineitem"""
+
+ORACLE["guarded_ratio"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_discount > 0 THEN {R('l_tax / l_discount')} ELSE 0.0::DOUBLE END AS tax_per_discount,
+  CASE WHEN l_quantity > 0 THEN {R('l_extendedprice / l_quantity')} ELSE 0.0::DOUBLE END AS unit_price
+FROM lineitem"""
+
+ORACLE["nullif_ratio"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+  {R('l_quantity * 1.0::DOUBLE / NULLIF(l_linenumber - 1, 0)')} AS qty_per_extra_line
+FROM lineitem"""
+
+ORACLE["weighted_score"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+  {R('l_quantity * 2.0::DOUBLE + l_discount * 1.5::DOUBLE + l_tax * 3.0::DOUBLE + l_extendedprice * 0.05::DOUBLE + (5 - l_linenumber) * 2.0::DOUBLE')} AS score
+FROM lineitem"""
+
+ORACLE["string_concat"] = """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END || ' ' || c_mktsegment AS label,
+       c_mktsegment || ' (H)' AS tag
+FROM customer"""
+
+ORACLE["round_half_up"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, {R('l_quantity / 8.0::DOUBLE')} AS q8,
+       {R('-l_quantity / 8.0::DOUBLE')} AS neg_q8, {R('l_extendedprice / 1000.0::DOUBLE', 1)} AS k_price
+FROM lineitem"""
+
+ORACLE["safe_cast"] = """
+SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS prio_num,
+  TRY_CAST(o_orderpriority AS DOUBLE) AS prio_text,
+  TRY_CAST(CAST(o_orderkey % 10 AS VARCHAR) || 'd' AS DOUBLE) AS suffixed,
+  TRY_CAST(' ' || CAST(o_orderkey % 100 AS VARCHAR) || '.5 ' AS DOUBLE) AS padded,
+  TRY_CAST(CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS DOUBLE) AS blank_or_int
+FROM orders"""
+
+ORACLE["case_map"] = """
+SELECT c_custkey, CAST(c_nationkey % 6 AS BIGINT) AS position_id,
+  CASE c_nationkey % 6 WHEN 1 THEN 'GKP' WHEN 2 THEN 'DEF' WHEN 3 THEN 'MID' WHEN 4 THEN 'FWD' END AS position
+FROM customer"""
+
+ORACLE["case_map_default"] = """
+SELECT c_custkey, status,
+  CASE status WHEN 'a' THEN 'Available' WHEN 'd' THEN 'Doubtful' WHEN 'i' THEN 'Injured'
+    WHEN 's' THEN 'Suspended' WHEN 'u' THEN 'Unavailable' WHEN 'n' THEN 'Not in Squad' ELSE 'Unknown' END
+    AS availability_label
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN substr('adisunx', CAST(c_custkey % 8 + 1 AS INTEGER), 1) END
+        AS status FROM customer) c"""
+
+ORACLE["case_bands"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, difficulty,
+  CASE WHEN difficulty <= 2 THEN 'EASY' WHEN difficulty = 3 THEN 'MEDIUM' WHEN difficulty >= 4 THEN 'HARD' END
+    AS difficulty_label,
+  CASE WHEN fin AND h > a THEN 'HOME_WIN' WHEN fin AND a > h THEN 'AWAY_WIN' WHEN fin AND h = a THEN 'DRAW' END
+    AS result
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+        CASE WHEN l_linenumber <> 7 THEN l_partkey % 6 + 1 END AS difficulty, l_linestatus = 'F' AS fin,
+        CAST(l_linenumber AS BIGINT) AS h, CAST(l_quantity AS BIGINT) % 8 AS a FROM lineitem) x"""
+
+ORACLE["coalesce_zero"] = """
+SELECT c.c_custkey, COALESCE(a.n, 0) AS n_orders, COALESCE(a.top, 0.0::DOUBLE) AS max_order
+FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS top FROM orders
+                           GROUP BY o_custkey) a ON c.c_custkey = a.o_custkey"""
+
+ORACLE["date_format_ddmmyyyy"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%d%m%Y') AS load_key, CAST(o_orderdate AS DATE) AS load_date
+FROM orders"""
+
+# ---- filters --------------------------------------------------------------------------
+ORACLE["filter_bool"] = """
+SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_returnflag <> 'N' THEN l_linestatus = 'F' END AS is_finished FROM lineitem) x
+WHERE is_finished = TRUE"""
+
+ORACLE["filter_conj"] = """
+SELECT c_custkey, c_name, c_acctbal FROM customer
+WHERE c_acctbal >= 1000.0 AND c_mktsegment = 'BUILDING' AND c_nationkey < 10"""
+
+ORACLE["having_filter"] = """
+WITH g AS (SELECT l_suppkey, count(*) AS n_lines, sum(l_quantity) AS qty FROM lineitem GROUP BY l_suppkey)
+SELECT * FROM g WHERE qty >= 15000.0"""
+
+ORACLE["scalar_subquery_min"] = W("SELECT * FROM g_next_gw", "g_next_gw")
+
+# ---- joins -----------------------------------------------------------------------------
+ORACLE["left_lookup"] = """
+SELECT c.c_custkey, c.c_name, n.n_name AS nation_name FROM customer c
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+ORACLE["role_lookup_2"] = W("""
+SELECT fixture_id, fixture_code, home_team, away_team, home_team_short, away_team_short FROM s_fixtures""",
+                            "s_fixtures")
+
+ORACLE["role_lookup_4"] = W("""
+SELECT g.id, ms.c_name AS ms_name, mc.c_name AS mc_name, mv.c_name AS mv_name, tp.c_name AS top_name
+FROM b_gameweeks g
+LEFT JOIN customer ms ON g.most_selected = ms.c_custkey
+LEFT JOIN customer mc ON g.most_captained = mc.c_custkey
+LEFT JOIN customer mv ON g.most_vice_captained = mv.c_custkey
+LEFT JOIN customer tp ON g.top_element = tp.c_custkey""", "b_gameweeks")
+
+ORACLE["join_recent_n"] = W("""
+SELECT gl.player_id, gl.gameweek, gl.total_points FROM s_live gl JOIN g_recent r ON gl.gameweek = r.gameweek_id""",
+                            "s_live", "g_recent")
+
+# ---- aggregates ------------------------------------------------------------------------
+ORACLE["agg_basic"] = """
+SELECT l_returnflag, count(*) AS n, sum(l_linenumber)::BIGINT AS lines_sum,
+       sum(CAST(l_quantity AS BIGINT))::BIGINT AS qty
+FROM lineitem GROUP BY l_returnflag"""
+
+ORACLE["agg_sum_avg_round"] = f"""
+SELECT l_suppkey, {DSUM2('l_extendedprice')} AS sum_price, {R('avg(l_quantity)')} AS avg_qty,
+       {DAVG2('l_extendedprice')} AS avg_price
+FROM lineitem GROUP BY l_suppkey"""
+
+ORACLE["agg_countif"] = """
+SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_finished,
+  count(*) FILTER (WHERE o_totalprice > 300000.0) AS n_large,
+  count(*) FILTER (WHERE o_orderstatus = 'X') AS n_none
+FROM orders GROUP BY o_orderpriority"""
+
+ORACLE["agg_conditional"] = """
+SELECT l_linestatus, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)::BIGINT AS returned,
+  sum(CASE WHEN l_discount = 0.0 THEN 1 ELSE 0 END)::BIGINT AS no_discount
+FROM lineitem GROUP BY l_linestatus"""
+
+# ---- windows, sorts, set operations --------------------------------------------------------
+ORACLE["rank_partition"] = """
+SELECT c_custkey, c_mktsegment, c_acctbal,
+  RANK() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC) AS balance_rank
+FROM customer"""
+
+ORACLE["rank_global"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+  RANK() OVER (ORDER BY l_extendedprice DESC) AS price_rank
+FROM lineitem"""
+
+ORACLE["topn_per_group"] = """
+SELECT * FROM (SELECT l_suppkey, l_orderkey, l_partkey, l_linenumber, l_shipdate, l_extendedprice,
+  ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_partkey,
+                     l_linenumber, l_shipdate) AS row_no FROM lineitem) x
+WHERE row_no <= 3"""
+
+ORACLE["topk_recent"] = W("SELECT * FROM g_recent", "g_recent")
+ORACLE["union_all"] = W("SELECT * FROM g_next_fixture", "g_next_fixture")
+ORACLE["unpivot_home_away"] = W("SELECT * FROM g_next_fixture", "g_next_fixture")
+
+ORACLE["cte_reuse"] = """
+WITH s AS (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS max_order FROM orders GROUP BY o_custkey)
+SELECT * FROM s WHERE n_orders > (SELECT avg(n_orders) FROM s)"""
+
+ORACLE["view_stacking"] = W("""
+SELECT player_id, points_per_million, points_per_90, bonus_per_start FROM g_po WHERE minutes >= 270""", "g_po")

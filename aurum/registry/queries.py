@@ -98,3 +98,296 @@ def q_differential(spark, d):
 @query("fixture_difficulty")
 def q_fixture_difficulty(spark, d):
     return G.fixture_difficulty(s_fixtures(spark, d))
+
+
+# ---- projections and scalar functions -----------------------------------------------
+from aurum.functions import scalars as X  # noqa: E402
+from aurum.operators import lookup as L  # noqa: E402
+from aurum.operators import ranking as RK  # noqa: E402
+from aurum.operators import reshape as RS  # noqa: E402
+
+
+def _t(spark, d, name):
+    return A.load(spark, d, name)
+
+
+@query("project_rename")
+def q_project_rename(spark, d):
+    c = _t(spark, d, "customer")
+    return (c.withColumnsRenamed({"c_custkey": "player_id", "c_name": "display_name",
+                                   "c_acctbal": "balance", "c_mktsegment": "segment"})
+             .select("player_id", "display_name", F.col("c_nationkey").cast("long").alias("team_id"),
+                     "balance", "segment"))
+
+
+@query("star_expand")
+def q_star_expand(spark, d):
+    li = _t(spark, d, "lineitem")
+    a = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"),
+                                     F.sum("l_quantity").alias("qty")).alias("a")
+    o = _t(spark, d, "orders").alias("o")
+    return a.join(o, F.col("a.l_orderkey") == F.col("o.o_orderkey")).select(
+        "a.*", "o.o_orderdate", "o.o_orderpriority")
+
+
+@query("derived_arith")
+def q_derived_arith(spark, d):
+    li = _t(spark, d, "lineitem")
+    net = F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        net.alias("net_price"),
+        (net * (F.lit(1) + F.col("l_tax"))).alias("charge"),
+        (F.col("l_orderkey") + F.col("l_partkey")).alias("key_sum"),
+        (F.col("l_quantity") - F.col("l_linenumber")).alias("qty_delta"))
+
+
+@query("guarded_ratio")
+def q_guarded_ratio(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     X.guarded_ratio("l_tax", "l_discount").alias("tax_per_discount"),
+                     X.guarded_ratio("l_extendedprice", "l_quantity").alias("unit_price"))
+
+
+@query("nullif_ratio")
+def q_nullif_ratio(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     X.nullif_ratio("l_quantity", F.col("l_linenumber") - 1).alias("qty_per_extra_line"))
+
+
+@query("weighted_score")
+def q_weighted_score(spark, d):
+    li = _t(spark, d, "lineitem")
+    score = X.weighted_sum([("l_quantity", 2.0), ("l_discount", 1.5), ("l_tax", 3.0),
+                            ("l_extendedprice", 0.05), (F.lit(5) - F.col("l_linenumber"), 2.0)])
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", score.alias("score"))
+
+
+@query("string_concat")
+def q_string_concat(spark, d):
+    c = _t(spark, d, "customer")
+    first = F.when(F.col("c_custkey") % 7 != 0, F.col("c_name"))
+    return c.select("c_custkey",
+                    X.strict_concat(first, F.lit(" "), "c_mktsegment").alias("label"),
+                    X.lit_concat("c_mktsegment", " (H)").alias("tag"))
+
+
+@query("round_half_up")
+def q_round_half_up(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     X.scaled("l_quantity", 8.0, 2).alias("q8"),
+                     X.round_half_up(-F.col("l_quantity") / F.lit(8.0), 2).alias("neg_q8"),
+                     X.scaled("l_extendedprice", 1000.0, 1).alias("k_price"))
+
+
+@query("safe_cast")
+def q_safe_cast(spark, d):
+    o = _t(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey",
+        X.safe_double(F.substring("o_orderpriority", 1, 1)).alias("prio_num"),
+        X.safe_double("o_orderpriority").alias("prio_text"),
+        X.safe_double(F.concat((k % 10).cast("string"), F.lit("d"))).alias("suffixed"),
+        X.safe_double(F.concat(F.lit(" "), (k % 100).cast("string"), F.lit(".5 "))).alias("padded"),
+        X.safe_double(F.when(k % 3 == 0, F.lit("")).otherwise((k % 1000).cast("string"))).alias("blank_or_int"))
+
+
+@query("case_map")
+def q_case_map(spark, d):
+    c = _t(spark, d, "customer")
+    code = (F.col("c_nationkey") % 6).cast("long")
+    return c.select("c_custkey", code.alias("position_id"), X.value_map(code, S.POSITION_NAMES).alias("position"))
+
+
+@query("case_map_default")
+def q_case_map_default(spark, d):
+    c = _t(spark, d, "customer")
+    k = F.col("c_custkey")
+    status = F.when(k % 11 != 0, F.substr(F.lit("adisunx"), (k % 8 + 1).cast("int"), F.lit(1)))
+    return c.select("c_custkey", status.alias("status"),
+                    X.value_map(status, S.AVAILABILITY_LABELS, S.UNKNOWN_AVAILABILITY).alias("availability_label"))
+
+
+@query("case_bands")
+def q_case_bands(spark, d):
+    li = _t(spark, d, "lineitem")
+    diff = F.when(F.col("l_linenumber") != 7, F.col("l_partkey") % 6 + 1)
+    fin = F.col("l_linestatus") == "F"
+    h, a = F.col("l_linenumber").cast("long"), F.col("l_quantity").cast("long") % 8
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", diff.alias("difficulty"),
+                     X.bands(diff, G.DIFFICULTY_BANDS).alias("difficulty_label"),
+                     S.match_result(fin, h, a).alias("result"))
+
+
+@query("coalesce_zero")
+def q_coalesce_zero(spark, d):
+    c = _t(spark, d, "customer")
+    agg = _t(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
+    j = c.join(agg, c["c_custkey"] == agg["o_custkey"], "left")
+    return j.select("c_custkey", X.coalesce_zero("n").alias("n_orders"),
+                    F.coalesce(F.col("top"), F.lit(0.0)).alias("max_order"))
+
+
+@query("date_format_ddmmyyyy")
+def q_date_format(spark, d):
+    o = _t(spark, d, "orders")
+    key = X.ddmmyyyy("o_orderdate")
+    return o.select("o_orderkey", key.alias("load_key"),
+                    X.date_from_name(F.concat(F.lit("orders_"), key, F.lit(".json"))).alias("load_date"))
+
+
+# ---- filters --------------------------------------------------------------------------
+@query("filter_bool")
+def q_filter_bool(spark, d):
+    li = _t(spark, d, "lineitem")
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_linestatus") == "F")
+    return (li.select("l_orderkey", "l_linenumber", "l_partkey", flag.alias("is_finished"))
+              .where(X.is_true("is_finished")))
+
+
+@query("filter_conj")
+def q_filter_conj(spark, d):
+    c = _t(spark, d, "customer")
+    return c.where((F.col("c_acctbal") >= 1000.0) & (F.col("c_mktsegment") == "BUILDING")
+                   & (F.col("c_nationkey") < 10)).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("having_filter")
+def q_having(spark, d):
+    li = _t(spark, d, "lineitem")
+    g = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"))
+    return g.where(F.col("qty") >= 15000.0)
+
+
+@query("scalar_subquery_min")
+def q_scalar_min(spark, d):
+    return G.next_period_fixtures(s_fixtures(spark, d))
+
+
+# ---- joins -----------------------------------------------------------------------------
+@query("left_lookup")
+def q_left_lookup(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return L.left_lookup(c, _t(spark, d, "nation"), "c_nationkey", "n_nationkey",
+                         {"n_name": "nation_name"}).select("c_custkey", "c_name", "nation_name")
+
+
+@query("role_lookup_2")
+def q_role_lookup_2(spark, d):
+    return s_fixtures(spark, d).select("fixture_id", "fixture_code", "home_team", "away_team",
+                                       "home_team_short", "away_team_short")
+
+
+@query("role_lookup_4")
+def q_role_lookup_4(spark, d):
+    gw = A.bronze_gameweeks(spark, d)
+    roles = {"most_selected": "ms_name", "most_captained": "mc_name",
+             "most_vice_captained": "mv_name", "top_element": "top_name"}
+    out = L.resolve_ids(gw, _t(spark, d, "customer"), "c_custkey", "c_name", roles)
+    return out.select("id", *roles.values())
+
+
+@query("join_recent_n")
+def q_join_recent(spark, d):
+    recent = G.recent_finished_periods(s_gameweeks(spark, d))
+    live = s_live(spark, d)
+    return live.join(recent, live["gameweek"] == recent["gameweek_id"]).select(
+        "player_id", "gameweek", "total_points")
+
+
+# ---- aggregates ------------------------------------------------------------------------
+@query("agg_basic")
+def q_agg_basic(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines_sum"),
+        F.sum(F.col("l_quantity").cast("long")).alias("qty"))
+
+
+@query("agg_sum_avg_round")
+def q_agg_sum_avg(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.groupBy("l_suppkey").agg(
+        G._round2_double(G._exact_sum("l_extendedprice")).alias("sum_price"),
+        F.round(F.avg("l_quantity"), 2).alias("avg_qty"),
+        G._round2_double(G._exact_avg("l_extendedprice")).alias("avg_price"))
+
+
+@query("agg_countif")
+def q_agg_countif(spark, d):
+    o = _t(spark, d, "orders")
+    return o.groupBy("o_orderpriority").agg(
+        F.count_if(F.col("o_orderstatus") == "F").alias("n_finished"),
+        F.count_if(F.col("o_totalprice") > 300000.0).alias("n_large"),
+        F.count_if(F.col("o_orderstatus") == "X").alias("n_none"))
+
+
+@query("agg_conditional")
+def q_agg_conditional(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.groupBy("l_linestatus").agg(
+        F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"),
+        F.sum(F.when(F.col("l_discount") == 0.0, 1).otherwise(0)).alias("no_discount"))
+
+
+# ---- windows, sorts, set operations --------------------------------------------------------
+@query("rank_partition")
+def q_rank_partition(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return RK.rank_by(c, "c_acctbal", ["c_mktsegment"], out="balance_rank")
+
+
+@query("rank_global")
+def q_rank_global(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_extendedprice")
+    return RK.rank_by(li, "l_extendedprice", [], out="price_rank")
+
+
+@query("topn_per_group")
+def q_topn(spark, d):
+    li = _t(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber",
+                                         "l_shipdate", "l_extendedprice")
+    order = [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_partkey").asc(),
+             F.col("l_linenumber").asc(), F.col("l_shipdate").asc()]
+    return RK.top_n_per_group(li, ["l_suppkey"], order, 3, out="row_no")
+
+
+@query("topk_recent")
+def q_topk_recent(spark, d):
+    return G.recent_finished_periods(s_gameweeks(spark, d))
+
+
+@query("union_all")
+def q_union_all(spark, d):
+    f = s_fixtures(spark, d).where(X.is_false("is_finished"))
+    home = {"team_id": F.col("home_team_id"), "opponent": F.col("away_team"),
+            "difficulty": F.col("home_difficulty"), "venue": F.lit("HOME"), "gameweek": F.col("gameweek")}
+    away = {"team_id": F.col("away_team_id"), "opponent": F.col("home_team"),
+            "difficulty": F.col("away_difficulty"), "venue": F.lit("AWAY"), "gameweek": F.col("gameweek")}
+    return RS.union_sides(f, (home, away))
+
+
+@query("unpivot_home_away")
+def q_unpivot(spark, d):
+    return G.next_fixtures(s_fixtures(spark, d))
+
+
+@query("cte_reuse")
+def q_cte_reuse(spark, d):
+    s = _t(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_order"))
+    mean = s.agg(F.avg("n_orders").alias("mean_orders"))
+    return s.join(F.broadcast(mean), s["n_orders"] > mean["mean_orders"]).drop("mean_orders")
+
+
+@query("view_stacking")
+def q_view_stacking(spark, d):
+    po = g_overview(spark, d)
+    return po.where(F.col("minutes") >= G.MIN_MINUTES).select(
+        "player_id", "points_per_million", "points_per_90", "bonus_per_start")
