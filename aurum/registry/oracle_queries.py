@@ -259,3 +259,59 @@ SELECT * FROM s WHERE n_orders > (SELECT avg(n_orders) FROM s)"""
 
 ORACLE["view_stacking"] = W("""
 SELECT player_id, points_per_million, points_per_90, bonus_per_start FROM g_po WHERE minutes >= 270""", "g_po")
+
+# ---- sources, sinks, control, upsert, streaming -------------------------------------------
+from aurum.registry.oracle import PERIOD  # noqa: E402
+
+ORACLE["scan_json_lines"] = "SELECT * FROM events"
+ORACLE["payload_explode"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem"
+ORACLE["payload_root_array"] = ORACLE["payload_explode"]
+ORACLE["struct_flatten_literal"] = W("SELECT * FROM b_live", "b_live")
+ORACLE["json_roundtrip"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+  CAST(to_json({'event_id': event_id, 'k': CAST(json_extract(props, '$.k') AS BIGINT)}) AS VARCHAR) AS encoded
+FROM events"""
+ORACLE["filename_date"] = "SELECT event_id, CAST(ts AS DATE) AS load_date FROM events"
+ORACLE["sink_landing_roundtrip"] = "SELECT o.*, (SELECT count(*) FROM orders) AS record_count FROM orders o"
+ORACLE["archive_partitioned"] = "SELECT *, DATE '2026-01-02' AS snapshot_date FROM customer"
+ORACLE["audit_append"] = W("""
+SELECT 'feed' AS data_source, 'gameweek_live' AS tablename, 'incremental' AS load_type, count(*) AS record_count,
+  CAST(gameweek AS VARCHAR) AS load_watermark, TIMESTAMP '2026-01-01 00:00:00' AS load_timestamp, 'SUCCESS' AS status
+FROM b_live GROUP BY gameweek""", "b_live")
+
+PRIORITY_WATERMARKS = f"""
+SELECT o_orderpriority AS tablename, COALESCE(max(CASE WHEN gw % 5 <> 0 THEN gw END), 0) AS latest_watermark
+FROM (SELECT o_orderpriority, {PERIOD('o_orderdate')} AS gw FROM orders) o GROUP BY o_orderpriority"""
+ORACLE["watermark_max"] = PRIORITY_WATERMARKS
+ORACLE["current_period"] = W("""
+SELECT COALESCE(min(CASE WHEN is_current = TRUE THEN gameweek_id END),
+                max(CASE WHEN is_finished = TRUE THEN gameweek_id END), 1) AS current_period
+FROM s_gameweeks""", "s_gameweeks")
+ORACLE["latest_finished_period"] = W("""
+SELECT COALESCE(max(CASE WHEN is_finished = TRUE AND is_data_final = TRUE THEN gameweek_id END), 0)
+  AS latest_final_period FROM s_gameweeks""", "s_gameweeks")
+ORACLE["watermark_advance"] = W(f"""
+SELECT w.tablename, w.latest_watermark, w.latest_watermark + 1 AS slice_from, c.cur AS slice_to,
+  c.cur > w.latest_watermark AS has_new_periods, c.fin AS next_watermark
+FROM ({PRIORITY_WATERMARKS}) w,
+  (SELECT COALESCE(min(CASE WHEN is_current THEN gameweek_id END), max(CASE WHEN is_finished THEN gameweek_id END), 1) AS cur,
+          COALESCE(max(CASE WHEN is_finished AND is_data_final THEN gameweek_id END), 0) AS fin
+   FROM s_gameweeks) c""", "s_gameweeks")
+ORACLE["incremental_slice"] = W("""
+SELECT * FROM s_live
+WHERE gameweek BETWEEN COALESCE((SELECT max(gameweek) FROM b_live WHERE gameweek <= 290), 0) + 1
+  AND (SELECT COALESCE(min(CASE WHEN is_current THEN gameweek_id END),
+                       max(CASE WHEN is_finished THEN gameweek_id END), 1) FROM s_gameweeks)""",
+                                "s_live", "b_live", "s_gameweeks")
+ORACLE["merge_upsert"] = W("""
+SELECT * REPLACE (
+  CASE WHEN gameweek > 296 AND (gameweek > 300 OR played) THEN total_points + 1 ELSE total_points END AS total_points,
+  CASE WHEN gameweek > 296 AND (gameweek > 300 OR played) THEN TIMESTAMP '2026-01-02 00:00:00'
+       ELSE TIMESTAMP '2026-01-01 00:00:00' END AS loaded_at)
+FROM s_live""", "s_live")
+ORACLE["stream_live_ingest"] = W("""
+SELECT * REPLACE (CASE WHEN gameweek > 296 THEN total_points + 1 ELSE total_points END AS total_points)
+FROM s_live""", "s_live")
+ORACLE["config_active_tables"] = """
+SELECT lower(s_name) AS table_name, CASE WHEN s_suppkey % 2 = 0 THEN 'full' ELSE 'incremental' END AS load_type
+FROM supplier WHERE s_acctbal >= 0 AND s_nationkey % 5 <> 4"""
