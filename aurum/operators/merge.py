@@ -46,8 +46,8 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     """Upsert ``source`` into the parquet table at ``target_path`` (partitioned by ``partition_col``).
 
     ``partition_col`` must be one of ``keys`` so a key never spans partitions.  The table is
-    created from the source when missing.  Returns counts of inserted+updated source rows
-    and of kept target rows in the rewritten partitions.
+    created from the source when missing.  Returns the number of source rows written
+    (inserted or updated) and of target rows kept unchanged in the rewritten partitions.
     """
     if partition_col not in keys:
         raise MergeError("the partition column must be part of the merge key")
@@ -65,22 +65,25 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
         exists = True
     except Exception:  # noqa: BLE001 - no table yet
         exists = False
-    tag = uuid.uuid4().hex[:8]
-    src_obs, kept_obs = Observation(f"merge_source_{tag}"), Observation(f"merge_kept_{tag}")
-    src = source.observe(src_obs, F.count(F.lit(1)).alias("n"))
+    mark = "__from_source"
+    src = source.select(*cols, F.lit(True).alias(mark))
     if exists:
         current = target.where(F.col(partition_col).isin(touched)).select(*cols)
         kept = current.join(source.select(*keys), list(keys), "left_anti")
-        kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("n"))
-        result = kept.unionByName(src.select(*cols))
+        result = kept.withColumn(mark, F.lit(False)).unionByName(src)
     else:
-        result = src.select(*cols)
+        result = src
     # range-partition on (period, rest of key): each writer task covers a contiguous key
     # range, so it writes few period folders, and a hot period is split over several tasks
-    # (hash-partitioning by the period alone would put a hot period in one task)
+    # (hash-partitioning by the period alone would put a hot period in one task).  Row
+    # counts are observed above the exchange so the partitioner's sampling pass is not counted.
     rest = [k for k in keys if k != partition_col]
-    (result.repartitionByRange(F.col(partition_col), *[F.col(k) for k in rest])
+    obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
+    staged = (result.repartitionByRange(F.col(partition_col), *[F.col(k) for k in rest])
+                    .observe(obs, F.count_if(F.col(mark)).alias("source_rows"),
+                             F.count_if(~F.col(mark)).alias("kept_rows")))
+    (staged.drop(mark)
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
-    return {"source_rows": int(src_obs.get.get("n", 0)),
-            "kept_rows": int(kept_obs.get.get("n", 0)) if exists else 0}
+    m = obs.get
+    return {"source_rows": int(m.get("source_rows", 0)), "kept_rows": int(m.get("kept_rows", 0))}

@@ -26,8 +26,9 @@ def landing_key(table: str, load_date: dt.date) -> str:
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """True when ``path`` exists (an existing empty table counts; no schema inference)."""
     try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018
+        spark.read.schema("__probe string").format(fmt).load(path).schema  # noqa: B018
         return True
     except AnalysisException:
         return False
