@@ -29,12 +29,24 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     The dimension is projected to the key and the needed columns before the join.
     """
-    key_alias = f"__lk_{fact_key}"
-    small = dim.select(F.col(dim_key).alias(key_alias),
-                       *[F.col(src).alias(out) for src, out in columns.items()])
-    small = bounded_broadcast(small, max_dim_rows)
-    joined = fact.join(small, fact[fact_key] == small[key_alias], how)
-    return joined.drop(key_alias)
+    return role_lookups(fact, dim, dim_key, {fact_key: columns}, how, max_dim_rows)
+
+
+def role_lookups(fact: DataFrame, dim: DataFrame, dim_key: str,
+                 roles: Mapping[str, Mapping[str, str]], how: str = "left",
+                 max_dim_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """One dimension looked up in several roles: ``roles`` maps each fact foreign key to the
+    dimension columns it adds (dim col -> out name).  The dimension's size is checked once
+    and the same (broadcast) side serves every role.
+    """
+    needed = sorted({src for cols in roles.values() for src in cols})
+    side = bounded_broadcast(dim.select(F.col(dim_key).alias("__lk"), *needed), max_dim_rows)
+    out = fact
+    for fk, cols in roles.items():
+        key = f"__lk_{fk}"
+        one = side.select(F.col("__lk").alias(key), *[F.col(src).alias(o) for src, o in cols.items()])
+        out = out.join(one, out[fk] == one[key], how).drop(key)
+    return out
 
 
 def resolve_ids(fact: DataFrame, dim: DataFrame, dim_key: str, value_col: str,
@@ -43,8 +55,9 @@ def resolve_ids(fact: DataFrame, dim: DataFrame, dim_key: str, value_col: str,
     via a left join on ``fact.fk = dim.dim_key``.
 
     The dimension is first reduced to the ids the fact references (a semi join on the
-    distinct foreign keys), so a large dimension is never shipped whole; the reduced
-    side is broadcast when its size is proven small and shuffled otherwise.
+    distinct foreign keys), so a large dimension is never shipped whole: the reduced side
+    holds at most (number of roles) x (fact rows) rows, and AQE broadcasts it at runtime
+    from its measured size (or keeps a shuffle join when it is large).
     """
     fks = list(roles)
     ids = None
@@ -54,7 +67,6 @@ def resolve_ids(fact: DataFrame, dim: DataFrame, dim_key: str, value_col: str,
     ids = ids.distinct()
     needed = (dim.select(F.col(dim_key).alias("__id"), F.col(value_col).alias("__val"))
                  .join(ids, "__id", "left_semi"))
-    needed = bounded_broadcast(needed, max_dim_rows)
     out = fact
     for fk, name in roles.items():
         side = needed.select(F.col("__id").alias(f"__id_{name}"), F.col("__val").alias(name))

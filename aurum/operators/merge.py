@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +30,17 @@ class MergeError(ValueError):
 
 
 def check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    """Fail on NULL or duplicated keys (bounded probes, computed distributed)."""
-    null_any = None
+    """Fail on NULL or duplicated keys: one grouped pass, stopped at the first offender."""
+    null_key = None
     for k in keys:
         cond = F.col(k).isNull()
-        null_any = cond if null_any is None else (null_any | cond)
-    if source.where(null_any).limit(1).count():
-        raise MergeError(f"source has NULL merge keys {list(keys)}")
-    dups = source.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
-    if dups.count():
+        null_key = cond if null_key is None else (null_key | cond)
+    bad = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                 .where((F.col("__n") > 1) | null_key).limit(1).collect())
+    if bad:
+        row = bad[0]
+        if any(row[k] is None for k in keys):
+            raise MergeError(f"source has NULL merge keys {list(keys)}")
         raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
 
 
@@ -51,6 +54,17 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     """
     if partition_col not in keys:
         raise MergeError("the partition column must be part of the merge key")
+    # the source feeds the key check, the touched-partition list, the anti join and the
+    # write: keep it for the duration of the upsert (recomputed from lineage if lost)
+    source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _merge(spark, target_path, source, keys, partition_col, validate)
+    finally:
+        source.unpersist()
+
+
+def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
+           partition_col: str, validate: bool) -> dict:
     if validate:
         check_source_keys(source, keys)
     cols = source.columns

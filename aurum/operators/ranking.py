@@ -5,12 +5,14 @@
 
 1. count rows per distinct ``(p, m)`` (partial aggregation, so a hot partition or a
    hot metric value is pre-combined map-side);
-2. split the distinct metric values into value buckets whose boundaries come from an
-   approximate quantile sketch of the distinct values (a bounded list of numbers);
-3. per ``(p, bucket)``: running count inside the bucket (a window over distinct values
-   of that bucket only) and the offset of all earlier buckets (a window over the few
-   bucket totals of ``p``);
-4. join the rank back on ``(p, m)`` with null-safe equality.
+2. split the distinct metric values into value buckets whose boundaries are approximate
+   quantiles of the distinct values -- a scalar subquery in the same plan (a bounded
+   array of numbers), so no driver round trip;
+3. per ``(p, bucket)``: running count inside the bucket (a window over the distinct
+   values of that bucket only) and the offset of all earlier buckets (a window over the
+   few bucket totals of ``p``);
+4. join the rank back on ``(p, m)`` with null-safe equality (broadcast or skew-split by
+   AQE at runtime).
 
 A plain ``Window`` would sort a whole partition (or, for a global rank, the whole table)
 in a single task.
@@ -18,69 +20,101 @@ in a single task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 32
+MIN_BUCKETS, MAX_BUCKETS = 32, 256
 
 
 def _numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.NumericType)
 
 
-def rank_by(df: DataFrame, metric: str, partition_by: Sequence[str] = (), descending: bool = True,
-            out: str = "rank", buckets: int = DEFAULT_BUCKETS, checkpoint: bool = True) -> DataFrame:
-    """Add ``out`` (bigint) = RANK() OVER (PARTITION BY partition_by ORDER BY metric [DESC]).
+def default_buckets(df: DataFrame) -> int:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * parts))
 
-    NULL metrics sort last for DESC and first for ASC (Spark's defaults); NULL partition
-    values form their own partition.
-    """
-    by = list(partition_by)
-    counts = df.groupBy(*by, metric).agg(F.count(F.lit(1)).alias("__n"))
-    if checkpoint:
-        # reliable checkpoint in the shared folder: the sketch and the plan below read it
-        # instead of recomputing the upstream aggregation, and it survives executor loss
-        counts = counts.checkpoint(eager=True)
 
+def value_bucket(counts: DataFrame, metric: str, descending: bool, buckets: int) -> Column:
+    """Bucket index, monotone in ``metric`` (non-increasing for DESC); NULL metrics last
+    for DESC and first for ASC, like the sort order of ``rank``."""
+    m = F.col(metric)
+    if buckets <= 1 or not _numeric(counts, metric):
+        return F.lit(0)
+    md = m.cast("double")
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = (counts.where(m.isNotNull() & ~F.isnan(md))
+                    .select(F.array_distinct(F.percentile_approx(md, probs, 100 * buckets)).alias("b"))
+                    .scalar())
+    # number of boundaries strictly below m (array functions only: the boundaries are a subquery)
+    below = F.array_position(F.sort_array(F.array_union(bounds, F.array(md))), md) - 1
+    if descending:
+        return F.when(m.isNull(), F.lit(buckets + 1)).otherwise(F.lit(buckets) - F.coalesce(below, F.lit(0)))
+    return F.when(m.isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
+
+
+def _rank_table(counts: DataFrame, metric: str, by: list[str], descending: bool, out: str) -> DataFrame:
+    """(by, metric) -> rank, from bucketed counts (columns: by, metric, __b, __n).
+
+    One shuffle by (by, bucket) serves the re-aggregation, the in-bucket running count and
+    the bucket totals (each only needs clustering on a superset of those columns).
+    """
+    c = (counts.repartition(*[F.col(k) for k in by], F.col("__b"))
+               .groupBy(*by, metric, "__b").agg(F.sum("__n").alias("__n")))
     m = F.col(metric)
-    bounds: list[float] = []
-    if buckets > 1 and _numeric(counts, metric):
-        probs = [i / buckets for i in range(1, buckets)]
-        qs = counts.where(m.isNotNull() & ~F.isnan(m.cast("double"))).approxQuantile(metric, probs, 1e-3)
-        bounds = sorted({float(q) for q in qs})
-    if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        mdouble = m.cast("double")
-        if descending:
-            bucket = F.when(m.isNull(), F.lit(len(bounds) + 1)).otherwise(
-                F.size(F.filter(arr, lambda b: b > mdouble)))
-        else:
-            bucket = F.when(m.isNull(), F.lit(-1)).otherwise(
-                F.size(F.filter(arr, lambda b: b < mdouble)))
-    else:
-        bucket = F.lit(0)
-    counts = counts.withColumn("__b", bucket.cast("int"))
-
     order: Column = m.desc_nulls_last() if descending else m.asc_nulls_first()
     w_in = Window.partitionBy(*by, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = counts.withColumn("__before", F.coalesce(F.sum("__n").over(w_in), F.lit(0)))
+    local = c.withColumn("__before", F.coalesce(F.sum("__n").over(w_in), F.lit(0)))
 
-    totals = counts.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
+    # bucket totals from the window's input partitioning (no extra shuffle)
+    totals = local.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
     w_off = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__bn").over(w_off), F.lit(0))).drop("__bn")
+    offsets = totals.select(*[F.col(k).alias(f"__o_{k}") for k in by + ["__b"]],
+                            F.coalesce(F.sum("__bn").over(w_off), F.lit(0)).alias("__off"))
+    if not by:
+        offsets = F.broadcast(offsets)   # at most (buckets + 2) rows
+    cond = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in by + ["__b"]]
+    return local.join(offsets, cond).select(
+        *by, metric, (F.lit(1) + F.col("__off") + F.col("__before")).cast("long").alias(out))
+
+
+def rank_columns(df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]], descending: bool = True,
+                 buckets: int | None = None) -> DataFrame:
+    """Several RANK() columns over the same ordering, e.g. within position and overall.
 
-    cond = [local[c].eqNullSafe(offsets[c]) for c in by + ["__b"]]
-    ranks = local.join(offsets, cond).select(
-        *[local[c] for c in by], local[metric],
-        (F.lit(1) + offsets["__off"] + local["__before"]).cast("long").alias(out))
+    ``ranks`` maps output name -> PARTITION BY columns.  All ranks come from one count of
+    rows per distinct (all partition columns, metric) and are joined back to ``df`` once.
+    """
+    keys: list[str] = []
+    for by in ranks.values():
+        keys += [k for k in by if k not in keys]
+    nb = buckets if buckets is not None else default_buckets(df)
+    counts = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__b", value_bucket(counts, metric, descending, nb).cast("int"))
+
+    table = counts.select(*keys, metric)
+    for out, by in ranks.items():
+        r = _rank_table(counts, metric, list(by), descending, out)
+        r = r.select(*[F.col(k).alias(f"__r_{k}") for k in list(by) + [metric]], out)
+        cond = [table[k].eqNullSafe(r[f"__r_{k}"]) for k in list(by) + [metric]]
+        table = table.join(r, cond, "left").drop(*[f"__r_{k}" for k in list(by) + [metric]])
+
+    keyed = table.select(*[F.col(k).alias(f"__k_{k}") for k in keys + [metric]], *ranks.keys())
+    cond = [df[k].eqNullSafe(keyed[f"__k_{k}"]) for k in keys + [metric]]
+    return df.join(keyed, cond, "left").drop(*[f"__k_{k}" for k in keys + [metric]])
+
+
+def rank_by(df: DataFrame, metric: str, partition_by: Sequence[str] = (), descending: bool = True,
+            out: str = "rank", buckets: int | None = None) -> DataFrame:
+    """Add ``out`` (bigint) = RANK() OVER (PARTITION BY partition_by ORDER BY metric [DESC]).
 
-    keyed = ranks.select(*[F.col(c).alias(f"__k_{c}") for c in by + [metric]], out)
-    cond = [df[c].eqNullSafe(keyed[f"__k_{c}"]) for c in by + [metric]]
-    joined = df.join(keyed, cond, "left")
-    return joined.drop(*[f"__k_{c}" for c in by + [metric]])
+    NULL metrics sort last for DESC and first for ASC (Spark's defaults); NULL partition
+    values form their own partition.
+    """
+    return rank_columns(df, metric, {out: list(partition_by)}, descending, buckets)
 
 
 def rank_window(df: DataFrame, metric: str, partition_by: Sequence[str] = (), descending: bool = True,

@@ -31,8 +31,16 @@ SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+_LOADED: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name``; the DataFrame is reused per session so the file listing
+    and footer read happen once (it stays lazy: every query still scans the files)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _LOADED[key]
 
 
 def _s(c: Column | str) -> Column:

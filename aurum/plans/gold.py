@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from aurum.functions.scalars import (bands, coalesce_zero, guarded_ratio, is_false, is_true,
                                      lit_concat, nullif_ratio, weighted_sum)
-from aurum.operators.lookup import bounded_broadcast, resolve_ids
-from aurum.operators.ranking import rank_by, recent_n, top_n_per_group
+from aurum.operators.lookup import resolve_ids
+from aurum.operators.ranking import rank_by, rank_columns, recent_n, top_n_per_group
 from aurum.operators.reshape import unpivot_sides
 
 # ---- fixed values (thresholds and weights of the published results) ---------------
@@ -77,8 +77,8 @@ def value_picks(overview: DataFrame) -> DataFrame:
         "total_points", "points_per_game", "form", "ownership_pct", "minutes", "starts",
         "goals_scored", "assists", "clean_sheets", "xgi", "points_per_million", "points_per_90",
         "bonus", "availability_label", "net_transfers_gw")
-    ranked = rank_by(base, "points_per_million", ["position"], out="value_rank_in_position")
-    return rank_by(ranked, "points_per_million", [], out="value_rank_overall")
+    return rank_columns(base, "points_per_million",
+                        {"value_rank_in_position": ["position"], "value_rank_overall": []})
 
 
 def recent_finished_periods(gameweeks: DataFrame, n: int = RECENT_PERIODS) -> DataFrame:
@@ -139,7 +139,9 @@ def next_period_fixtures(fixtures: DataFrame) -> DataFrame:
 
 def captaincy_picks(overview: DataFrame, fixtures: DataFrame, ordered: bool = False) -> DataFrame:
     p = overview.where((F.col("availability_label") == AVAILABLE) & (F.col("minutes") >= MIN_MINUTES))
-    nf = bounded_broadcast(next_period_fixtures(fixtures).withColumnRenamed("team_id", "nf_team_id"))
+    # the next period's fixtures are few per team; AQE broadcasts them from their measured
+    # size (a hot team on the player side is then never shuffled), else splits skew
+    nf = next_period_fixtures(fixtures).withColumnRenamed("team_id", "nf_team_id")
     j = p.join(nf, p["team_id"] == nf["nf_team_id"], "inner")
     wf, wp, wb, wt, wd = CAPTAINCY_WEIGHTS
     score = weighted_sum([

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions.scalars import positive_flag, safe_double, scaled, strict_concat, value_map
-from aurum.operators.lookup import left_lookup
+from aurum.operators.lookup import left_lookup, role_lookups
 
 # ---- fixed values (must equal the source system's codes) -------------------------
 # position codes 1..4 -> short position names; anything else has no position
@@ -130,8 +130,9 @@ def match_result(finished: Column, home: Column, away: Column) -> Column:
 
 def silver_fixtures(fixtures: DataFrame, teams: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """fixtures LEFT JOIN teams twice (home and away roles), result and total goals."""
-    f = left_lookup(fixtures, teams, "team_h", "id", {"name": "home_team", "short_name": "home_team_short"})
-    f = left_lookup(f, teams, "team_a", "id", {"name": "away_team", "short_name": "away_team_short"})
+    f = role_lookups(fixtures, teams, "id", {
+        "team_h": {"name": "home_team", "short_name": "home_team_short"},
+        "team_a": {"name": "away_team", "short_name": "away_team_short"}})
     fin = F.col("finished")
     return f.select(
         F.col("id").alias("fixture_id"),

@@ -22,7 +22,8 @@ def make(spark, n=3000, seed=7):
 
 
 def test_rank_by_matches_window_rank(spark):
-    df = make(spark)
+    df = make(spark).union(spark.createDataFrame([(-1, "MID", float("nan")), (-2, "MID", float("nan"))],
+                                                 "id long, grp string, m double"))
     for by in ([], ["grp"]):
         for desc in (True, False):
             a = RK.rank_by(df, "m", by, descending=desc, out="r", buckets=8)
@@ -30,20 +31,26 @@ def test_rank_by_matches_window_rank(spark):
             assert rows(a, "id", "r") == rows(b, "id", "r"), (by, desc)
 
 
-def test_rank_by_without_checkpoint_and_string_metric(spark):
+def test_rank_by_string_metric(spark):
     df = make(spark, 500).withColumn("s", F.col("m").cast("string"))
-    a = RK.rank_by(df, "s", ["grp"], out="r", checkpoint=False)
+    a = RK.rank_by(df, "s", ["grp"], out="r")
     b = RK.rank_window(df, "s", ["grp"], out="r")
     assert rows(a, "id", "r") == rows(b, "id", "r")
 
 
-def test_rank_by_plan_has_no_single_partition_exchange(spark):
+def single_partition_inputs(plan: str) -> list[str]:
+    lines = plan.splitlines()
+    return [lines[i + 1] for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+
+
+def test_rank_by_plan_has_no_single_partition_exchange_over_rows(spark):
     df = make(spark)
     plan = RK.rank_by(df, "m", [], out="r")._jdf.queryExecution().executedPlan().toString()
     window_plan = RK.rank_window(df, "m", [], out="r")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in window_plan
-    # the only single-partition step left is over the few bucket totals, never over rows
-    assert plan.count("SinglePartition") <= 1
+    assert single_partition_inputs(window_plan)
+    # only bounded inputs reach one task: partial quantile sketches and per-bucket totals
+    for child in single_partition_inputs(plan):
+        assert "partial_percentile_approx" in child or "keys=[__b" in child, child
 
 
 def test_top_n_per_group_and_group_limit(spark):
