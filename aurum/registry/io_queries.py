@@ -176,7 +176,7 @@ def q_incremental_slice(spark, d):
 @query("merge_upsert")
 def q_merge_upsert(spark, d):
     path = scratch_path(spark, "live-table")
-    live = s_live(spark, d)
+    live = s_live(spark, d).persist()   # three upserts read it; released before returning
     gw = F.col("gameweek")
     merge_upsert(spark, path, live.where(gw <= A.LAST_FINISHED), LIVE_KEYS, "gameweek")
     # corrections: the last four finished periods are re-sent (only rows with minutes) plus new periods
@@ -185,7 +185,9 @@ def q_merge_upsert(spark, d):
                .withColumn("loaded_at", F.lit("2026-01-02 00:00:00").cast("timestamp_ntz")))
     merge_upsert(spark, path, fix, LIVE_KEYS, "gameweek")
     merge_upsert(spark, path, fix, LIVE_KEYS, "gameweek")   # same source again: no change
-    return spark.read.schema(live.schema).parquet(path).select(*LIVE_COLUMNS)
+    schema = live.schema
+    live.unpersist()
+    return spark.read.schema(schema).parquet(path).select(*LIVE_COLUMNS)
 
 
 @query("stream_live_ingest")
