@@ -31,13 +31,13 @@ SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-_LOADED: dict[tuple[int, str, str], DataFrame] = {}
+_LOADED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name``; the DataFrame is reused per session so the file listing
     and footer read happen once (it stays lazy: every query still scans the files)."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _LOADED:
         _LOADED[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _LOADED[key]
@@ -93,7 +93,7 @@ def bronze_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("played"),
         F.count_if(bal >= 5000.0).alias("win"),
         F.count_if((bal >= 2000.0) & (bal < 5000.0)).alias("draw"))
-    t = (n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left")
+    t = (n.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
           .join(cs, n["n_nationkey"] == cs["c_nationkey"], "left"))
     k = F.col("n_nationkey").cast("long")
     return t.select(

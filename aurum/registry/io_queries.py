@@ -15,7 +15,7 @@ from aurum.control import loads as CL
 from aurum.operators.merge import merge_upsert
 from aurum.plans import analogs as A
 from aurum.plans.silver import LIVE_COLUMNS, LIVE_KEYS
-from aurum.registry.queries import clock, query, s_gameweeks, s_live
+from aurum.registry.queries import clock, query, t_gameweeks, t_live
 from aurum.session import scratch_path
 from aurum.sinks import writers as WR
 from aurum.sources import readers as RD
@@ -43,6 +43,16 @@ def _lines(spark, d):
     return A.load(spark, d, "lineitem").select(*LINE.fieldNames())
 
 
+DOC_SIZE = 64
+
+
+def _documents(df):
+    """Assign rows to documents of at most DOC_SIZE consecutive rows of one input split
+    (no shuffle, no window): every collected array is bounded by construction, whatever
+    the key distribution."""
+    return df.withColumn("doc", F.floor(F.monotonically_increasing_id() / F.lit(DOC_SIZE)))
+
+
 @query("scan_json_lines")
 def q_scan_json(spark, d):
     base = scratch_path(spark, "events-json")
@@ -53,9 +63,7 @@ def q_scan_json(spark, d):
 @query("payload_explode")
 def q_payload_explode(spark, d):
     base = scratch_path(spark, "order-docs")
-    # one document per order: {"l_orderkey": k, "elements": [line, ...]}; an order has at
-    # most seven lines, so every collected array is bounded
-    docs = _lines(spark, d).groupBy("l_orderkey").agg(
+    docs = _documents(_lines(spark, d)).groupBy("doc").agg(
         F.collect_list(F.struct(*LINE.fieldNames())).alias("elements"))
     docs.write.options(**WR.JSON_OPTIONS).json(base)
     return RD.explode_payload(spark, base, "elements", LINE)
@@ -64,7 +72,7 @@ def q_payload_explode(spark, d):
 @query("payload_root_array")
 def q_payload_root_array(spark, d):
     base = scratch_path(spark, "order-arrays")
-    docs = _lines(spark, d).groupBy("l_orderkey").agg(
+    docs = _documents(_lines(spark, d)).groupBy("doc").agg(
         F.to_json(F.collect_list(F.struct(*LINE.fieldNames())), WR.JSON_OPTIONS).alias("value"))
     docs.select("value").write.text(base)
     return RD.read_root_array(spark, base, LINE)
@@ -149,17 +157,17 @@ def q_watermark_max(spark, d):
 
 @query("current_period")
 def q_current_period(spark, d):
-    return CL.current_period(s_gameweeks(spark, d))
+    return CL.current_period(t_gameweeks(spark, d))
 
 
 @query("latest_finished_period")
 def q_latest_finished(spark, d):
-    return CL.latest_final_period(s_gameweeks(spark, d))
+    return CL.latest_final_period(t_gameweeks(spark, d))
 
 
 @query("watermark_advance")
 def q_watermark_advance(spark, d):
-    gws = s_gameweeks(spark, d)
+    gws = t_gameweeks(spark, d)
     cur, fin = CL.scalar(CL.current_period(gws)), CL.scalar(CL.latest_final_period(gws))
     return CL.watermark_plan(CL.latest_watermarks(_priority_audit(spark, d), SOURCE), cur, fin)
 
@@ -169,14 +177,14 @@ def q_incremental_slice(spark, d):
     counts = _live_counts(spark, d).where(F.col("gameweek") <= A.LAST_FINISHED - 10)
     audit = CL.audit_rows(counts, SOURCE, "gameweek_live", "incremental", clock(), "gameweek")
     last = CL.scalar(CL.latest_watermark(audit, "gameweek_live", SOURCE))
-    cur = CL.scalar(CL.current_period(s_gameweeks(spark, d)))
-    return CL.incremental_slice(s_live(spark, d), last, cur)
+    cur = CL.scalar(CL.current_period(t_gameweeks(spark, d)))
+    return CL.incremental_slice(t_live(spark, d), last, cur)
 
 
 @query("merge_upsert")
 def q_merge_upsert(spark, d):
     path = scratch_path(spark, "live-table")
-    live = s_live(spark, d).persist()   # three upserts read it; released before returning
+    live = t_live(spark, d)
     gw = F.col("gameweek")
     merge_upsert(spark, path, live.where(gw <= A.LAST_FINISHED), LIVE_KEYS, "gameweek")
     # corrections: the last four finished periods are re-sent (only rows with minutes) plus new periods
@@ -185,9 +193,7 @@ def q_merge_upsert(spark, d):
                .withColumn("loaded_at", F.lit("2026-01-02 00:00:00").cast("timestamp_ntz")))
     merge_upsert(spark, path, fix, LIVE_KEYS, "gameweek")
     merge_upsert(spark, path, fix, LIVE_KEYS, "gameweek")   # same source again: no change
-    schema = live.schema
-    live.unpersist()
-    return spark.read.schema(schema).parquet(path).select(*LIVE_COLUMNS)
+    return spark.read.schema(live.schema).parquet(path).select(*LIVE_COLUMNS)
 
 
 @query("stream_live_ingest")
@@ -199,7 +205,7 @@ def q_stream_ingest(spark, d):
     WR.write_landing(live.where(gw > A.LAST_FINISHED - 4).withColumn("total_points", F.col("total_points") + 1),
                      land, "gameweek_live", SECOND_LOAD)
     ingest_live(spark, f"{land}/gameweek_live", target, ckpt, loaded_at=clock())
-    typed = s_live(spark, d)
+    typed = t_live(spark, d)
     return spark.read.schema(typed.schema).parquet(target).select(*LIVE_COLUMNS)
 
 

@@ -53,8 +53,47 @@ def s_live(spark, d):
     return S.silver_live(A.bronze_live(spark, d), clock())
 
 
-def g_overview(spark, d):
-    return G.player_overview(s_players(spark, d))
+# ---- silver tables as the gold layer reads them ------------------------------------------
+# Gold results read silver *tables* (as in the medallion design), not a re-derivation of
+# silver from bronze inside every gold plan.  Each silver table is written once per
+# session and source folder under the shared checkpoint location, then read back.
+_SILVER_BUILDERS = {"teams": s_teams, "players": s_players, "gameweeks": s_gameweeks,
+                    "fixtures": s_fixtures, "gameweek_live": s_live}
+_SILVER_PATHS: dict[tuple[str, str, str], str] = {}
+
+
+def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    from aurum.session import scratch_path
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
+    if key not in _SILVER_PATHS:
+        path = scratch_path(spark, f"silver-{name}")
+        _SILVER_BUILDERS[name](spark, d).write.parquet(path)
+        _SILVER_PATHS[key] = path
+    return spark.read.parquet(_SILVER_PATHS[key])
+
+
+def t_teams(spark, d):
+    return silver_table(spark, d, "teams")
+
+
+def t_players(spark, d):
+    return silver_table(spark, d, "players")
+
+
+def t_gameweeks(spark, d):
+    return silver_table(spark, d, "gameweeks")
+
+
+def t_fixtures(spark, d):
+    return silver_table(spark, d, "fixtures")
+
+
+def t_live(spark, d):
+    return silver_table(spark, d, "gameweek_live")
+
+
+def t_overview(spark, d):
+    return G.player_overview(t_players(spark, d))
 
 
 query("silver_teams")(s_teams)
@@ -62,42 +101,42 @@ query("silver_players")(s_players)
 query("silver_gameweeks")(s_gameweeks)
 query("silver_fixtures")(s_fixtures)
 query("silver_gameweek_live")(s_live)
-query("player_overview")(g_overview)
+query("player_overview")(t_overview)
 
 
 @query("value_picks")
 def q_value_picks(spark, d):
-    return G.value_picks(g_overview(spark, d))
+    return G.value_picks(t_overview(spark, d))
 
 
 @query("form_leaderboard")
 def q_form(spark, d):
-    return G.form_players(s_gameweeks(spark, d), s_live(spark, d), s_players(spark, d))
+    return G.form_players(t_gameweeks(spark, d), t_live(spark, d), t_players(spark, d))
 
 
 @query("captaincy_score")
 def q_captaincy(spark, d):
-    return G.captaincy_picks(g_overview(spark, d), s_fixtures(spark, d))
+    return G.captaincy_picks(t_overview(spark, d), t_fixtures(spark, d))
 
 
 @query("team_overview")
 def q_team_overview(spark, d):
-    return G.team_overview(s_teams(spark, d), s_fixtures(spark, d))
+    return G.team_overview(t_teams(spark, d), t_fixtures(spark, d))
 
 
 @query("gameweek_summary")
 def q_gameweek_summary(spark, d):
-    return G.gameweek_summary(s_gameweeks(spark, d), s_players(spark, d))
+    return G.gameweek_summary(t_gameweeks(spark, d), t_players(spark, d))
 
 
 @query("differential_picks")
 def q_differential(spark, d):
-    return G.differential_picks(g_overview(spark, d))
+    return G.differential_picks(t_overview(spark, d))
 
 
 @query("fixture_difficulty")
 def q_fixture_difficulty(spark, d):
-    return G.fixture_difficulty(s_fixtures(spark, d))
+    return G.fixture_difficulty(t_fixtures(spark, d))
 
 
 # ---- projections and scalar functions -----------------------------------------------
@@ -266,7 +305,7 @@ def q_having(spark, d):
 
 @query("scalar_subquery_min")
 def q_scalar_min(spark, d):
-    return G.next_period_fixtures(s_fixtures(spark, d))
+    return G.next_period_fixtures(t_fixtures(spark, d))
 
 
 # ---- joins -----------------------------------------------------------------------------
@@ -279,7 +318,7 @@ def q_left_lookup(spark, d):
 
 @query("role_lookup_2")
 def q_role_lookup_2(spark, d):
-    return s_fixtures(spark, d).select("fixture_id", "fixture_code", "home_team", "away_team",
+    return t_fixtures(spark, d).select("fixture_id", "fixture_code", "home_team", "away_team",
                                        "home_team_short", "away_team_short")
 
 
@@ -294,8 +333,8 @@ def q_role_lookup_4(spark, d):
 
 @query("join_recent_n")
 def q_join_recent(spark, d):
-    recent = G.recent_finished_periods(s_gameweeks(spark, d))
-    live = s_live(spark, d)
+    recent = G.recent_finished_periods(t_gameweeks(spark, d))
+    live = t_live(spark, d)
     return live.join(recent, live["gameweek"] == recent["gameweek_id"]).select(
         "player_id", "gameweek", "total_points")
 
@@ -360,12 +399,12 @@ def q_topn(spark, d):
 
 @query("topk_recent")
 def q_topk_recent(spark, d):
-    return G.recent_finished_periods(s_gameweeks(spark, d))
+    return G.recent_finished_periods(t_gameweeks(spark, d))
 
 
 @query("union_all")
 def q_union_all(spark, d):
-    f = s_fixtures(spark, d).where(X.is_false("is_finished"))
+    f = t_fixtures(spark, d).where(X.is_false("is_finished"))
     home = {"team_id": F.col("home_team_id"), "opponent": F.col("away_team"),
             "difficulty": F.col("home_difficulty"), "venue": F.lit("HOME"), "gameweek": F.col("gameweek")}
     away = {"team_id": F.col("away_team_id"), "opponent": F.col("home_team"),
@@ -375,7 +414,7 @@ def q_union_all(spark, d):
 
 @query("unpivot_home_away")
 def q_unpivot(spark, d):
-    return G.next_fixtures(s_fixtures(spark, d))
+    return G.next_fixtures(t_fixtures(spark, d))
 
 
 @query("cte_reuse")
@@ -388,6 +427,6 @@ def q_cte_reuse(spark, d):
 
 @query("view_stacking")
 def q_view_stacking(spark, d):
-    po = g_overview(spark, d)
+    po = t_overview(spark, d)
     return po.where(F.col("minutes") >= G.MIN_MINUTES).select(
         "player_id", "points_per_million", "points_per_90", "bonus_per_start")

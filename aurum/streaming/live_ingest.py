@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,14 @@ def landing_schema(schema: T.StructType = LIVE) -> T.StructType:
 
 
 def latest_copy(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` (ties: any one)."""
-    w = Window.partitionBy(*keys).orderBy(order.desc_nulls_last())
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    """One row per key: the row with the greatest ``order`` (ties: any one).
+
+    A ``max_by`` aggregate, so copies of a key are combined map-side before the shuffle
+    (a key landed many times never gathers all its copies in one task).
+    """
+    cols = df.columns
+    packed = df.select(*keys, order.alias("__ord"), F.struct(*cols).alias("__row"))
+    return packed.groupBy(*keys).agg(F.max_by("__row", "__ord").alias("__row")).select("__row.*")
 
 
 def ingest_live(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
