@@ -96,11 +96,12 @@ def t_overview(spark, d):
     return G.player_overview(t_players(spark, d))
 
 
-query("silver_teams")(s_teams)
-query("silver_players")(s_players)
-query("silver_gameweeks")(s_gameweeks)
-query("silver_fixtures")(s_fixtures)
-query("silver_gameweek_live")(s_live)
+# the silver keys are the CREATE OR REPLACE TABLE AS SELECT step: build, write, read back
+query("silver_teams")(t_teams)
+query("silver_players")(t_players)
+query("silver_gameweeks")(t_gameweeks)
+query("silver_fixtures")(t_fixtures)
+query("silver_gameweek_live")(t_live)
 query("player_overview")(t_overview)
 
 
