@@ -54,21 +54,20 @@ def resolve_ids(fact: DataFrame, dim: DataFrame, dim_key: str, value_col: str,
     """Role-playing lookup: for each ``fk -> out`` in ``roles`` add ``dim.value_col`` as ``out``
     via a left join on ``fact.fk = dim.dim_key``.
 
-    The dimension is first reduced to the ids the fact references (a semi join on the
-    distinct foreign keys), so a large dimension is never shipped whole: the reduced side
-    holds at most (number of roles) x (fact rows) rows, and AQE broadcasts it at runtime
-    from its measured size (or keeps a shuffle join when it is large).
+    The dimension is first reduced to the ids the fact references (one scan of the fact
+    collects every role's ids; a semi join keeps those dimension rows), so a large
+    dimension is never shipped whole: the reduced side holds at most (roles x fact rows)
+    rows, and AQE broadcasts it at runtime from its measured size (or keeps a shuffle join
+    when it is large).  Every role joins the same reduced side, so its exchange is reused.
     """
     fks = list(roles)
-    ids = None
-    for fk in fks:
-        one = fact.select(F.col(fk).alias("__id")).where(F.col("__id").isNotNull())
-        ids = one if ids is None else ids.unionByName(one)
-    ids = ids.distinct()
+    ids = (fact.select(F.explode(F.array(*[F.col(fk) for fk in fks])).alias("__id"))
+               .where(F.col("__id").isNotNull()).distinct())
     needed = (dim.select(F.col(dim_key).alias("__id"), F.col(value_col).alias("__val"))
                  .join(ids, "__id", "left_semi"))
     out = fact
-    for fk, name in roles.items():
-        side = needed.select(F.col("__id").alias(f"__id_{name}"), F.col("__val").alias(name))
-        out = out.join(side, out[fk] == side[f"__id_{name}"], "left").drop(f"__id_{name}")
+    for i, (fk, name) in enumerate(roles.items()):
+        side = needed.alias(f"__r{i}")
+        out = (out.join(side, out[fk] == F.col(f"__r{i}.__id"), "left")
+                  .select(*[out[c] for c in out.columns], F.col(f"__r{i}.__val").alias(name)))
     return out
