@@ -29,19 +29,34 @@ class MergeError(ValueError):
     pass
 
 
-def check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    """Fail on NULL or duplicated keys: one grouped pass, stopped at the first offender."""
+def touched_partitions(source: DataFrame, keys: Sequence[str], partition_col: str,
+                       validate: bool = True) -> list:
+    """Partition values the source touches; with ``validate``, fail on NULL or duplicated keys.
+
+    One job: rows are counted per key, then folded per partition value into the largest
+    count and a NULL-key flag; only one row per touched partition reaches the driver.
+    """
     null_key = None
     for k in keys:
         cond = F.col(k).isNull()
         null_key = cond if null_key is None else (null_key | cond)
-    bad = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                 .where((F.col("__n") > 1) | null_key).limit(1).collect())
-    if bad:
-        row = bad[0]
-        if any(row[k] is None for k in keys):
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    per_part = per_key.groupBy(partition_col).agg(
+        F.max("__n").alias("__max"), F.max(F.when(null_key, 1).otherwise(0)).alias("__null"))
+    rows = per_part.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(rows) > MAX_TOUCHED_PARTITIONS:
+        raise MergeError("source touches too many partitions for one upsert; split it by period")
+    if validate:
+        if any(r["__null"] for r in rows):
             raise MergeError(f"source has NULL merge keys {list(keys)}")
-        raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
+        if any(r["__max"] > 1 for r in rows):
+            raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
+    return [r[partition_col] for r in rows]
+
+
+def check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
+    """Fail on NULL or duplicated keys (same rules as the upsert's own check)."""
+    touched_partitions(source.withColumn("__all", F.lit(0)), [*keys, "__all"], "__all")
 
 
 def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
@@ -54,8 +69,8 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     """
     if partition_col not in keys:
         raise MergeError("the partition column must be part of the merge key")
-    # the source feeds the key check, the touched-partition list, the anti join and the
-    # write: keep it for the duration of the upsert (recomputed from lineage if lost)
+    # the source feeds the key check, the anti join and the write: keep it for the
+    # duration of the upsert (recomputed from lineage if an executor is lost)
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _merge(spark, target_path, source, keys, partition_col, validate)
@@ -65,15 +80,10 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
 
 def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
            partition_col: str, validate: bool) -> dict:
-    if validate:
-        check_source_keys(source, keys)
     cols = source.columns
-    touched = [r[0] for r in source.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        raise MergeError("source touches too many partitions for one upsert; split it by period")
+    touched = touched_partitions(source, keys, partition_col, validate)
     if not touched:
         return {"source_rows": 0, "kept_rows": 0}
-
     try:
         target = spark.read.schema(source.schema).parquet(target_path)
         exists = True
@@ -87,13 +97,15 @@ def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Seque
         result = kept.withColumn(mark, F.lit(False)).unionByName(src)
     else:
         result = src
-    # range-partition on (period, rest of key): each writer task covers a contiguous key
-    # range, so it writes few period folders, and a hot period is split over several tasks
-    # (hash-partitioning by the period alone would put a hot period in one task).  Row
-    # counts are observed above the exchange so the partitioner's sampling pass is not counted.
-    rest = [k for k in keys if k != partition_col]
+    # writer layout: hash on (period, salt of the other key columns).  Each touched period
+    # is spread over ``salt`` writer tasks (a hot period is never a single task) and each
+    # task writes few period folders; no sampling pass is needed.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    salt_n = max(1, parts // len(touched))
+    rest = [F.col(k) for k in keys if k != partition_col]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salt_n)) if rest else F.lit(0)
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    staged = (result.repartitionByRange(F.col(partition_col), *[F.col(k) for k in rest])
+    staged = (result.repartition(max(1, min(parts, len(touched) * salt_n)), F.col(partition_col), salt)
                     .observe(obs, F.count_if(F.col(mark)).alias("source_rows"),
                              F.count_if(~F.col(mark)).alias("kept_rows")))
     (staged.drop(mark)
