@@ -72,3 +72,28 @@ def test_full_refresh_landing_to_gold(spark, scratch):
     lv = spark.read.parquet(paths["gameweek_live"])
     assert lv.count() == 4
     assert lv.where((F.col("player_id") == 1) & (F.col("gameweek") == 2)).first().total_points == 40
+
+
+def test_command_line_refresh_and_gold(spark, scratch, capsys):
+    from aurum.__main__ import main
+    doc, fx, live_docs = scratch("season"), scratch("fixtures"), scratch("live-docs")
+    landing, silver, audit, cfg = scratch("landing"), scratch("silver"), scratch("audit"), scratch("config")
+    dump(doc, {"elements": jsonable([player(1, 1), player(2, 1, status="d")]),
+               "element_types": [{"id": 1}],
+               "teams": jsonable([team(1, "Arsenal", "ARS"), team(2, "Brentford", "BRE")]),
+               "events": jsonable([gameweek(1, True), gameweek(2, False, current=True)])})
+    dump(fx, jsonable([fixture(1, 1, 1, 2, 1, 0, True), fixture(2, 2, 2, 1)]))
+    dump(f"{live_docs}/gameweek=1", {"elements": [{"id": 1, "stats": {"minutes": 90, "total_points": 8}}]})
+    os.makedirs(local_path(cfg), exist_ok=True)
+    with open(os.path.join(local_path(cfg), "load_config.csv"), "w") as f:
+        f.write("datasource,table_name,load_type,is_active\n"
+                + "\n".join(f"fpl-api,{t},full,1" for t in ["players", "teams", "fixtures", "gameweeks"])
+                + "\nfpl-api,gameweek_live,incremental,1\nfpl-api,positions,full,0\n")
+    main(["land", "--season", doc, "--fixtures", fx, "--live", live_docs, "--landing", landing,
+          "--config", cfg, "--audit", audit])
+    main(["refresh", "--landing", landing, "--silver", silver])
+    main(["gold", "--silver", silver, "--show", "captaincy_picks"])
+    out = capsys.readouterr().out
+    assert "players: 2 records" in out and "gameweek_live: 1 records" in out
+    assert "next_opponent" in out and "Brentford" in out and "AWAY" in out   # player 1 plays away at Brentford
+    assert "Last2" not in out                                                # player 2 is doubtful
