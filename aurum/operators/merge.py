@@ -20,6 +20,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from aurum.session import path_exists
+
 # partitions one upsert may rewrite; the touched partition values are the only thing
 # the driver collects, so this bounds it
 MAX_TOUCHED_PARTITIONS = 100_000
@@ -84,11 +86,8 @@ def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Seque
     touched = touched_partitions(source, keys, partition_col, validate)
     if not touched:
         return {"source_rows": 0, "kept_rows": 0}
-    try:
-        target = spark.read.schema(source.schema).parquet(target_path)
-        exists = True
-    except Exception:  # noqa: BLE001 - no table yet
-        exists = False
+    exists = path_exists(spark, target_path)
+    target = spark.read.schema(source.schema).parquet(target_path) if exists else None
     mark = "__from_source"
     src = source.select(*cols, F.lit(True).alias(mark))
     if exists:

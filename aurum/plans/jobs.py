@@ -25,6 +25,7 @@ from aurum.functions.scalars import date_from_name
 from aurum.operators.merge import merge_upsert
 from aurum.plans import gold as G
 from aurum.plans import silver as S
+from aurum.session import path_exists
 from aurum.sinks import writers as WR
 from aurum.sources import readers as RD
 from aurum.sources import schemas as SC
@@ -140,9 +141,9 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
     lands nothing writes no audit row.
     """
     plan = CL.dispatch(config, extractors, datasource)
-    try:
+    if path_exists(spark, audit_path):
         history = spark.read.schema(SC.AUDIT).parquet(audit_path)
-    except Exception:  # noqa: BLE001 - first run
+    else:   # first run
         history = spark.createDataFrame([], SC.AUDIT)
     results = {}
     for table, (load_type, extract) in plan.items():

@@ -59,6 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/aurum-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` (or, for a glob, any match) exists, via the Hadoop FileSystem of the
+    path's scheme.  Avoids probing with a failing read, which the session's observation
+    listener reports as an error once an ``Observation`` has been used."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session): probe by reading
+        try:
+            spark.read.schema("__probe string").format("text").load(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if any(ch in path for ch in "*?[{"):
+        matches = fs.globStatus(p)
+        return matches is not None and len(matches) > 0
+    return bool(fs.exists(p))
+
+
 def set_session_defaults(spark: SparkSession) -> None:
     """Pin the semantics the library relies on (UTC clock, dynamic partition overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -71,4 +92,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "set_session_defaults",
-           "local_path"]
+           "local_path", "path_exists"]

@@ -9,11 +9,12 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aurum.session import path_exists as _exists
+
 LANDING_KEY = "load_key"
 # full-precision timestamp text in JSON (the default pattern keeps only milliseconds)
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -25,13 +26,9 @@ def landing_key(table: str, load_date: dt.date) -> str:
     return f"{table}_{load_date.strftime('%d%m%Y')}"
 
 
-def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """True when ``path`` exists (an existing empty table counts; no schema inference)."""
-    try:
-        spark.read.schema("__probe string").format(fmt).load(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:  # noqa: ARG001
+    """True when ``path`` exists (an existing empty table counts)."""
+    return _exists(spark, path)
 
 
 def write_landing(df: DataFrame, base: str, table: str, load_date: dt.date, fmt: str = "json") -> int:

@@ -6,11 +6,12 @@ DataFrame with that schema instead of an error.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aurum.session import path_exists
+
 CORRUPT = "_corrupt_record"
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -31,16 +32,15 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     r = spark.read.schema(sch).option("mode", "PERMISSIVE").options(**JSON_OPTIONS)
     if keep_corrupt:
         r = r.option("columnNameOfCorruptRecord", CORRUPT)
-    try:
-        df = r.json(path)
-        if with_file:
-            df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
-        return df
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            empty = _empty(spark, sch)
-            return empty.withColumn("source_file", F.lit(None).cast("string")) if with_file else empty
-        raise
+    paths = [path] if isinstance(path, str) else list(path)
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        empty = _empty(spark, sch)
+        return empty.withColumn("source_file", F.lit(None).cast("string")) if with_file else empty
+    df = r.json(paths if len(paths) > 1 else paths[0])
+    if with_file:
+        df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return df
 
 
 def explode_payload(spark: SparkSession, path: str, key: str, element: T.StructType,
@@ -54,12 +54,9 @@ def explode_payload(spark: SparkSession, path: str, key: str, element: T.StructT
     reader = spark.read.schema(doc).options(**JSON_OPTIONS)
     if multiline:
         reader = reader.option("multiLine", True)
-    try:
-        docs = reader.json(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return _empty(spark, element)
-        raise
+    if not path_exists(spark, path):
+        return _empty(spark, element)
+    docs = reader.json(path)
     return docs.select(F.explode(F.col(key)).alias("__e")).select("__e.*")
 
 
@@ -103,9 +100,6 @@ def read_live_documents(spark: SparkSession, path: str, element: T.StructType,
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with a fixed string schema; a missing file gives an empty table."""
-    try:
-        return spark.read.option("header", True).schema(schema).csv(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return _empty(spark, schema)
-        raise
+    if not path_exists(spark, path):
+        return _empty(spark, schema)
+    return spark.read.option("header", True).schema(schema).csv(path)
