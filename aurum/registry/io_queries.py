@@ -15,7 +15,7 @@ from aurum.control import loads as CL
 from aurum.operators.merge import merge_upsert
 from aurum.plans import analogs as A
 from aurum.plans.silver import LIVE_COLUMNS, LIVE_KEYS
-from aurum.registry.queries import clock, query, t_gameweeks, t_live
+from aurum.registry.queries import as_midnight, clock, query, t_gameweeks, t_live
 from aurum.session import scratch_path
 from aurum.sinks import writers as WR
 from aurum.sources import readers as RD
@@ -106,7 +106,7 @@ def q_filename_date(spark, d):
        .write.partitionBy(WR.LANDING_KEY).options(**WR.JSON_OPTIONS).json(base))
     back = RD.read_json_lines(spark, base, EVENTS, with_file=True)
     from aurum.functions.scalars import date_from_name
-    return back.select("event_id", date_from_name("source_file").alias("load_date"))
+    return back.select("event_id", as_midnight(date_from_name("source_file")).alias("load_date"))
 
 
 @query("sink_landing_roundtrip")
@@ -124,7 +124,8 @@ def q_archive(spark, d):
     WR.write_snapshot(c.withColumn("c_acctbal", F.col("c_acctbal") - 1.0), path, FIRST_LOAD)
     WR.write_snapshot(c.withColumn("c_acctbal", F.col("c_acctbal") + 1.0), path, SECOND_LOAD)
     WR.write_snapshot(c, path, SECOND_LOAD)   # same-day rerun replaces that day's copy
-    return WR.latest_snapshot(spark, path)
+    latest = WR.latest_snapshot(spark, path)
+    return latest.withColumn("snapshot_date", as_midnight(F.col("snapshot_date")))
 
 
 def _live_counts(spark, d):

@@ -166,7 +166,7 @@ FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS
                            GROUP BY o_custkey) a ON c.c_custkey = a.o_custkey"""
 
 ORACLE["date_format_ddmmyyyy"] = """
-SELECT o_orderkey, strftime(o_orderdate, '%d%m%Y') AS load_key, CAST(o_orderdate AS DATE) AS load_date
+SELECT o_orderkey, strftime(o_orderdate, '%d%m%Y') AS load_key, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS load_date
 FROM orders"""
 
 # ---- filters --------------------------------------------------------------------------
@@ -267,9 +267,9 @@ ORACLE["json_roundtrip"] = """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
   CAST(to_json({'event_id': event_id, 'k': CAST(json_extract(props, '$.k') AS BIGINT)}) AS VARCHAR) AS encoded
 FROM events"""
-ORACLE["filename_date"] = "SELECT event_id, CAST(ts AS DATE) AS load_date FROM events"
+ORACLE["filename_date"] = "SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS load_date FROM events"
 ORACLE["sink_landing_roundtrip"] = "SELECT o.*, (SELECT count(*) FROM orders) AS record_count FROM orders o"
-ORACLE["archive_partitioned"] = "SELECT *, DATE '2026-01-02' AS snapshot_date FROM customer"
+ORACLE["archive_partitioned"] = "SELECT *, TIMESTAMP '2026-01-02 00:00:00' AS snapshot_date FROM customer"
 ORACLE["audit_append"] = W("""
 SELECT 'feed' AS data_source, 'gameweek_live' AS tablename, 'incremental' AS load_type, count(*) AS record_count,
   CAST(gameweek AS VARCHAR) AS load_watermark, TIMESTAMP '2026-01-01 00:00:00' AS load_timestamp, 'SUCCESS' AS status

@@ -25,6 +25,12 @@ def clock() -> Column:
     return F.lit(FIXED_CLOCK).cast("timestamp_ntz")
 
 
+def as_midnight(date_col: Column) -> Column:
+    """Registered outputs carry dates as midnight timestamps: DATE values convert to
+    different Python types in different client libraries, timestamps convert alike."""
+    return date_col.cast("timestamp_ntz")
+
+
 def query(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -278,7 +284,7 @@ def q_date_format(spark, d):
     o = _t(spark, d, "orders")
     key = X.ddmmyyyy("o_orderdate")
     return o.select("o_orderkey", key.alias("load_key"),
-                    X.date_from_name(F.concat(F.lit("orders_"), key, F.lit(".json"))).alias("load_date"))
+                    as_midnight(X.date_from_name(F.concat(F.lit("orders_"), key, F.lit(".json")))).alias("load_date"))
 
 
 # ---- filters --------------------------------------------------------------------------
