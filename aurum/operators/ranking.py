@@ -95,8 +95,14 @@ def rank_columns(df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]],
     counts = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__n"))
     counts = counts.withColumn("__b", value_bucket(counts, metric, descending, nb).cast("int"))
 
-    table = counts.select(*keys, metric)
+    # start from a rank computed at the finest grain (its rows are exactly the distinct
+    # keys); coarser ranks are joined onto it by their own keys
+    finest = next((o for o, by in ranks.items() if set(by) == set(keys)), None)
+    table = (_rank_table(counts, metric, list(ranks[finest]), descending, finest) if finest is not None
+             else counts.select(*keys, metric))
     for out, by in ranks.items():
+        if out == finest:
+            continue
         r = _rank_table(counts, metric, list(by), descending, out)
         r = r.select(*[F.col(k).alias(f"__r_{k}") for k in list(by) + [metric]], out)
         cond = [table[k].eqNullSafe(r[f"__r_{k}"]) for k in list(by) + [metric]]
