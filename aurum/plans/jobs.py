@@ -15,6 +15,7 @@ restartable jobs; the data never passes through the driver.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,17 @@ from aurum.sources import readers as RD
 from aurum.sources import schemas as SC
 from aurum.streaming.live_ingest import latest_copy
 
+log = logging.getLogger("aurum.jobs")
+
+
+class PartialFailure(RuntimeError):
+    """Some tables failed; ``done`` holds the results of the others, ``failed`` the errors."""
+
+    def __init__(self, done: dict, failed: dict[str, str]):
+        super().__init__(f"{len(failed)} table(s) failed: {', '.join(sorted(failed))}")
+        self.done, self.failed = done, failed
+
+
 LAYERS = {"bronze": "Raw landed documents", "silver": "Cleaned and typed tables",
           "gold": "Analytic results"}
 FULL_TABLES = ["players", "teams", "gameweeks", "fixtures"]
@@ -88,24 +100,43 @@ def bronze_views(spark: SparkSession, landing: str, prefix: str = "bronze_") ->
 
 
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_base: str,
-                   loaded_at: Column | None = None) -> dict[str, str]:
-    """Write the silver tables; returns table -> path."""
+                   loaded_at: Column | None = None, strict: bool = True) -> dict[str, str]:
+    """Write the silver tables; returns table -> path.
+
+    Tables are refreshed independently: a failing table is logged and the others still
+    run.  With ``strict`` a ``PartialFailure`` is raised at the end (carrying the paths of
+    the tables that succeeded); otherwise only the succeeded tables are returned.
+    """
     base = silver_base.rstrip("/")
-    builds = {
-        "players": S.silver_players(bronze["players"], bronze["teams"], loaded_at),
-        "teams": S.silver_teams(bronze["teams"], loaded_at),
-        "gameweeks": S.silver_gameweeks(bronze["gameweeks"], loaded_at),
-        "fixtures": S.silver_fixtures(bronze["fixtures"], bronze["teams"], loaded_at),
+
+    def full(name, build):
+        def run():
+            build().write.mode("overwrite").parquet(f"{base}/{name}")   # CREATE OR REPLACE TABLE AS SELECT
+        return run
+
+    def live():
+        fresh = latest_copy(bronze["gameweek_live"], ["id", "gameweek"], F.col("landed_on"))
+        typed = S.silver_live(fresh, loaded_at)
+        WR.ensure_table(spark, f"{base}/gameweek_live", typed.schema, ["gameweek"])   # CREATE TABLE IF NOT EXISTS
+        merge_upsert(spark, f"{base}/gameweek_live", typed, S.LIVE_KEYS, "gameweek")  # MERGE
+
+    steps = {
+        "players": full("players", lambda: S.silver_players(bronze["players"], bronze["teams"], loaded_at)),
+        "teams": full("teams", lambda: S.silver_teams(bronze["teams"], loaded_at)),
+        "gameweeks": full("gameweeks", lambda: S.silver_gameweeks(bronze["gameweeks"], loaded_at)),
+        "fixtures": full("fixtures", lambda: S.silver_fixtures(bronze["fixtures"], bronze["teams"], loaded_at)),
+        "gameweek_live": live,
     }
-    paths = {}
-    for name, df in builds.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")     # CREATE OR REPLACE TABLE AS SELECT
-        paths[name] = f"{base}/{name}"
-    fresh = latest_copy(bronze["gameweek_live"], ["id", "gameweek"], F.col("landed_on"))
-    live = S.silver_live(fresh, loaded_at)
-    WR.ensure_table(spark, f"{base}/gameweek_live", live.schema, ["gameweek"])
-    merge_upsert(spark, f"{base}/gameweek_live", live, S.LIVE_KEYS, "gameweek")
-    paths["gameweek_live"] = f"{base}/gameweek_live"
+    paths, failed = {}, {}
+    for name, step in steps.items():
+        try:
+            step()
+            paths[name] = f"{base}/{name}"
+        except Exception as e:  # noqa: BLE001 - isolate the table, report at the end
+            log.error("silver refresh of %s failed: %s", name, e)
+            failed[name] = f"{type(e).__name__}: {e}"
+    if failed and strict:
+        raise PartialFailure(paths, failed)
     return paths
 
 
@@ -138,17 +169,23 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
     ``extractors[table](load_type, last_watermark, current)`` lands the table and returns its
     record count.  Full loads record the current period; incremental loads record the last
     finished-and-checked period (so open periods are pulled again next time).  A load that
-    lands nothing writes no audit row.
+    lands nothing writes no audit row; a failing extractor is logged, gets ``None`` and
+    does not stop the other tables.
     """
     plan = CL.dispatch(config, extractors, datasource)
     if path_exists(spark, audit_path):
         history = spark.read.schema(SC.AUDIT).parquet(audit_path)
     else:   # first run
         history = spark.createDataFrame([], SC.AUDIT)
-    results = {}
+    results: dict[str, int | None] = {}
     for table, (load_type, extract) in plan.items():
         last = CL.scalar(CL.latest_watermark(history, table, datasource)) if load_type == "incremental" else 0
-        n = extract(load_type, last, current)
+        try:
+            n = extract(load_type, last, current)
+        except Exception as e:  # noqa: BLE001 - one failing table does not stop the others
+            log.error("landing of %s failed: %s", table, e)
+            results[table] = None          # no audit row: the watermark does not move
+            continue
         results[table] = n
         if n:
             mark = final if load_type == "incremental" else current

@@ -97,3 +97,25 @@ def test_command_line_refresh_and_gold(spark, scratch, capsys):
     assert "players: 2 records" in out and "gameweek_live: 1 records" in out
     assert "next_opponent" in out and "Brentford" in out and "AWAY" in out   # player 1 plays away at Brentford
     assert "Last2" not in out                                                # player 2 is doubtful
+
+
+def test_failures_are_isolated_per_table(spark, scratch):
+    import pytest
+
+    cfg = spark.createDataFrame([("fpl", "players", "full", "1"), ("fpl", "teams", "full", "1")], SC.CONFIG)
+    audit = scratch("audit")
+
+    def boom(*_):
+        raise RuntimeError("feed unavailable")
+
+    counts = J.run_loads(spark, cfg, "fpl", {"players": boom, "teams": lambda *_: 3}, audit, 2, 1, clock())
+    assert counts == {"players": None, "teams": 3}
+    assert [r.tablename for r in spark.read.parquet(audit).collect()] == ["teams"]
+
+    bronze = {t: spark.createDataFrame([], s) for t, s in SC.BRONZE.items()}
+    bronze["gameweek_live"] = bronze["gameweek_live"].withColumn("landed_on", F.lit(None).cast("date"))
+    bronze["players"] = bronze["players"].drop("web_name")           # a broken feed: players fails
+    with pytest.raises(J.PartialFailure) as err:
+        J.refresh_silver(spark, bronze, scratch("silver"), clock())
+    assert set(err.value.failed) == {"players"}
+    assert set(err.value.done) == {"teams", "gameweeks", "fixtures", "gameweek_live"}
