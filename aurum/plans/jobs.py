@@ -73,12 +73,29 @@ def land_season(spark: SparkSession, document_path: str, fixtures_path: str, lan
     return counts
 
 
+def contiguous_end(periods: list[int], first: int) -> int:
+    """Last period p such that every period first..p is present (first - 1 if none)."""
+    end = first - 1
+    for p in sorted(set(periods)):
+        if p == end + 1:
+            end = p
+        elif p > end + 1:
+            break
+    return end
+
+
 def land_live(spark: SparkSession, live_docs: str, landing: str, load_date: dt.date,
-              first: int, last: int) -> int:
-    """Land periods first..last of the per-period live documents (folders ``gameweek=N``)."""
+              first: int, last: int) -> tuple[int, int]:
+    """Land periods first..last of the per-period live documents (folders ``gameweek=N``).
+
+    Returns (record count, last period up to which every period was landed): a missing
+    period in the middle stops the watermark there, so it is pulled again next run.
+    """
     rows = RD.read_live_documents(spark, live_docs, SC.LIVE_ELEMENT)
     rows = CL.incremental_slice(rows, first - 1, last).select(*SC.LIVE.fieldNames())
-    return WR.write_landing(rows, landing, "gameweek_live", load_date)
+    # one value per period of the slice reaches the driver
+    present = [r[0] for r in rows.select("gameweek").distinct().collect()]
+    return WR.write_landing(rows, landing, "gameweek_live", load_date), contiguous_end(present, first)
 
 
 def bronze_views(spark: SparkSession, landing: str, prefix: str = "bronze_") -> dict[str, DataFrame]:
@@ -167,7 +184,7 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
     """Config-driven landing: each active table's extractor -> record count -> audit row.
 
     ``extractors[table](load_type, last_watermark, current)`` lands the table and returns its
-    record count.  Full loads record the current period; incremental loads record the last
+    record count, or (record count, last contiguously landed period) for period slices.  Full loads record the current period; incremental loads record the last
     finished-and-checked period (so open periods are pulled again next time).  A load that
     lands nothing writes no audit row; a failing extractor is logged, gets ``None`` and
     does not stop the other tables.
@@ -181,14 +198,17 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
     for table, (load_type, extract) in plan.items():
         last = CL.scalar(CL.latest_watermark(history, table, datasource)) if load_type == "incremental" else 0
         try:
-            n = extract(load_type, last, current)
+            got = extract(load_type, last, current)
         except Exception as e:  # noqa: BLE001 - one failing table does not stop the others
             log.error("landing of %s failed: %s", table, e)
             results[table] = None          # no audit row: the watermark does not move
             continue
+        n, loaded_to = got if isinstance(got, tuple) else (got, None)
         results[table] = n
         if n:
             mark = final if load_type == "incremental" else current
+            if load_type == "incremental" and loaded_to is not None:
+                mark = min(mark, loaded_to)   # never past a period that was not landed
             row = spark.createDataFrame([(table, n, mark)], "tablename string, record_count long, period long")
             WR.append_audit(row.select(
                 F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"),

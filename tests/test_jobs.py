@@ -67,7 +67,7 @@ def test_full_refresh_landing_to_gold(spark, scratch):
     for gw in (2,):
         elems = [{"id": 1, "stats": {k: v for k, v in live(1, gw, points=40).items() if k not in ("id", "gameweek")}}]
         dump(f"{live_docs}/gameweek={gw}", {"elements": elems})
-    J.land_live(spark, live_docs, landing, dt.date(2026, 1, 6), 2, 2)
+    assert J.land_live(spark, live_docs, landing, dt.date(2026, 1, 6), 2, 2) == (1, 2)
     paths = J.refresh_silver(spark, J.bronze_views(spark, landing), silver, clock())
     lv = spark.read.parquet(paths["gameweek_live"])
     assert lv.count() == 4
@@ -119,3 +119,16 @@ def test_failures_are_isolated_per_table(spark, scratch):
         J.refresh_silver(spark, bronze, scratch("silver"), clock())
     assert set(err.value.failed) == {"players"}
     assert set(err.value.done) == {"teams", "gameweeks", "fixtures", "gameweek_live"}
+
+
+def test_watermark_stops_at_a_missing_period(spark, scratch):
+    assert J.contiguous_end([1, 3, 4], 1) == 1 and J.contiguous_end([2, 3], 1) == 0
+    assert J.contiguous_end([5, 6, 7], 5) == 7 and J.contiguous_end([], 4) == 3
+    live_docs, landing, audit = scratch("live-docs"), scratch("landing"), scratch("audit")
+    for gw in (1, 3):      # period 2 failed upstream: no document
+        dump(f"{live_docs}/gameweek={gw}", {"elements": [{"id": 1, "stats": {"minutes": 90}}]})
+    cfg = spark.createDataFrame([("fpl", "gameweek_live", "incremental", "1")], SC.CONFIG)
+    ext = {"gameweek_live": lambda lt, last, cur: J.land_live(spark, live_docs, landing, dt.date(2026, 1, 5),
+                                                              last + 1, cur)}
+    assert J.run_loads(spark, cfg, "fpl", ext, audit, current=3, final=3, clock=clock()) == {"gameweek_live": 2}
+    assert [r.load_watermark for r in spark.read.parquet(audit).collect()] == ["1"]
