@@ -186,8 +186,8 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
     ``extractors[table](load_type, last_watermark, current)`` lands the table and returns its
     record count, or (record count, last contiguously landed period) for period slices.  Full loads record the current period; incremental loads record the last
     finished-and-checked period (so open periods are pulled again next time).  A load that
-    lands nothing writes no audit row; a failing extractor is logged, gets ``None`` and
-    does not stop the other tables.
+    lands nothing is audited as EMPTY without a watermark; a failing extractor is logged,
+    gets ``None``, writes no audit row and does not stop the other tables.
     """
     plan = CL.dispatch(config, extractors, datasource)
     if path_exists(spark, audit_path):
@@ -205,13 +205,17 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
             continue
         n, loaded_to = got if isinstance(got, tuple) else (got, None)
         results[table] = n
+        mark = None
         if n:
             mark = final if load_type == "incremental" else current
             if load_type == "incremental" and loaded_to is not None:
                 mark = min(mark, loaded_to)   # never past a period that was not landed
-            row = spark.createDataFrame([(table, n, mark)], "tablename string, record_count long, period long")
-            WR.append_audit(row.select(
-                F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"),
-                "record_count", F.col("period").cast("string").alias("load_watermark"),
-                clock.alias("load_timestamp"), F.lit("SUCCESS").alias("status")), audit_path)
+        # an empty load is recorded as EMPTY without a watermark, so it does not move
+        row = spark.createDataFrame([(table, int(n or 0), mark)], "tablename string, record_count long, period long")
+        WR.append_audit(row.select(
+            F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"),
+            "record_count", F.col("period").cast("string").alias("load_watermark"),
+            clock.alias("load_timestamp"),
+            F.when(F.col("record_count") > 0, F.lit("SUCCESS")).otherwise(F.lit("EMPTY")).alias("status")),
+            audit_path)
     return results
