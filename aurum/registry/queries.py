@@ -69,9 +69,9 @@ _SILVER_PATHS: dict[tuple[str, str, str], str] = {}
 
 
 def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    from aurum.session import scratch_path
+    from aurum.session import path_exists, scratch_path
     key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
-    if key not in _SILVER_PATHS:
+    if key not in _SILVER_PATHS or not path_exists(spark, f"{_SILVER_PATHS[key]}/_SUCCESS"):
         path = scratch_path(spark, f"silver-{name}")
         _SILVER_BUILDERS[name](spark, d).write.parquet(path)
         _SILVER_PATHS[key] = path
