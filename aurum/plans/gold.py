@@ -87,8 +87,11 @@ def recent_finished_periods(gameweeks: DataFrame, n: int = RECENT_PERIODS) -> Da
 
 
 def recent_performance(gameweeks: DataFrame, live: DataFrame, n: int = RECENT_PERIODS) -> DataFrame:
-    recent = recent_finished_periods(gameweeks, n)
-    gl = live.join(recent, live["gameweek"] == recent["gameweek_id"], "inner")
+    # the (at most n) recent period ids are fetched as literals: the live table is then
+    # read only in those period partitions (static partition pruning), and the inner join
+    # on the unique period id becomes a filter
+    recent = [r[0] for r in recent_finished_periods(gameweeks, n).collect()]
+    gl = live.where(F.col("gameweek").isin(recent))
     return gl.groupBy("player_id").agg(
         F.count_if(F.col("played")).alias("matches_played"),
         F.sum("total_points").alias("points_last_5"),

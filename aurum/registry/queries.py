@@ -66,6 +66,7 @@ def s_live(spark, d):
 _SILVER_BUILDERS = {"teams": s_teams, "players": s_players, "gameweeks": s_gameweeks,
                     "fixtures": s_fixtures, "gameweek_live": s_live}
 _SILVER_PATHS: dict[tuple[str, str, str], str] = {}
+_SILVER_SCHEMAS: dict[tuple[str, str, str], object] = {}
 
 
 def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -73,9 +74,19 @@ def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
     if key not in _SILVER_PATHS or not path_exists(spark, f"{_SILVER_PATHS[key]}/_SUCCESS"):
         path = scratch_path(spark, f"silver-{name}")
-        _SILVER_BUILDERS[name](spark, d).write.parquet(path)
+        df = _SILVER_BUILDERS[name](spark, d)
+        if name == "gameweek_live":
+            # partitioned by period, so joins with a few periods prune the scan (dynamic
+            # partition pruning); range layout: a hot period spans several writer tasks
+            df.repartitionByRange("gameweek", "player_id").write.partitionBy("gameweek").parquet(path)
+        else:
+            df.write.parquet(path)
         _SILVER_PATHS[key] = path
-    return spark.read.parquet(_SILVER_PATHS[key])
+        _SILVER_SCHEMAS[key] = df.schema
+    # read with the table's own schema: the period partition column stays bigint, uncast,
+    # so partition filters and pruning apply to it directly
+    df = spark.read.schema(_SILVER_SCHEMAS[key]).parquet(_SILVER_PATHS[key])
+    return df.select(*_SILVER_SCHEMAS[key].fieldNames())
 
 
 def t_teams(spark, d):
