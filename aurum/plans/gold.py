@@ -87,11 +87,16 @@ def recent_finished_periods(gameweeks: DataFrame, n: int = RECENT_PERIODS) -> Da
 
 
 def recent_performance(gameweeks: DataFrame, live: DataFrame, n: int = RECENT_PERIODS) -> DataFrame:
-    # the (at most n) recent period ids are fetched as literals: the live table is then
-    # read only in those period partitions (static partition pruning), and the inner join
-    # on the unique period id becomes a filter
-    recent = [r[0] for r in recent_finished_periods(gameweeks, n).collect()]
-    gl = live.where(F.col("gameweek").isin(recent))
+    # the live table is read only in the recent periods' partitions: the range of the (at
+    # most n) recent ids bounds the scan through scalar subqueries evaluated at run time,
+    # and the semi join on the ids (broadcast, <= n rows) keeps exactly those periods and
+    # adds dynamic partition pruning.  Nothing is fetched while building the plan, so a
+    # published view always uses the current periods.
+    recent = recent_finished_periods(gameweeks, n)
+    bounds = recent.agg(F.min("gameweek_id").alias("lo"), F.max("gameweek_id").alias("hi"))
+    period = F.col("gameweek")
+    gl = (live.where(period.between(bounds.select("lo").scalar(), bounds.select("hi").scalar()))
+              .join(recent, period == recent["gameweek_id"], "left_semi"))
     return gl.groupBy("player_id").agg(
         F.count_if(F.col("played")).alias("matches_played"),
         F.sum("total_points").alias("points_last_5"),
