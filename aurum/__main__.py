@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     land = sub.add_parser("land")
     for flag in ("--season", "--fixtures", "--live", "--landing", "--config", "--audit"):
         land.add_argument(flag, required=True)
-    land.add_argument("--source", default="fpl-api")
+    land.add_argument("--source", default="season-api")
     land.set_defaults(fn=cmd_land)
     ref = sub.add_parser("refresh")
     ref.add_argument("--landing", required=True)

@@ -37,9 +37,9 @@ def test_full_refresh_landing_to_gold(spark, scratch):
         dump(f"{live_docs}/gameweek={gw}", {"elements": elems})
 
     assert set(J.ensure_layers(spark, "t_")) == {"t_bronze", "t_silver", "t_gold"}
-    cfg = spark.createDataFrame([("fpl", "players", "full", "1"), ("fpl", "teams", "full", "1"),
-                                 ("fpl", "gameweeks", "full", "1"), ("fpl", "fixtures", "full", "1"),
-                                 ("fpl", "positions", "full", "1"), ("fpl", "gameweek_live", "incremental", "1")],
+    cfg = spark.createDataFrame([("feed", "players", "full", "1"), ("feed", "teams", "full", "1"),
+                                 ("feed", "gameweeks", "full", "1"), ("feed", "fixtures", "full", "1"),
+                                 ("feed", "positions", "full", "1"), ("feed", "gameweek_live", "incremental", "1")],
                                 SC.CONFIG)
     day = dt.date(2026, 1, 5)
 
@@ -49,12 +49,12 @@ def test_full_refresh_landing_to_gold(spark, scratch):
     extractors = {t: season_table(t) for t in ["players", "teams", "gameweeks", "fixtures", "positions"]}
     extractors["gameweek_live"] = lambda load_type, last, current: J.land_live(spark, live_docs, landing, day,
                                                                                last + 1, current)
-    counts = J.run_loads(spark, cfg, "fpl", extractors, audit, current=2, final=1, clock=clock())
+    counts = J.run_loads(spark, cfg, "feed", extractors, audit, current=2, final=1, clock=clock())
     assert counts == {"players": 3, "teams": 2, "gameweeks": 2, "fixtures": 2, "positions": 1, "gameweek_live": 4}
     marks = {r.tablename: r.load_watermark for r in spark.read.parquet(audit).collect()}
     assert marks["gameweek_live"] == "1" and marks["players"] == "2"
     # nothing new: audited as EMPTY, watermark unchanged
-    assert J.run_loads(spark, cfg.where("table_name = 'gameweek_live'"), "fpl",
+    assert J.run_loads(spark, cfg.where("table_name = 'gameweek_live'"), "feed",
                        {"gameweek_live": lambda lt, last, cur: 0}, audit, 2, 1, clock()) == {"gameweek_live": 0}
     live_rows = [r for r in spark.read.parquet(audit).collect() if r.tablename == "gameweek_live"]
     assert sorted((r.status, r.load_watermark) for r in live_rows) == [("EMPTY", None), ("SUCCESS", "1")]
@@ -90,10 +90,10 @@ def test_command_line_refresh_and_gold(spark, scratch, capsys):
     dump(fx, jsonable([fixture(1, 1, 1, 2, 1, 0, True), fixture(2, 2, 2, 1)]))
     dump(f"{live_docs}/gameweek=1", {"elements": [{"id": 1, "stats": {"minutes": 90, "total_points": 8}}]})
     os.makedirs(local_path(cfg), exist_ok=True)
-    with open(os.path.join(local_path(cfg), "load_config.csv"), "w") as f:
+    with open(os.path.join(local_path(cfg), "tables.csv"), "w") as f:
         f.write("datasource,table_name,load_type,is_active\n"
-                + "\n".join(f"fpl-api,{t},full,1" for t in ["players", "teams", "fixtures", "gameweeks"])
-                + "\nfpl-api,gameweek_live,incremental,1\nfpl-api,positions,full,0\n")
+                + "\n".join(f"season-api,{t},full,1" for t in ["players", "teams", "fixtures", "gameweeks"])
+                + "\nseason-api,gameweek_live,incremental,1\nseason-api,positions,full,0\n")
     main(["land", "--season", doc, "--fixtures", fx, "--live", live_docs, "--landing", landing,
           "--config", cfg, "--audit", audit])
     main(["refresh", "--landing", landing, "--silver", silver])
@@ -107,13 +107,13 @@ def test_command_line_refresh_and_gold(spark, scratch, capsys):
 def test_failures_are_isolated_per_table(spark, scratch):
     import pytest
 
-    cfg = spark.createDataFrame([("fpl", "players", "full", "1"), ("fpl", "teams", "full", "1")], SC.CONFIG)
+    cfg = spark.createDataFrame([("feed", "players", "full", "1"), ("feed", "teams", "full", "1")], SC.CONFIG)
     audit = scratch("audit")
 
     def boom(*_):
         raise RuntimeError("feed unavailable")
 
-    counts = J.run_loads(spark, cfg, "fpl", {"players": boom, "teams": lambda *_: 3}, audit, 2, 1, clock())
+    counts = J.run_loads(spark, cfg, "feed", {"players": boom, "teams": lambda *_: 3}, audit, 2, 1, clock())
     assert counts == {"players": None, "teams": 3}
     assert [r.tablename for r in spark.read.parquet(audit).collect()] == ["teams"]
 
@@ -132,8 +132,8 @@ def test_watermark_stops_at_a_missing_period(spark, scratch):
     live_docs, landing, audit = scratch("live-docs"), scratch("landing"), scratch("audit")
     for gw in (1, 3):      # period 2 failed upstream: no document
         dump(f"{live_docs}/gameweek={gw}", {"elements": [{"id": 1, "stats": {"minutes": 90}}]})
-    cfg = spark.createDataFrame([("fpl", "gameweek_live", "incremental", "1")], SC.CONFIG)
+    cfg = spark.createDataFrame([("feed", "gameweek_live", "incremental", "1")], SC.CONFIG)
     ext = {"gameweek_live": lambda lt, last, cur: J.land_live(spark, live_docs, landing, dt.date(2026, 1, 5),
                                                               last + 1, cur)}
-    assert J.run_loads(spark, cfg, "fpl", ext, audit, current=3, final=3, clock=clock()) == {"gameweek_live": 2}
+    assert J.run_loads(spark, cfg, "feed", ext, audit, current=3, final=3, clock=clock()) == {"gameweek_live": 2}
     assert [r.load_watermark for r in spark.read.parquet(audit).collect()] == ["1"]

@@ -89,11 +89,11 @@ def test_incremental_slice_bounds(spark):
 
 def test_config_filter_and_dispatch(spark, scratch):
     path = scratch("config")
-    rows = [("fpl", "players", "full", "1"), ("fpl", "teams", "full", "0"), ("other", "x", "full", "1"),
-            ("fpl", "gameweek_live", "incremental", "1"), ("fpl", "unknown", "full", "1")]
+    rows = [("feed", "players", "full", "1"), ("feed", "teams", "full", "0"), ("other", "x", "full", "1"),
+            ("feed", "gameweek_live", "incremental", "1"), ("feed", "unknown", "full", "1")]
     spark.createDataFrame(rows, SC.CONFIG).coalesce(1).write.option("header", True).csv(path)
     cfg = RD.read_csv_table(spark, path, SC.CONFIG)
-    plan = CL.dispatch(cfg, {"players": lambda: None, "teams": lambda: None, "gameweek_live": lambda gw: None}, "fpl")
+    plan = CL.dispatch(cfg, {"players": lambda: None, "teams": lambda: None, "gameweek_live": lambda gw: None}, "feed")
     assert {k: v[0] for k, v in plan.items()} == {"players": "full", "gameweek_live": "incremental"}
     assert RD.read_csv_table(spark, path + "-missing", SC.CONFIG).count() == 0
 
