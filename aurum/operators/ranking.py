@@ -38,22 +38,40 @@ def default_buckets(df: DataFrame) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * parts))
 
 
-def value_bucket(counts: DataFrame, metric: str, descending: bool, buckets: int) -> Column:
-    """Bucket index, monotone in ``metric`` (non-increasing for DESC); NULL metrics last
-    for DESC and first for ASC, like the sort order of ``rank``."""
+def _count_below(x: Column, bounds: Column, lo: int, hi: int) -> Column:
+    """Number of entries of the ascending array ``bounds`` that are < ``x``, by binary
+    search over positions lo..hi (a nested CASE: log2(n) comparisons per row).  Missing
+    positions (a shorter array) compare as NULL and count as not below."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.try_element_at(bounds, F.lit(mid + 1)) < x, _count_below(x, bounds, mid + 1, hi)) \
+            .otherwise(_count_below(x, bounds, lo, mid))
+
+
+def value_bucket(counts: DataFrame, metric: str, descending: bool, buckets: int) -> DataFrame:
+    """``counts`` with ``__b``: a bucket index monotone in ``metric`` (non-increasing for
+    DESC); NULL metrics last for DESC and first for ASC, like the sort order of ``rank``.
+
+    The boundaries are approximate quantiles of the distinct values, computed by a scalar
+    subquery in the same plan and attached once as a column; each row then needs
+    log2(buckets) comparisons.
+    """
     m = F.col(metric)
     if buckets <= 1 or not _numeric(counts, metric):
-        return F.lit(0)
+        return counts.withColumn("__b", F.lit(0))
     md = m.cast("double")
     probs = [i / buckets for i in range(1, buckets)]
     bounds = (counts.where(m.isNotNull() & ~F.isnan(md))
                     .select(F.array_distinct(F.percentile_approx(md, probs, 100 * buckets)).alias("b"))
                     .scalar())
-    # number of boundaries strictly below m (array functions only: the boundaries are a subquery)
-    below = F.array_position(F.sort_array(F.array_union(bounds, F.array(md))), md) - 1
+    with_bounds = counts.withColumn("__bounds", bounds)
+    below = _count_below(md, F.col("__bounds"), 0, len(probs))
     if descending:
-        return F.when(m.isNull(), F.lit(buckets + 1)).otherwise(F.lit(buckets) - F.coalesce(below, F.lit(0)))
-    return F.when(m.isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
+        b = F.when(m.isNull(), F.lit(buckets + 1)).otherwise(F.lit(buckets) - below)
+    else:
+        b = F.when(m.isNull(), F.lit(-1)).otherwise(below)
+    return with_bounds.withColumn("__b", b).drop("__bounds")
 
 
 def _rank_table(counts: DataFrame, metric: str, by: list[str], descending: bool, out: str) -> DataFrame:
@@ -93,7 +111,7 @@ def rank_columns(df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]],
         keys += [k for k in by if k not in keys]
     nb = buckets if buckets is not None else default_buckets(df)
     counts = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn("__b", value_bucket(counts, metric, descending, nb).cast("int"))
+    counts = value_bucket(counts, metric, descending, nb).withColumn("__b", F.col("__b").cast("int"))
 
     # start from a rank computed at the finest grain (its rows are exactly the distinct
     # keys); coarser ranks are joined onto it by their own keys
