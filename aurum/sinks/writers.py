@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aurum.session import path_exists as _exists
+from aurum.sources.readers import JSON_OPTIONS  # noqa: F401  (re-exported for writers' callers)
 
 LANDING_KEY = "load_key"
-# full-precision timestamp text in JSON (the default pattern keeps only milliseconds)
-JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def landing_key(table: str, load_date: dt.date) -> str:

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from aurum.session import path_exists
 
 CORRUPT = "_corrupt_record"
+# full-precision timestamp text in JSON, for reading and writing (the default pattern
+# keeps only milliseconds)
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
