@@ -93,9 +93,9 @@ def recent_performance(gameweeks: DataFrame, live: DataFrame, n: int = RECENT_PE
     # adds dynamic partition pruning.  Nothing is fetched while building the plan, so a
     # published view always uses the current periods.
     recent = recent_finished_periods(gameweeks, n)
-    bounds = recent.agg(F.min("gameweek_id").alias("lo"), F.max("gameweek_id").alias("hi"))
+    bounds = recent.agg(F.struct(F.min("gameweek_id").alias("lo"), F.max("gameweek_id").alias("hi"))).scalar()
     period = F.col("gameweek")
-    gl = (live.where(period.between(bounds.select("lo").scalar(), bounds.select("hi").scalar()))
+    gl = (live.where(period.between(bounds["lo"], bounds["hi"]))
               .join(recent, period == recent["gameweek_id"], "left_semi"))
     return gl.groupBy("player_id").agg(
         F.count_if(F.col("played")).alias("matches_played"),
