@@ -78,3 +78,16 @@ def test_no_python_in_headline_plans(spark):
             continue
         text = plan(spark, key)
         assert not nodes(text, "(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)"), key
+
+
+def test_form_window_prunes_live_partitions(spark):
+    text = plan(spark, "form_leaderboard")
+    filters = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "gameweek" in ln]
+    assert filters
+    assert all("dynamicpruningexpression" in f and "Subquery" in f for f in filters)
+
+
+def test_incremental_slice_prunes_statically(spark):
+    text = plan(spark, "incremental_slice")
+    filters = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "gameweek" in ln]
+    assert filters and all(">=" in f and "<=" in f for f in filters)
