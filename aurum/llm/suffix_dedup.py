@@ -269,16 +269,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be {2 * GRAM} or more")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     found = written(keyed.mapInArrow(_anchored(length), "anchor long, context long, doc_id long, text_hash long, pos long"), "suffix-anchors")
-    kinds = (found.groupBy("anchor", "context")
-             .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "pos")).alias("one")))
-    kinds = written(kinds, "suffix-contexts")
-    # a context that occurs again is repeated as a whole
-    again = kinds.where("n > 1").select("anchor", "context")
-    whole = (found.join(again, ["anchor", "context"])
-             .groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("whole")))
-    met = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 and fewest = 1").select("anchor")
-    wanted = (kinds.join(met, "anchor").select("one.*", F.struct("anchor", "one.pos", (F.col("n") == 1).alias("single")).alias("w"))
-              .groupBy("doc_id", "text_hash").agg(F.collect_list("w").alias("wanted")))
+    kinds = found.groupBy("anchor", "context").agg(F.count("*").alias("n"))
+    # per anchor: a context that occurs again is repeated as a whole; one that doesn't has to be compared with the others
+    anchors_ = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"), F.max("n").alias("most"))
+    used = (kinds.join(anchors_.where("most > 1 or kinds > 1"), "anchor")
+            .select("anchor", "context", (F.col("n") == 1).alias("single"), F.expr("kinds > 1 and fewest = 1").alias("compared")))
+    placed = written(found.join(used, ["anchor", "context"]), "suffix-placed")
+    whole = placed.where("not single").groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("whole"))
+    one = (placed.where("compared and not single").groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("one"))
+           .select("one.*", "anchor", F.lit(False).alias("single")))
+    wanted = (placed.where("compared and single").select("doc_id", "text_hash", "pos", "anchor", "single").union(one)
+              .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "pos", "single")).alias("wanted")))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
     texts_of = keyed.join(wanted, same(keyed, wanted), "inner").select(keyed["doc_id"], keyed["text_hash"], "text", "wanted")
     contexts = texts_of.mapInArrow(_contexts(length), "anchor long, doc_id long, text_hash long, at long, single boolean, bytes binary")
