@@ -6,10 +6,12 @@
    signatures agree in a register with a probability equal to the probability Jaccard similarity.
 2. Banding: ``BANDS`` bands of ``ROWS`` registers; a pair of similarity 0.8 misses all bands once in
    300,000 times, and one of 0.9 never in practice.
-3. Verification, first round: all texts of a bucket against its smallest one.  Verified links give
-   components.  Second round: buckets that hold several components are compared across components,
-   in blocks of bounded size; the signatures sift the pairs and the texts decide.  So no verified
-   pair of a bucket is left out, although no round lists the pairs inside a component.
+3. Verification, first round: all texts of a bucket against its hub, the one that meets the most others in
+   all of its buckets (of edited copies, the original).  Verified links give components.  Second round:
+   buckets that hold several components are compared across components, in blocks of bounded size; long
+   signatures sift the pairs where they meet, so that only those near the threshold leave the block, and
+   the texts decide.  So no similar pair of a bucket is left out, although no round lists the pairs
+   inside a component.
 4. Components of all links (alternating large-star and small-star steps); a class is named by its
    smallest doc_id.
 
@@ -38,8 +40,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 BLOCK = 512
-#: Registers that two signatures must share before texts are compared: at a similarity of 0.8 fewer agree once in 10**8 times.
-SIFT = 54
+#: Registers of the long signatures, and how many must agree before texts are compared: at a similarity of 0.8
+#: (a standard deviation of 0.0125) fewer agree once in 300,000 times.
+LONG = 1024
+SIFT = int((SIMILARITY - 4.5 * 0.0125) * LONG)
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -113,6 +117,15 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch["node"].take(pa.array(full)), pa.array([x.tobytes() for x in signed], pa.binary())], names=["node", "signature"])
 
 
+def _long_signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Long signatures, a byte of each register."""
+    for batch in chunked(batches, "text", 1 << 20):
+        known: dict[bytes, int] = {}
+        signed = signatures([shingles(x, known) for x in texts(batch["text"])], LONG)
+        yield pa.RecordBatch.from_arrays(
+            [batch["node"], pa.array([x.tobytes() for x in (mix64(signed) & np.uint64(255)).astype(np.uint8)], pa.binary())], names=["node", "signature"])
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
@@ -149,7 +162,7 @@ def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs(rows: list[tuple]) -> set[tuple[int, int]]:
         node, comp = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
         side = np.array([r[0] for r in rows])
-        signed = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
+        signed = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
         found = set()
         for k in range(len(rows)):
             # within a block all later rows, across two blocks the rows of the other one
@@ -214,8 +227,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = written(nodes.select("node", "text").where(F.col("text").isNotNull()).mapInArrow(_signed, "node long, signature binary")
                      .groupBy("node").agg(F.first("signature").alias("signature")), "minhash-signatures")
     banded = signed.mapInArrow(_banded, "key long, node long")
-    leaders = banded.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    buckets = written(banded.join(leaders, "key"), "minhash-buckets")
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    located = written(banded.join(shared, "key"), "minhash-located")
+    meets = located.groupBy("node").agg(F.sum("n").alias("meets"))
+    hubs = located.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("leader"))
+    buckets = written(located.join(hubs, "key"), "minhash-buckets")
     needed = buckets.select("node").distinct()
     node_texts = written(nodes.select("node", "text").join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")),
                          "minhash-texts")
@@ -223,17 +239,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      node_texts, "minhash-links")
     parts = components(first, "minhash-components")
     # buckets in which several components meet, in pairs of blocks
-    located = buckets.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = located.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    in_parts = buckets.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = in_parts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     n_blocks = F.ceil(F.col("n") / BLOCK)
-    blocks = (located.join(mixed, "key").select("key", "node", "component", n_blocks.alias("blocks"),
+    blocks = (in_parts.join(mixed, "key").select("key", "node", "component", n_blocks.alias("blocks"),
                                                 F.pmod(F.xxhash64("node", "key"), n_blocks).alias("own"))
               .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
               .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                       F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
                       "node", "component"))
+    in_mixed = blocks.select("node").distinct()
+    long_signed = written(node_texts.join(in_mixed, "node", "left_semi").mapInArrow(_long_signed, "node long, signature binary"), "minhash-long")
     tried = buckets.where("node <> leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
-    sifted = (blocks.join(signed, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    sifted = (blocks.join(long_signed, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
               .select("key", "i", "j", "side", "node", "component", "signature").mapInArrow(_sifted, "a long, b long").distinct()
               .join(tried.distinct(), ["a", "b"], "left_anti"))
     second = verified(sifted, node_texts, "minhash-more-links")
