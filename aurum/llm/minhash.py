@@ -123,7 +123,8 @@ def _long_signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         signed = signatures([shingles(x, known) for x in texts(batch["text"])], LONG)
         yield pa.RecordBatch.from_arrays(
-            [batch["node"], pa.array([x.tobytes() for x in (mix64(signed) & np.uint64(255)).astype(np.uint8)], pa.binary())], names=["node", "signature"])
+            [batch["node"], batch["keys"], pa.array([x.tobytes() for x in (mix64(signed) & np.uint64(255)).astype(np.uint8)], pa.binary())],
+            names=["node", "keys", "signature"])
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,22 +155,24 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, side, node, component, signature), sorted by key, i, j, to similar pairs of two components.
+    """Rows (key, i, j, side, node, component, keys, signature), sorted by key, i, j, to similar pairs of two components.
 
     A group is a pair of blocks of a bucket, of about ``BLOCK`` rows each; side says which blocks a row belongs to.
+    A pair comes from the smallest of the buckets that it shares.
     """
 
-    def pairs(rows: list[tuple]) -> set[tuple[int, int]]:
+    def pairs(key: int, rows: list[tuple]) -> set[tuple[int, int]]:
         node, comp = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
         side = np.array([r[0] for r in rows])
-        signed = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+        signed = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
         found = set()
         for k in range(len(rows)):
             # within a block all later rows, across two blocks the rows of the other one
             others = np.flatnonzero(comp != comp[k])
             others = others[others > k] if side[k] == 2 else others[side[others] == 1] if side[k] == 0 else others[:0]
             same = (signed[others] == signed[k]).sum(1)
-            found.update((min(int(node[k]), x), max(int(node[k]), x)) for x in node[others[same >= SIFT]].tolist())
+            own, keys = int(node[k]), set(rows[k][3])
+            found.update((min(own, rows[x][1]), max(own, rows[x][1])) for x in others[same >= SIFT].tolist() if min(keys.intersection(rows[x][3])) == key)
         return found
 
     def out(found: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -179,15 +182,15 @@ def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group, rows = None, []
     for batch in batches:
         found: set[tuple[int, int]] = set()
-        for key, i, j, *row in zip(*(batch[c].to_pylist() for c in ("key", "i", "j", "side", "node", "component", "signature")), strict=True):
+        for key, i, j, *row in zip(*(batch[c].to_pylist() for c in ("key", "i", "j", "side", "node", "component", "keys", "signature")), strict=True):
             if (key, i, j) != group:
                 if len(rows) > 1:
-                    found |= pairs(rows)
+                    found |= pairs(group[0], rows)
                 group, rows = (key, i, j), []
             rows.append(tuple(row))
         yield out(found)
     if len(rows) > 1:
-        yield out(pairs(rows))
+        yield out(pairs(group[0], rows))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -248,11 +251,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                       F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
                       "node", "component"))
-    in_mixed = blocks.select("node").distinct()
-    long_signed = written(node_texts.join(in_mixed, "node", "left_semi").mapInArrow(_long_signed, "node long, signature binary"), "minhash-long")
+    in_mixed = in_parts.join(mixed, "key").groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most BANDS keys
+    long_signed = written(node_texts.join(in_mixed, "node").select("node", "keys", "text")
+                          .mapInArrow(_long_signed, "node long, keys array<long>, signature binary"), "minhash-long")
     tried = buckets.where("node <> leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
     sifted = (blocks.join(long_signed, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-              .select("key", "i", "j", "side", "node", "component", "signature").mapInArrow(_sifted, "a long, b long").distinct()
+              .select("key", "i", "j", "side", "node", "component", "keys", "signature").mapInArrow(_sifted, "a long, b long").distinct()
               .join(tried.distinct(), ["a", "b"], "left_anti"))
     second = verified(sifted, node_texts, "minhash-more-links")
     # links between components, then the components of both rounds
