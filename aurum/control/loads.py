@@ -92,12 +92,14 @@ def audit_rows(counts: DataFrame, data_source: str, table: str, load_type: str,
 
 def dispatch(config_rows: DataFrame, builders: Mapping[str, Callable[..., DataFrame]],
              datasource: str) -> dict[str, tuple[str, Callable[..., DataFrame]]]:
-    """Active config rows -> {table: (load_type, builder)}; tables without a builder are skipped.
+    """Active config rows -> {table: (load_type, builder)}; load types
+    are lower-cased, an active table without a builder is an error.
 
     The config table is a handful of control rows, so it is read on the driver.
     """
     out = {}
     for r in active_tables(config_rows, datasource).select("table_name", "load_type").collect():
-        if r["table_name"] in builders:
-            out[r["table_name"]] = (r["load_type"], builders[r["table_name"]])
+        if r["table_name"] not in builders:
+            raise ValueError(f"no extractor for active table {r['table_name']!r}")
+        out[r["table_name"]] = ((r["load_type"] or "").lower(), builders[r["table_name"]])
     return out

@@ -1,4 +1,8 @@
-"""Dimension lookups: size-checked broadcast, left lookups and role-playing id resolution."""
+"""Dimension lookups: left lookups and role-playing id resolution.
+
+No side carries a broadcast hint: ``spark.sql.autoBroadcastJoinThreshold`` (bytes, from statistics) and
+adaptive execution (from measured sizes) choose the join, at run time and anew as tables grow.
+"""
 
 from __future__ import annotations
 
@@ -7,40 +11,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may hold and still be broadcast by an explicit hint.
-BROADCAST_ROW_LIMIT = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint ``broadcast`` only after proving ``df`` holds at most ``max_rows`` rows.
-
-    The proof is a bounded count (``limit(max_rows + 1)``) that stops early.  Larger
-    sides are returned unchanged, so the planner keeps a shuffle join and AQE may still
-    convert it at runtime from the measured size.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                columns: Mapping[str, str], how: str = "left",
-                max_dim_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                columns: Mapping[str, str], how: str = "left") -> DataFrame:
     """``fact LEFT JOIN dim ON fact.fact_key = dim.dim_key`` adding ``columns`` (dim col -> out name).
 
     The dimension is projected to the key and the needed columns before the join.
     """
-    return role_lookups(fact, dim, dim_key, {fact_key: columns}, how, max_dim_rows)
+    return role_lookups(fact, dim, dim_key, {fact_key: columns}, how)
 
 
 def role_lookups(fact: DataFrame, dim: DataFrame, dim_key: str,
-                 roles: Mapping[str, Mapping[str, str]], how: str = "left",
-                 max_dim_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                 roles: Mapping[str, Mapping[str, str]], how: str = "left") -> DataFrame:
     """One dimension looked up in several roles: ``roles`` maps each fact foreign key to the
-    dimension columns it adds (dim col -> out name).  The dimension's size is checked once
-    and the same (broadcast) side serves every role.
+    dimension columns it adds (dim col -> out name).
     """
     needed = sorted({src for cols in roles.values() for src in cols})
-    side = bounded_broadcast(dim.select(F.col(dim_key).alias("__lk"), *needed), max_dim_rows)
+    side = dim.select(F.col(dim_key).alias("__lk"), *needed)
     out = fact
     for fk, cols in roles.items():
         key = f"__lk_{fk}"
@@ -50,7 +36,7 @@ def role_lookups(fact: DataFrame, dim: DataFrame, dim_key: str,
 
 
 def resolve_ids(fact: DataFrame, dim: DataFrame, dim_key: str, value_col: str,
-                roles: Mapping[str, str], max_dim_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                roles: Mapping[str, str]) -> DataFrame:
     """Role-playing lookup: for each ``fk -> out`` in ``roles`` add ``dim.value_col`` as ``out``
     via a left join on ``fact.fk = dim.dim_key``.
 

@@ -3,8 +3,8 @@
 ``MERGE INTO t USING s ON keys WHEN MATCHED THEN UPDATE * WHEN NOT MATCHED THEN INSERT *``
 re-expressed for a plain parquet table partitioned by a period column:
 
-* only partitions the source touches are read and rewritten (partition pruning from a
-  literal list of partition values, dynamic partition overwrite on write);
+* only partitions the source touches are read and rewritten (run-time bounds and a semi join on
+  the touched values, dynamic partition overwrite on write); no list of them reaches the driver;
 * in those partitions: target rows without a source match (left anti join on the keys)
   plus all source rows;
 * source keys must be unique and non-NULL (MERGE rejects several source rows matching one
@@ -17,48 +17,44 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aurum.session import path_exists
 
-# partitions one upsert may rewrite; the touched partition values are the only thing
-# the driver collects, so this bounds it
-MAX_TOUCHED_PARTITIONS = 100_000
-
-
 class MergeError(ValueError):
     pass
 
 
-def touched_partitions(source: DataFrame, keys: Sequence[str], partition_col: str,
-                       validate: bool = True) -> list:
-    """Partition values the source touches; with ``validate``, fail on NULL or duplicated keys.
+def touched_partitions(source: DataFrame, keys: Sequence[str], partition_col: str) -> DataFrame:
+    """One row per partition value that the source touches: ``n`` rows, the largest count of a key, a NULL-key flag.
 
-    One job: rows are counted per key, then folded per partition value into the largest
-    count and a NULL-key flag; only one row per touched partition reaches the driver.
+    Rows are counted per key before they are folded per value, so that no value meets in one task.
     """
-    null_key = None
+    null_key = F.lit(False)
     for k in keys:
-        cond = F.col(k).isNull()
-        null_key = cond if null_key is None else (null_key | cond)
+        null_key = null_key | F.col(k).isNull()
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    per_part = per_key.groupBy(partition_col).agg(
-        F.max("__n").alias("__max"), F.max(F.when(null_key, 1).otherwise(0)).alias("__null"))
-    rows = per_part.limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOUCHED_PARTITIONS:
-        raise MergeError("source touches too many partitions for one upsert; split it by period")
-    if validate:
-        if any(r["__null"] for r in rows):
-            raise MergeError(f"source has NULL merge keys {list(keys)}")
-        if any(r["__max"] > 1 for r in rows):
-            raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
-    return [r[partition_col] for r in rows]
+    return per_key.groupBy(partition_col).agg(
+        F.sum("__n").alias("n"), F.max("__n").alias("most"), F.max(null_key).alias("has_null"))
+
+
+def _check(touched: DataFrame, keys: Sequence[str]) -> int:
+    """Fail on NULL or duplicated keys; else the number of rows (one row reaches the driver)."""
+    row = touched.agg(F.sum("n").alias("rows"), F.max("most").alias("most"),
+                      F.max("has_null").alias("has_null")).first()
+    if row["has_null"]:
+        raise MergeError(f"source has NULL merge keys {list(keys)}")
+    if (row["most"] or 0) > 1:
+        raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
+    return row["rows"] or 0
 
 
 def check_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
     """Fail on NULL or duplicated keys (same rules as the upsert's own check)."""
-    touched_partitions(source.withColumn("__all", F.lit(0)), [*keys, "__all"], "__all")
+    _check(touched_partitions(source.withColumn("__all", F.lit(0)), [*keys, "__all"], "__all"), keys)
 
 
 def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
@@ -80,34 +76,56 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
         source.unpersist()
 
 
+def _target(spark: SparkSession, path: str, source: DataFrame, partition_col: str) -> DataFrame:
+    """The target in its own schema; a target column that the source lacks would be lost, so that is an error."""
+    try:
+        own = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without any file yet
+            raise
+        own = T.StructType([])
+    missing = [f.name for f in own.fields if f.name not in source.columns]
+    if missing:
+        raise MergeError(f"source lacks target columns {missing}")
+    kind = source.schema[partition_col]  # folder names carry no type
+    return spark.read.schema(T.StructType([f if f.name != partition_col else kind for f in source.schema.fields])).parquet(path)
+
+
 def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
            partition_col: str, validate: bool) -> dict:
     cols = source.columns
-    touched = touched_partitions(source, keys, partition_col, validate)
-    if not touched:
+    touched = touched_partitions(source, keys, partition_col)
+    if validate:
+        n_rows = _check(touched, keys)
+    else:
+        n_rows = touched.agg(F.sum("n")).first()[0] or 0
+    if not n_rows:
         return {"source_rows": 0, "kept_rows": 0}
-    exists = path_exists(spark, target_path)
-    target = spark.read.schema(source.schema).parquet(target_path) if exists else None
     mark = "__from_source"
     src = source.select(*cols, F.lit(True).alias(mark))
-    if exists:
-        current = target.where(F.col(partition_col).isin(touched)).select(*cols)
+    if path_exists(spark, target_path):
+        target = _target(spark, target_path, source, partition_col)
+        # bounds known at run time prune the folders before the join picks the touched ones
+        span = touched.agg(F.min(partition_col).alias("low"), F.max(partition_col).alias("high"))
+        p = F.col(partition_col)
+        current = (target.where((p >= span.select("low").scalar()) & (p <= span.select("high").scalar()))
+                   .join(touched.select(partition_col), partition_col, "left_semi").select(*cols))
         kept = current.join(source.select(*keys), list(keys), "left_anti")
         result = kept.withColumn(mark, F.lit(False)).unionByName(src)
     else:
         result = src
-    # writer layout: hash on (period, salt of the other key columns).  Each touched period
-    # is spread over ``salt`` writer tasks (a hot period is never a single task) and each
-    # task writes few period folders; no sampling pass is needed.
+    # writer layout: hash on (period, salt of the other key columns).  A period gets as many salts as its
+    # share of the rows times the writer tasks, so a hot one is spread however many periods there are.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    salt_n = max(1, parts // len(touched))
+    salts = touched.select(F.col(partition_col).alias("__p"), F.ceil(F.lit(parts) * F.col("n") / F.lit(n_rows)).alias("__salts"))
     rest = [F.col(k) for k in keys if k != partition_col]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(salt_n)) if rest else F.lit(0)
+    salt = F.pmod(F.xxhash64(*rest), F.col("__salts")) if rest else F.lit(0)
+    result = result.join(salts, F.col(partition_col) == F.col("__p")).withColumn("__salt", salt).drop("__p", "__salts")
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    staged = (result.repartition(max(1, min(parts, len(touched) * salt_n)), F.col(partition_col), salt)
+    staged = (result.repartition(parts, F.col(partition_col), F.col("__salt"))
                     .observe(obs, F.count_if(F.col(mark)).alias("source_rows"),
                              F.count_if(~F.col(mark)).alias("kept_rows")))
-    (staged.drop(mark)
+    (staged.drop(mark, "__salt")
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
     m = obs.get

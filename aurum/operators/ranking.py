@@ -26,16 +26,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_BUCKETS, MAX_BUCKETS = 32, 256
-
-
-def _numeric(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, T.NumericType)
+MIN_BUCKETS = 32
+# entries that the boundary sketch keeps for each bucket
+SKETCH_PER_BUCKET = 20
+
+
+def _position(df: DataFrame, c: str) -> Column | None:
+    """A double that never decreases as ``c`` grows, for any orderable scalar type; equal values
+    share it, different values may.  Texts take their first six bytes, in the order of bytes."""
+    t, m = df.schema[c].dataType, F.col(c)
+    if isinstance(t, (T.NumericType, T.BooleanType)):
+        return m.cast("int").cast("double") if isinstance(t, T.BooleanType) else m.cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(m).cast("double")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(m).cast("double")
+    if isinstance(t, T.TimestampNTZType):
+        return F.unix_micros(m.cast("timestamp")).cast("double")
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(m.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return None
 
 
 def default_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * parts))
+    return max(MIN_BUCKETS, 2 * parts)
 
 
 def _count_below(x: Column, bounds: Column, lo: int, hi: int) -> Column:
@@ -58,12 +74,12 @@ def value_bucket(counts: DataFrame, metric: str, descending: bool, buckets: int)
     log2(buckets) comparisons.
     """
     m = F.col(metric)
-    if buckets <= 1 or not _numeric(counts, metric):
+    md = _position(counts, metric)
+    if buckets <= 1 or md is None:
         return counts.withColumn("__b", F.lit(0))
-    md = m.cast("double")
     probs = [i / buckets for i in range(1, buckets)]
     bounds = (counts.where(m.isNotNull() & ~F.isnan(md))
-                    .select(F.array_distinct(F.percentile_approx(md, probs, 100 * buckets)).alias("b"))
+                    .select(F.array_distinct(F.percentile_approx(md, probs, SKETCH_PER_BUCKET * buckets)).alias("b"))
                     .scalar())
     with_bounds = counts.withColumn("__bounds", bounds)
     below = _count_below(md, F.col("__bounds"), 0, len(probs))

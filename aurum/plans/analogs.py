@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.functions.scalars import period_of
-from aurum.operators.lookup import bounded_broadcast
 
 # ---- fixed values of the analog (shared with the SQL oracle) -----------------------
 PERIOD_ORIGIN = "1995-01-01"
@@ -213,8 +212,7 @@ def bronze_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # attach the customer's nation at order grain first (a quarter of the line rows), so
     # the line-sized rows are shuffled once for the order join and once for the supplier join
-    # (two narrow columns: broadcast when proven small, else a shuffle join)
-    oc = bounded_broadcast(o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", "c_nationkey"))
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", "c_nationkey")
     f = (li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
            .join(s, F.col("l_suppkey") == s["s_suppkey"]))
     fin = F.col("l_linestatus") == "F"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from aurum.functions.scalars import (bands, coalesce_zero, guarded_ratio, is_false, is_true,
                                      lit_concat, nullif_ratio, weighted_sum)
-from aurum.operators.lookup import bounded_broadcast, resolve_ids
+from aurum.operators.lookup import resolve_ids
 from aurum.operators.ranking import rank_by, rank_columns, recent_n, top_n_per_group
 from aurum.operators.reshape import unpivot_sides
 
@@ -147,10 +147,8 @@ def next_period_fixtures(fixtures: DataFrame) -> DataFrame:
 
 def captaincy_picks(overview: DataFrame, fixtures: DataFrame, ordered: bool = False) -> DataFrame:
     p = overview.where((F.col("availability_label") == AVAILABLE) & (F.col("minutes") >= MIN_MINUTES))
-    # the next period's fixtures are few per team (two sides per fixture of one period):
-    # broadcast after proving the size, so the player side is never shuffled by a key with
-    # only a handful of values; beyond the bound it is a shuffle join that AQE skew-splits
-    nf = bounded_broadcast(next_period_fixtures(fixtures).withColumnRenamed("team_id", "nf_team_id"))
+    # no hint: the view outlives the size of its tables, so the join is chosen at run time
+    nf = next_period_fixtures(fixtures).withColumnRenamed("team_id", "nf_team_id")
     j = p.join(nf, p["team_id"] == nf["nf_team_id"], "inner")
     wf, wp, wb, wt, wd = CAPTAINCY_WEIGHTS
     score = weighted_sum([

@@ -106,11 +106,13 @@ def bronze_views(spark: SparkSession, landing: str, prefix: str = "bronze_") ->
     """
     out = {}
     for table, schema in SC.BRONZE.items():
-        df = RD.read_json_lines(spark, f"{landing.rstrip('/')}/{table}", schema, with_file=True)
+        df = RD.read_json_lines(spark, f"{landing.rstrip('/')}/{table}", schema, with_file=True, fail_corrupt=True)
         df = df.withColumn("landed_on", date_from_name("source_file")).drop("source_file")
         if table != "gameweek_live":
             latest = df.agg(F.max("landed_on").alias("landed_on"))   # one row
-            df = df.join(F.broadcast(latest), "landed_on", "left_semi").drop("landed_on")
+            # the latest dated landing, and every file without a date in its name
+            df = df.join(F.broadcast(latest.withColumnRenamed("landed_on", "__latest"))).where(
+                F.col("landed_on").isNull() | (F.col("landed_on") == F.col("__latest"))).drop("landed_on", "__latest")
         df.createOrReplaceTempView(f"{prefix}{table}")
         out[table] = df
     return out
@@ -210,7 +212,9 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
             mark = final if load_type == "incremental" else current
             if load_type == "incremental" and loaded_to is not None:
                 mark = min(mark, loaded_to)   # never past a period that was not landed
-        # an empty load is recorded as EMPTY without a watermark, so it does not move
+        if load_type == "incremental" and not n:
+            continue   # nothing new: no audit row, the watermark does not move
+        mark = mark or None   # a watermark of zero is recorded as none
         row = spark.createDataFrame([(table, int(n or 0), mark)], "tablename string, record_count long, period long")
         WR.append_audit(row.select(
             F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"),

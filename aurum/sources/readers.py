@@ -17,6 +17,9 @@ CORRUPT = "_corrupt_record"
 # keeps only milliseconds)
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# feeds write ISO-8601 with or without a fraction and with or without a "Z"; both kinds are UTC
+JSON_READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]['Z']",
+                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"}
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -24,14 +27,15 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                    keep_corrupt: bool = False, with_file: bool = False) -> DataFrame:
+                    keep_corrupt: bool = False, with_file: bool = False, fail_corrupt: bool = False) -> DataFrame:
     """Newline-delimited JSON with a fixed schema (the external bronze table).
 
     ``keep_corrupt`` adds ``_corrupt_record`` for lines that do not parse;
-    ``with_file`` adds ``source_file`` from the hidden file metadata column.
+    ``with_file`` adds ``source_file`` from the hidden file metadata column;
+    ``fail_corrupt`` makes such a line an error instead of a row of NULLs.
     """
     sch = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)]) if keep_corrupt else schema
-    r = spark.read.schema(sch).option("mode", "PERMISSIVE").options(**JSON_OPTIONS)
+    r = spark.read.schema(sch).option("mode", "FAILFAST" if fail_corrupt else "PERMISSIVE").options(**JSON_READ_OPTIONS)
     if keep_corrupt:
         r = r.option("columnNameOfCorruptRecord", CORRUPT)
     paths = [path] if isinstance(path, str) else list(path)
@@ -53,7 +57,7 @@ def explode_payload(spark: SparkSession, path: str, key: str, element: T.StructT
     are one per line by default (splittable); ``multiline`` reads whole-file documents.
     """
     doc = T.StructType([T.StructField(key, T.ArrayType(element), True)])
-    reader = spark.read.schema(doc).options(**JSON_OPTIONS)
+    reader = spark.read.schema(doc).options(**JSON_READ_OPTIONS)
     if multiline:
         reader = reader.option("multiLine", True)
     if not path_exists(spark, path):
@@ -93,7 +97,7 @@ def read_live_documents(spark: SparkSession, path: str, element: T.StructType,
     doc = T.StructType([T.StructField("elements", T.ArrayType(element), True)])
     if period is None:
         doc = T.StructType(list(doc.fields) + [T.StructField(period_col, T.LongType(), True)])
-    docs = spark.read.schema(doc).options(**JSON_OPTIONS).json(path)
+    docs = spark.read.schema(doc).options(**JSON_READ_OPTIONS).json(path)
     rows = docs.select(*([F.col(period_col)] if period is None else [F.lit(period).cast("long").alias(period_col)]),
                        F.explode("elements").alias("__e"))
     flat = rows.select(period_col, "__e.*")

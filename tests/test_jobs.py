@@ -53,11 +53,11 @@ def test_full_refresh_landing_to_gold(spark, scratch):
     assert counts == {"players": 3, "teams": 2, "gameweeks": 2, "fixtures": 2, "positions": 1, "gameweek_live": 4}
     marks = {r.tablename: r.load_watermark for r in spark.read.parquet(audit).collect()}
     assert marks["gameweek_live"] == "1" and marks["players"] == "2"
-    # nothing new: audited as EMPTY, watermark unchanged
+    # nothing new: no audit row, watermark unchanged
     assert J.run_loads(spark, cfg.where("table_name = 'gameweek_live'"), "feed",
                        {"gameweek_live": lambda lt, last, cur: 0}, audit, 2, 1, clock()) == {"gameweek_live": 0}
     live_rows = [r for r in spark.read.parquet(audit).collect() if r.tablename == "gameweek_live"]
-    assert sorted((r.status, r.load_watermark) for r in live_rows) == [("EMPTY", None), ("SUCCESS", "1")]
+    assert sorted((r.status, r.load_watermark) for r in live_rows) == [("SUCCESS", "1")]
 
     bronze = J.bronze_views(spark, landing)
     assert spark.table("bronze_players").count() == 3

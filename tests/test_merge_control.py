@@ -90,7 +90,7 @@ def test_incremental_slice_bounds(spark):
 def test_config_filter_and_dispatch(spark, scratch):
     path = scratch("config")
     rows = [("feed", "players", "full", "1"), ("feed", "teams", "full", "0"), ("other", "x", "full", "1"),
-            ("feed", "gameweek_live", "incremental", "1"), ("feed", "unknown", "full", "1")]
+            ("feed", "gameweek_live", "incremental", "1")]
     spark.createDataFrame(rows, SC.CONFIG).coalesce(1).write.option("header", True).csv(path)
     cfg = RD.read_csv_table(spark, path, SC.CONFIG)
     plan = CL.dispatch(cfg, {"players": lambda: None, "teams": lambda: None, "gameweek_live": lambda gw: None}, "feed")
@@ -123,3 +123,23 @@ def test_ensure_table_creates_once(spark, scratch):
     assert WR.ensure_table(spark, path, schema, ["gameweek"]) is True
     assert WR.ensure_table(spark, path, schema, ["gameweek"]) is False
     assert spark.read.schema(schema).parquet(path).count() == 0
+
+
+def test_upsert_spreads_a_hot_period_and_keeps_target_columns(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    rows = [(k, 1, float(k)) for k in range(600)] + [(k, k % 20 + 2, float(k)) for k in range(200)]
+    src = spark.createDataFrame(rows, "player_id long, gameweek long, v double").dropDuplicates(["player_id", "gameweek"])
+    merge_upsert(spark, path, src, ["player_id", "gameweek"], "gameweek")
+    assert spark.read.parquet(path).where("gameweek = 1").select("_metadata.file_path").distinct().count() > 1
+    with pytest.raises(MergeError, match="lacks target columns"):
+        merge_upsert(spark, path, src.drop("v"), ["player_id", "gameweek"], "gameweek")
+    assert spark.read.parquet(path).where("v is null").count() == 0
+
+
+def test_dispatch_lowers_load_types_and_names_missing_extractors(spark):
+    from aurum.control import loads as CL
+
+    config = spark.createDataFrame([("feed", "live", "Incremental", "1")], "datasource string, table_name string, load_type string, is_active string")
+    assert CL.dispatch(config, {"live": print}, "feed")["live"][0] == "incremental"
+    with pytest.raises(ValueError, match="no extractor"):
+        CL.dispatch(config, {}, "feed")

@@ -90,8 +90,11 @@ def test_resolve_ids_four_roles(spark):
     assert (r.a_name, r.b_name, r.c_name, r.d_name) == ("x", "y", "z", None)
 
 
-def test_bounded_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in str(L.bounded_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(L.bounded_broadcast(big, 100)._jdf.queryExecution().logical()).lower()
+def test_lookups_run_no_job_while_planning(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "no job may run here")
+    try:
+        L.left_lookup(spark.range(1000).toDF("a"), spark.range(10).toDF("b").withColumn("c", F.col("b") * 2), "a", "b", {"c": "c"})
+        assert not sc.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

@@ -2,7 +2,9 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aurum.session import local_path
 from aurum.sinks import writers as WR
@@ -69,3 +71,16 @@ def test_streaming_ingest_dedupes_and_skips_processed_files(spark, scratch):
     WR.write_landing(frame(spark, SC.LIVE, [live(2, 2, points=9)]), land, "gameweek_live", dt.date(2026, 1, 4))
     ingest_live(spark, f"{land}/gameweek_live", target, ckpt, loaded_at=clock())
     assert points() == [(1, 1, 50), (2, 1, 6), (2, 2, 9)]
+
+
+@pytest.mark.parametrize("text", ["2025-08-15T19:00:00Z", "2025-08-15T19:00:00", "2025-08-15T19:00:00.000000", "2025-08-15T19:00:00.000Z"])
+def test_feed_timestamps_with_and_without_zone_and_fraction(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text('{"kickoff_time": "%s"}\n' % text)
+    row = RD.read_json_lines(spark, str(tmp_path), T.StructType([T.StructField("kickoff_time", T.TimestampNTZType())])).first()
+    assert row.kickoff_time == dt.datetime(2025, 8, 15, 19)
+
+
+def test_a_malformed_line_is_an_error_where_asked(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": 1}\n{"a": oops\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        RD.read_json_lines(spark, str(tmp_path), T.StructType([T.StructField("a", T.LongType())]), fail_corrupt=True).collect()
