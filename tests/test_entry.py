@@ -13,7 +13,8 @@ SMOKE = "/root/testdata/sf0.001"
 def test_every_query_has_an_oracle_or_is_documented():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == set()
+    # of the optional training-data queries, those that SQL can't express are tested in tests/llm
+    assert {k for k in set(q) - set(o) if k not in E.LLM_QUERIES} == set()
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables not present")
