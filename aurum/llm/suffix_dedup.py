@@ -14,6 +14,11 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts at least at on
    length of the match to the neighbour sampled at both ends of each run.  Inside a run the match of
    the next text position is one byte shorter, so that matching statistics of all positions stream
    from the samples alone.  Positions whose match is ``LENGTH`` bytes or more give the marks.
+   An anchor with more than ``KEY_CONTEXTS`` distinct contexts is split first: a string may hold its anchor
+   at any of ``LENGTH - GRAM + 1`` places, and these places are split into ``SPLIT`` ranges.  All strings of a
+   range share their middle, which becomes the key, and what they cover together the context.  Step 2 is
+   done anew for the new keys, and those that are still crowded are split again, down to single places, where
+   equal keys are equal strings.  So no index holds more than a bounded number of contexts.
 4. The marks of a document are united and its bytes removed in one more pass.
 
 Defined cases: a null or short text has no marks; a null doc_id is an id like any other; repeated rows
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,10 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of contexts in one index.
 INDEX_BYTES = 1 << 20
+#: Distinct contexts that meet under one key; a key with more is split.
+KEY_CONTEXTS = 1024
+#: Ranges into which the places of a crowded key are split.
+SPLIT = 8
 
 
 def sliding(op: np.ufunc, x: np.ndarray, width: int, fill: int) -> np.ndarray:
@@ -227,9 +237,44 @@ def _indexed(length: int):
     return run
 
 
+def _ranges(low: int, high: int) -> list[tuple[int, int]]:
+    """``SPLIT`` ranges, or fewer, of the places from low to high."""
+    step = -(-(high - low + 1) // SPLIT)
+    return [(a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
+
+
+def _split(length: int):
+    """Documents with crowded places to the keys and contexts of the ranges; ranges that don't fit in the text go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in chunked(batches, "text"):
+            data, offsets = utf8(batch["text"])
+            view = memoryview(data)
+            wanted = batch["wanted"].to_pylist()
+            rows, out, hashes = [], [], []
+            for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                for x in wanted[k]:
+                    p = x["pos"] + a
+                    for low, high in _ranges(x["low"], x["high"]):
+                        first, last = max(low, p + length - b), min(high, p - a)
+                        if first <= last:
+                            rows.append(k)
+                            out.append((x["pos"], low, high))
+                            hashes.append((digest(view[p - low:p - high + length], low * length + high), digest(view[p - last:p - first + length], last)))
+            row = pa.array(rows, pa.int64())
+            key, context = np.array(hashes, np.uint64).reshape(-1, 2).T
+            pos, low, high = zip(*out, strict=True) if out else [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.astype(np.int64)), pa.array(context.astype(np.int64)), batch["doc_id"].take(row), batch["text_hash"].take(row),
+                 pa.array(pos, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())],
+                names=["anchor", "context", "doc_id", "text_hash", "pos", "low", "high"])
+
+    return run
+
+
 def _contexts(length: int):
-    """Documents with their wanted anchors to the bytes of the contexts."""
-    left = length - GRAM
+    """Documents with their wanted places to the bytes of the contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches, "text"):
@@ -239,9 +284,9 @@ def _contexts(length: int):
             rows, out = [], []
             for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                 for x in wanted[k]:
-                    start = max(0, x["pos"] - left)
+                    start = max(0, x["pos"] - x["high"])
                     rows.append(k)
-                    out.append((x["anchor"], start, x["single"], bytes(view[a + start:min(b, a + x["pos"] + length)])))
+                    out.append((x["anchor"], start, x["single"], bytes(view[a + start:min(b, a + x["pos"] - x["low"] + length)])))
             row = pa.array(rows, pa.int64())
             anchor, at, single, data = zip(*out, strict=True) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
@@ -263,30 +308,59 @@ def united(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, text_hash, spans): the marks of each text that has any; spans may overlap."""
+def _same(a: DataFrame, b: DataFrame):
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+
+
+def _placed(found: DataFrame, key_contexts: int, name: str) -> DataFrame:
+    """The rows that may be part of a match, each with ``single`` (its context is there once), ``compared``
+    (the contexts of its key have to be compared) and ``crowded`` (too many of them for one index)."""
+    kinds = found.groupBy("anchor", "context").agg(F.count("*").alias("n"))
+    # per key: a context that occurs again is repeated as a whole; one that doesn't has to be compared with the others
+    keys = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"), F.max("n").alias("most"))
+    compared = F.expr("kinds > 1 and fewest = 1")
+    used = (kinds.join(keys.where("most > 1 or kinds > 1"), "anchor")
+            .select("anchor", "context", (F.col("n") == 1).alias("single"), compared.alias("compared"), (compared & (F.col("kinds") > key_contexts)).alias("crowded")))
+    return written(found.join(used, ["anchor", "context"]), name)
+
+
+def _compared(placed: DataFrame) -> DataFrame:
+    """One place of each context to compare."""
+    placed = placed.where("compared")
+    one = (placed.where("not single").groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "text_hash", "pos", "low", "high")).alias("one"))
+           .select("one.*", "anchor", F.lit(False).alias("single")))
+    return placed.where("single").select("doc_id", "text_hash", "pos", "low", "high", "anchor", "single").union(one)
+
+
+def _with_texts(keyed: DataFrame, places: DataFrame) -> DataFrame:
+    wanted = places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "pos", "low", "high", "single")).alias("wanted"))
+    return keyed.join(wanted, _same(keyed, wanted), "inner").select(keyed["doc_id"], keyed["text_hash"], "text", "wanted")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, key_contexts: int = KEY_CONTEXTS) -> DataFrame:
+    """(doc_id, text_hash, whole, parts): the marks of each text that has any; spans may overlap."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    found = written(keyed.mapInArrow(_anchored(length), "anchor long, context long, doc_id long, text_hash long, pos long"), "suffix-anchors")
-    kinds = found.groupBy("anchor", "context").agg(F.count("*").alias("n"))
-    # per anchor: a context that occurs again is repeated as a whole; one that doesn't has to be compared with the others
-    anchors_ = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"), F.max("n").alias("most"))
-    used = (kinds.join(anchors_.where("most > 1 or kinds > 1"), "anchor")
-            .select("anchor", "context", (F.col("n") == 1).alias("single"), F.expr("kinds > 1 and fewest = 1").alias("compared")))
-    placed = written(found.join(used, ["anchor", "context"]), "suffix-placed")
-    whole = placed.where("not single").groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("whole"))
-    one = (placed.where("compared and not single").groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("one"))
-           .select("one.*", "anchor", F.lit(False).alias("single")))
-    wanted = (placed.where("compared and single").select("doc_id", "text_hash", "pos", "anchor", "single").union(one)
-              .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "pos", "single")).alias("wanted")))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
-    texts_of = keyed.join(wanted, same(keyed, wanted), "inner").select(keyed["doc_id"], keyed["text_hash"], "text", "wanted")
-    contexts = texts_of.mapInArrow(_contexts(length), "anchor long, doc_id long, text_hash long, at long, single boolean, bytes binary")
-    parts = (contexts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "text_hash", "at")
-             .mapInArrow(_indexed(length), "doc_id long, text_hash long, start long, stop long")
-             .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("parts")))
-    both = whole.join(parts, whole["doc_id"].eqNullSafe(parts["doc_id"]) & (whole["text_hash"] == parts["text_hash"]), "full")
+    columns = "anchor long, context long, doc_id long, text_hash long, pos long"
+    every = {"low": F.lit(0), "high": F.lit(length - GRAM)}  # the places of an anchor, known without writing them
+    found = written(keyed.mapInArrow(_anchored(length), columns), "suffix-anchors")
+    first = _placed(found, key_contexts, "suffix-placed").withColumns(every)
+    levels = [first]
+    # ends at single places at the latest: there a key has one context
+    while not levels[-1].where("crowded").isEmpty():
+        crowded = _with_texts(keyed, _compared(levels[-1].where("crowded")))
+        found = written(crowded.mapInArrow(_split(length), columns + ", low int, high int"), "suffix-split")
+        levels.append(_placed(found, key_contexts, "suffix-split-placed"))
+    places = reduce(DataFrame.union, (_compared(x.where("not crowded")) for x in levels))
+    contexts = _with_texts(keyed, places).mapInArrow(_contexts(length), "anchor long, doc_id long, text_hash long, at long, single boolean, bytes binary")
+    marks = (contexts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "text_hash", "at")
+             .mapInArrow(_indexed(length), "doc_id long, text_hash long, start long, stop long"))
+    for x in levels[1:]:
+        marks = marks.union(x.where("not single").select("doc_id", "text_hash", F.expr("greatest(pos - high, 0)"), F.expr(f"pos - low + {length}")))
+    whole = first.where("not single").groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("whole"))
+    parts = marks.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("parts"))
+    both = whole.join(parts, _same(whole, parts), "full")
     return both.select(
         F.coalesce(whole["doc_id"], parts["doc_id"]).alias("doc_id"),
         F.coalesce(whole["text_hash"], parts["text_hash"]).alias("text_hash"),
@@ -296,7 +370,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _spans(whole: list[int], parts: list[dict], n_bytes: int, length: int) -> list[tuple[int, int]]:
     left = length - GRAM
-    return united([{"start": max(0, p - left), "stop": min(n_bytes, p + length)} for p in whole or ()] + (parts or []))
+    spans = [{"start": max(0, p - left), "stop": p + length} for p in whole or ()] + (parts or [])
+    return united([{"start": x["start"], "stop": min(n_bytes, x["stop"])} for x in spans])
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:

@@ -274,6 +274,31 @@ def test_suffix_dedup(docs, empty):
     assert suffix_dedup.removed_digests(empty).count() == 0
 
 
+def test_suffix_dedup_splits_crowded_anchors(spark):
+    """Passages below, at and above the length, each in many documents with different surroundings."""
+    rows, passages = [], [prose(400, 900 + n)[:n] for n in (80, 399, 400, 401, 430, 900)]
+    for k in range(72):
+        passage = passages[k % 6]
+        cut = k % 5 * 9 if k % 6 == 5 else 0
+        rows.append((k, prose(20 + 3 * k, 2 * k) + passage[cut:] + prose(300 - 4 * k, 2 * k + 1)))
+    rows += [(72, passages[5] * 2), (73, "ab" * 700), (74, "x" * 1000), (None, passages[4]), (75, passages[4]), (75, passages[4]), (76, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter()
+    for (doc_id, _), gone in zip(rows, brute_removed([text for _, text in rows], 400)[1], strict=True):
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))).tolist()
+        want[doc_id, tuple(zip(edges[::2], edges[1::2], strict=True))] += 1
+    assert sum(n for (_, spans), n in want.items() if spans) > 40
+    for key_contexts in (2, 5, suffix_dedup.KEY_CONTEXTS):
+        spans = suffix_dedup.repeated_spans(docs, key_contexts=key_contexts).collect()
+        marks = {(r.doc_id, r.text_hash): r for r in spans}
+        hashed = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()
+        got = Counter()
+        for r in hashed:
+            own = marks.get((r.doc_id, r.h))
+            got[r.doc_id, tuple(suffix_dedup._spans(own.whole, own.parts, r.n, 400)) if own else ()] += 1
+        assert got == want
+
+
 def test_near_duplicates(spark, docs, empty):
     base = prose(120, 42).split()
     edited = []
