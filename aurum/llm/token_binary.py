@@ -38,6 +38,8 @@ from aurum.llm.files import opened, read_manifest, write_manifest
 MAGIC = b"AURTOK1\n"
 END_ID = 2
 STRETCH_BYTES = 8 << 20
+#: Distinct chunks that one call of the tokenizer gets.
+CHUNKS_AT_ONCE = 2048
 #: Ids that a writer or reader holds at once.
 STRETCH_IDS = range_coder.LANES * range_coder.BLOCK
 
@@ -60,37 +62,26 @@ class Chunks:
         split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in split] == ["Split", "ByteLevel"] and split[0]["behavior"] == "Removed"
         self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.special = [t["content"].encode() for t in parts["added_tokens"]]
+        self.special = [t["content"] for t in parts["added_tokens"]]
 
     def _encode(self, rows: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(rows, add_special_tokens=False)]
 
     def _chunks(self, new: list[bytes]) -> list[bytes]:
-        """Ids of chunks: the library's normaliser, splitter and model, each distinct word once."""
-        normal = self.tokenizer.normalizer.normalize_str
-        split, model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
-        out = []
-        keep_below(self.words, len(new), set())
-        for chunk in new:
-            text = chunk.decode()
-            if any(s in chunk for s in self.special):
-                out.append(self._encode([text])[0])
+        """Ids of chunks, many in one call of the library: blanks part them, and offsets tell which token is whose."""
+        out: list[bytes] = []
+        for k in range(0, len(new), CHUNKS_AT_ONCE):
+            chunks = [x.decode() for x in new[k:k + CHUNKS_AT_ONCE]]
+            joined = " ".join(chunks)
+            if any(s in joined for s in self.special):  # these may take blanks beside them
+                out.extend(self._encode(chunks))
                 continue
-            if text.isalpha() and text.isascii():
-                text = text.lower()
-                ids = self.words.get(text)
-                if ids is None:
-                    ids = self.words[text] = np.array([t.id for t in model(text)], "<u4").tobytes()
-                out.append(ids)
-                continue
-            ids = []
-            for word, _ in split(normal(text)):
-                own = self.words.get(word)
-                if own is None:
-                    own = self.words[word] = np.array([t.id for t in model(word)], "<u4").tobytes()
-                ids.append(own)
-            out.append(b"".join(ids))
+            encoding = self.tokenizer.encode(joined, add_special_tokens=False)
+            starts = np.cumsum([0] + [len(x) + 1 for x in chunks[:-1]])
+            own = np.searchsorted(starts, np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0], side="right") - 1
+            stops = (4 * np.cumsum(np.bincount(own, minlength=len(chunks)))).tolist()
+            data = np.array(encoding.ids, "<u4").tobytes()
+            out.extend(data[a:b] for a, b in zip([0, *stops], stops, strict=False))
         return out
 
     def encode(self, rows: list[str]) -> list[bytes]:
