@@ -253,6 +253,7 @@ ORACLE["cte_reuse"] = """
 WITH s AS (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS max_order FROM orders GROUP BY o_custkey)
 SELECT * FROM s WHERE n_orders > (SELECT avg(n_orders) FROM s)"""
 
+ORACLE["order_by_serving"] = ORACLE["gameweek_summary"]
 ORACLE["view_stacking"] = W("""
 SELECT player_id, points_per_million, points_per_90, bonus_per_start FROM g_po WHERE minutes >= 270""", "g_po")
 

@@ -336,7 +336,8 @@ def q_left_lookup(spark, d):
 
 @query("role_lookup_2")
 def q_role_lookup_2(spark, d):
-    return t_fixtures(spark, d).select("fixture_id", "fixture_code", "home_team", "away_team",
+    # the builder, not the written table: this key runs both lookups
+    return s_fixtures(spark, d).select("fixture_id", "fixture_code", "home_team", "away_team",
                                        "home_team_short", "away_team_short")
 
 
@@ -435,16 +436,21 @@ def q_unpivot(spark, d):
     return G.next_fixtures(t_fixtures(spark, d))
 
 
+@query("order_by_serving")
+def q_order_by(spark, d):
+    return G.gameweek_summary(t_gameweeks(spark, d), t_players(spark, d), ordered=True)
+
+
 @query("cte_reuse")
 def q_cte_reuse(spark, d):
     s = _t(spark, d, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_order"))
-    mean = s.agg(F.avg("n_orders").alias("mean_orders"))
-    return s.join(F.broadcast(mean), s["n_orders"] > mean["mean_orders"]).drop("mean_orders")
+    return s.where(F.col("n_orders") > s.agg(F.avg("n_orders")).scalar())
 
 
 @query("view_stacking")
 def q_view_stacking(spark, d):
-    po = t_overview(spark, d)
+    t_overview(spark, d).createOrReplaceTempView("stacked_player_overview")
+    po = spark.table("stacked_player_overview")
     return po.where(F.col("minutes") >= G.MIN_MINUTES).select(
         "player_id", "points_per_million", "points_per_90", "bonus_per_start")

@@ -40,12 +40,18 @@ def latest_copy(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 
 def ingest_live(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
                 loaded_at: Column | None = None,
-                transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Process every landed live file not yet seen and upsert it into ``target_path``."""
+                transform: Callable[[DataFrame], DataFrame] | None = None,
+                max_files: int = 1000) -> None:
+    """Process every landed live file not yet seen and upsert it into ``target_path``.
+
+    A micro-batch takes at most ``max_files`` files, the oldest first, so that a first run over
+    all history is several bounded upserts; each is checkpointed by itself.
+    """
     # CREATE TABLE IF NOT EXISTS before the first upsert (typed like the silver rows)
     empty = silver_live(spark.createDataFrame([], LIVE), loaded_at)
     ensure_table(spark, target_path, empty.schema, ["gameweek"])
-    stream = spark.readStream.schema(landing_schema()).json(landing_dir)
+    stream = (spark.readStream.schema(landing_schema())
+                   .option("maxFilesPerTrigger", max_files).json(landing_dir))
     load_date = date_from_name(F.col(LANDING_KEY), r"_([0-9]{8})()$")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -54,11 +60,7 @@ def ingest_live(spark: SparkSession, landing_dir: str, target_path: str, checkpo
         typed = silver_live(fresh.drop("__load_date", LANDING_KEY), loaded_at)
         if transform is not None:
             typed = transform(typed)
-        typed = typed.persist()
-        try:
-            merge_upsert(batch.sparkSession, target_path, typed, LIVE_KEYS, "gameweek")
-        finally:
-            typed.unpersist()
+        merge_upsert(batch.sparkSession, target_path, typed, LIVE_KEYS, "gameweek")  # holds its source itself
 
     q = (stream.writeStream.foreachBatch(upsert)
                .option("checkpointLocation", checkpoint_dir)

@@ -91,3 +91,9 @@ def test_incremental_slice_prunes_statically(spark):
     text = plan(spark, "incremental_slice")
     filters = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "gameweek" in ln]
     assert filters and all(">=" in f and "<=" in f for f in filters)
+
+
+def test_served_result_is_ordered(spark):
+    from aurum.registry.queries import QUERIES
+    ids = [r.gameweek_id for r in QUERIES["order_by_serving"](spark, SMOKE).collect()]
+    assert ids == sorted(ids) and len(ids) > 1
