@@ -6,7 +6,10 @@
 3. Raking: the factors of each dimension's values are set in turn so that the weighted tokens meet
    its target shares, ``rounds`` times over.  All rounds are one expression over the array of cells.
 4. A document is kept if a uniform number, drawn from a hash of its id and text, is below its cell's
-   probability: the cell's calibrated weight over the largest one, times ``rate``.
+   probability ``min(1, scale * factor)``.  With ``rate``, the scale is solved for so that this share
+   of all tokens is expected in the sample; what cells lack that are kept whole, the others give.
+   Without, no cell saturates, unless that would leave less than ``LEAST_RATE`` of the tokens: then
+   the scale is solved for that share.  So a tiny source doesn't set the rate of the others.
 
 Shares are relative; those of values that don't occur are left out and the others keep their
 proportions.  Without given targets, sources get shares of the square root of their tokens (the hot
@@ -28,7 +31,7 @@ from aurum.llm.common import written
 OTHER = "other"
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 30
-RATE = 1.0
+LEAST_RATE = 0.75
 MAX_SOURCES = 200
 
 #: Topics by plain signs; the first topic with a sign in the text counts.
@@ -111,7 +114,32 @@ def raked(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int =
             .select("c.source", "c.lang", "c.topic", "c.tokens", F.col("c.w").alias("weight")))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, *, rate: float = RATE, rounds: int = ROUNDS, seed: int = 17) -> DataFrame:
+def scale(factors: DataFrame, rate: float | None = None) -> float:
+    """The number with which ``sum(tokens * min(1, number * factor))`` is the share ``rate`` of all tokens.
+
+    Newton's method on this concave function: it starts below, and each step counts the cells that
+    the last one saturated as whole.  It ends when no further cell saturates.
+    """
+    weighted = F.col("tokens") * F.col("factor")
+    some = factors.agg(F.sum("tokens").alias("tokens"), F.sum(F.when(F.col("factor") > 0, F.col("tokens"))).alias("reachable"),
+                       F.sum(weighted).alias("weighted"), F.max("factor").alias("top"),
+                       F.min(F.when(F.col("factor") > 0, F.col("factor"))).alias("low")).first()
+    if not some.top:
+        return 1.0
+    budget = (LEAST_RATE if rate is None else rate) * some.tokens
+    if budget >= some.reachable:
+        return 1.0 / some.low
+    number = budget / some.weighted
+    while True:
+        whole = F.lit(number) * F.col("factor") >= 1.0
+        now = factors.agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)).alias("whole"), F.sum(F.when(whole, 0.0).otherwise(weighted)).alias("rest")).first()
+        after = (budget - now.whole) / now.rest if now.rest > 0 else number
+        if after <= number * (1 + 1e-12):
+            return number if rate is not None else max(number, 1.0 / some.top)
+        number = after
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, *, rate: float | None = None, rounds: int = ROUNDS, seed: int = 17) -> DataFrame:
     """Every document as ``doc`` with its cell, ``tokens``, ``factor``, ``probability``, ``sampled``."""
     celled = _celled(docs)
     sums = written(celled.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mixing-sums")
@@ -121,8 +149,8 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, *
     cells = _cells(sums, targets).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     fit = raked(cells, targets, rounds)
     total = F.sum("tokens").over(_all())
-    factors = fit.select(*DIMENSIONS, (F.col("weight") * total / F.col("tokens")).alias("factor"))
-    factors = factors.select(*DIMENSIONS, "factor", F.least(F.lit(1.0), F.lit(rate) * F.col("factor") / F.max("factor").over(_all())).alias("probability"))
+    factors = written(fit.select(*DIMENSIONS, "tokens", (F.col("weight") * total / F.col("tokens")).alias("factor")), "mixing-factors")
+    factors = factors.select(*DIMENSIONS, "factor", F.least(F.lit(1.0), F.lit(scale(factors, rate)) * F.col("factor")).alias("probability"))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("doc.text")), 11) * F.lit(2.0**-53))
     return (named.join(F.broadcast(factors), list(DIMENSIONS), "left")  # the targets bound the number of cells
             .select("doc", *DIMENSIONS, "tokens", F.coalesce("factor", F.lit(1.0)).alias("factor"),

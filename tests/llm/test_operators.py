@@ -158,6 +158,18 @@ def test_mixing_meets_the_targets(spark, docs, empty):
     assert mixing.mixed(empty).count() == 0
 
 
+def test_mixing_rate_is_not_set_by_a_tiny_source(spark):
+    rows = [(k, "w " * 2000, "en", "abc"[k % 3]) for k in range(300)] + [(1000, "w", "en", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = lambda out: (out.tokens * out.probability).sum() / out.tokens.sum()
+    out = mixing.mixed(df).toPandas()
+    assert kept(out) == pytest.approx(mixing.LEAST_RATE) and out.probability[out.source == "tiny"].eq(1).all()
+    for rate in (0.1, 0.6, 1.0):
+        assert kept(mixing.mixed(df, rate=rate).toPandas()) == pytest.approx(rate)
+    even = mixing.mixed(df.where("source <> 'tiny'")).toPandas()
+    assert even.probability.eq(1).all()  # nothing saturates: all that the targets leave
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_warc(spark, compression):
     schema = "page_id long, url string, html string, payload string, sha1 string"
