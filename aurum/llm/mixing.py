@@ -1,10 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame functions only.
 
-1. Every document falls into a cell of source, language and topic.  A value without a target of its
-   own counts as ``other``, so that the targets bound the number of cells, whatever the corpus holds.
+1. Every document falls into a cell of source, language and topic.  Where targets are given, the values
+   without one count as ``other``; without given targets, every value has its own, however many.
 2. The tokens of the cells are summed (partial sums before the shuffle).
 3. Raking: the factors of each dimension's values are set in turn so that the weighted tokens meet
-   its target shares, ``rounds`` times over.  All rounds are one expression over the array of cells.
+   its target shares, ``rounds`` times over or until nothing changes.  A round is one grouped sum over
+   the cells, in one row a source; the driver holds a factor for each pair of language and topic.
 4. A document is kept if a uniform number, drawn from a hash of its id and text, is below its cell's
    probability ``min(1, scale * factor)``.  With ``rate``, the scale is solved for so that this share
    of all tokens is expected in the sample; what cells lack that are kept whole, the others give.
@@ -12,7 +13,8 @@
    the scale is solved for that share.  So a tiny source doesn't set the rate of the others.
 
 Shares are relative; those of values that don't occur are left out and the others keep their
-proportions.  Without given targets, sources get shares of the square root of their tokens (the hot
+proportions.  Values without a target keep together the part of the tokens that they have, and the
+targets share the rest.  Without given targets, sources get shares of the square root of their tokens (the hot
 source shrinks), languages and topics keep what they have.
 
 Defined cases: a null source or language counts as ``other``; a null or empty text has no tokens, its
@@ -23,7 +25,9 @@ pass through, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.llm.common import written
@@ -32,7 +36,6 @@ OTHER = "other"
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 30
 LEAST_RATE = 0.75
-MAX_SOURCES = 200
 
 #: Topics by plain signs; the first topic with a sign in the text counts.
 TOPICS = (
@@ -64,54 +67,80 @@ def _celled(docs: DataFrame) -> DataFrame:
                        *(F.coalesce(F.col(d).cast("string"), F.lit(OTHER)).alias(d) for d in DIMENSIONS[:2]))
 
 
-def default_targets(sums: DataFrame) -> dict[str, dict[str, float]]:
-    """At most ``MAX_SOURCES`` sources and as many languages, the largest; the rest is ``other``."""
-    out = {}
-    for d in DIMENSIONS:
-        rows = sums.groupBy(d).agg(F.sum("tokens").alias("t")).where("t > 0").orderBy(F.desc("t"), d).limit(MAX_SOURCES).collect()
-        out[d] = {r[d]: float(r["t"]) ** (0.5 if d == "source" else 1.0) for r in rows}
-    return out
-
-
-def _cells(celled: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
+def _cells(celled: DataFrame, targets: dict[str, dict[str, float]] | None) -> DataFrame:
     named = celled
-    for d in DIMENSIONS:
+    for d in DIMENSIONS if targets is not None else ():
         named = named.withColumn(d, F.when(F.col(d).isin(list(targets[d])), F.col(d)).otherwise(F.lit(OTHER)))
     return named
 
 
-def raked(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``weight``, the calibrated share of all tokens.
+def _rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A small table that is part of the plan."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
+def _numbers(values: list[float]) -> Column:
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def _wanted(has: dict[str, float], shares: dict[str, float] | None) -> dict[str, float]:
+    """The shares that the values are fitted to, 1 in sum: what has no target keeps its part of the tokens."""
+    total = sum(has.values())
+    own = {v: float(shares[v]) for v in has if v in shares} if shares is not None else {}
+    kept = {v: t / total for v, t in has.items() if v not in own}
+    left, given = 1.0 - sum(kept.values()) if own else 0.0, sum(own.values())
+    return kept | {v: s * left / given if given else 0.0 for v, s in own.items()}
 
-    The cells become one row with an array, bounded by the targets; ``aggregate`` runs the rounds.
+
+def raked(cells: DataFrame, targets: dict[str, dict[str, float]] | None, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens) with tokens, and ``factor``, their calibrated weight.
+
+    The cells lie in one row a source.  A weight is its tokens times a factor of the source, which follows
+    in the row from those of languages and topics, and one of the pair of language and topic.  So a
+    round is one grouped sum by pair; the driver holds the pairs, never the sources.
     """
-    share = F.create_map(*(F.lit(x) for d in DIMENSIONS for v, s in targets[d].items() for x in (f"{d}={v}", float(s)))) if any(
-        targets.values()) else F.create_map(F.lit(""), F.lit(0.0))
-    one = cells.where("tokens > 0").agg(F.sort_array(F.collect_list(F.struct(*DIMENSIONS, "tokens"))).alias("cells")).withColumn("share", share)
-    state = F.transform("cells", lambda c: F.struct(*(c[d].alias(d) for d in DIMENSIONS), c["tokens"].alias("tokens"), c["tokens"].cast("double").alias("w")))
-
-    def fitted(state: Column, d: str) -> Column:
-        values = F.array_distinct(F.transform(state, lambda c: c[d]))
-        sums = F.map_from_arrays(values, F.transform(values, lambda v: F.aggregate(
-            F.filter(state, lambda c: c[d] == v), F.lit(0.0), lambda a, c: a + c["w"])))
-        wanted = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.coalesce(F.col("share")[F.concat(F.lit(f"{d}="), v)], F.lit(0.0)))
-        # values without a target keep together the share that they have
-        return F.transform(state, lambda c: c.withField("w", F.when(
-            F.col("share")[F.concat(F.lit(f"{d}="), c[d])].isNull(), c["w"]).otherwise(
-            c["w"] * F.col("share")[F.concat(F.lit(f"{d}="), c[d])] / wanted / F.greatest(sums[c[d]], F.lit(1e-300)))))
-
-    def step(d: str):  # an aggregate over one element names its state, which is then used several times
-        return lambda state, _: fitted(state, d)
-
-    def one_round(state: Column, _: Column) -> Column:
-        for d in DIMENSIONS:
-            state = F.aggregate(F.array(F.lit(d)), state, step(d))
-        return state
-
-    total = F.aggregate(F.col("cells"), F.lit(0.0), lambda a, c: a + c["tokens"])
-    first = F.transform(state, lambda c: c.withField("w", c["w"] / total))
-    return (one.withColumn("total", total).select(F.explode(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, one_round)).alias("c"))
-            .select("c.source", "c.lang", "c.topic", "c.tokens", F.col("c.w").alias("weight")))
+    spark = cells.sparkSession
+    cells = cells.where("tokens > 0")
+    pairs = sorted((r.lang, r.topic, r.t) for r in cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("t")).collect())
+    total = sum(t for *_, t in pairs)
+    if not pairs:
+        return cells.select(*DIMENSIONS, "tokens", F.lit(1.0).alias("factor"))
+    numbered = _rows(spark, [{"lang": a, "topic": b, "k": k} for k, (a, b, _) in enumerate(pairs)], "lang string, topic string, k int")
+    sources = cells.join(numbered, ["lang", "topic"]).groupBy("source").agg(
+        F.sum("tokens").alias("t"), F.sort_array(F.collect_list(F.struct("k", "tokens"))).alias("cells"))
+    if targets is None:
+        roots = sources.agg(F.sum(F.sqrt("t"))).first()[0]
+        sources = sources.withColumn("share", F.sqrt("t") / F.lit(roots))
+    else:  # as many sources as targets, and ``other``
+        has = {r.source: r.t for r in sources.select("source", "t").collect()}
+        wanted = _wanted(has, targets["source"])
+        sources = sources.join(_rows(spark, [{"source": v, "share": x} for v, x in wanted.items()], "source string, share double"), "source")
+    sources = written(sources, "mixing-sources")
+
+    def with_factor(g: list[float]) -> DataFrame:
+        base = F.aggregate("cells", F.lit(0.0), lambda a, c: a + c["tokens"] * F.get(_numbers(g), c["k"]))
+        return sources.select("source", F.when(base > 0, F.col("share") / base).otherwise(0.0).alias("f"), "cells")
+
+    fitted = [(0, _by(pairs, 0), None if targets is None else targets["lang"]), (1, _by(pairs, 1), None if targets is None else targets["topic"])]
+    fitted = [(i, _wanted(has, shares)) for i, has, shares in fitted]
+    after = [1.0 / total] * len(pairs)
+    for _ in range(rounds):
+        before = after
+        sums = {r.k: r.w for r in with_factor(before).select("f", F.inline("cells")).groupBy("k").agg(F.sum(F.col("tokens") * F.col("f")).alias("w")).collect()}
+        for i, wanted in fitted:
+            now = _by([(a, b, sums[k] * after[k]) for k, (a, b, _) in enumerate(pairs)], i)
+            after = [g * wanted[p[i]] / now[p[i]] if now[p[i]] > 0 else 0.0 for g, p in zip(after, pairs, strict=True)]
+        if all(abs(x - y) <= 1e-14 * y for x, y in zip(after, before, strict=True)):
+            break
+    return (with_factor(before).select("source", "f", F.inline("cells")).join(numbered, "k")
+            .select(*DIMENSIONS, "tokens", (F.col("f") * F.get(_numbers(after), F.col("k")) * F.lit(float(total))).alias("factor")))
+
+
+def _by(pairs: list[tuple[str, str, float]], i: int) -> dict[str, float]:
+    sums = dict.fromkeys((p[i] for p in pairs), 0.0)
+    for p in pairs:
+        sums[p[i]] += p[2]
+    return sums
 
 
 def scale(factors: DataFrame, rate: float | None = None) -> float:
@@ -143,28 +172,17 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, *
     """Every document as ``doc`` with its cell, ``tokens``, ``factor``, ``probability``, ``sampled``."""
     celled = _celled(docs)
     sums = written(celled.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mixing-sums")
-    if targets is None:
-        targets = default_targets(sums)
     named = _cells(celled, targets)
     cells = _cells(sums, targets).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
-    fit = raked(cells, targets, rounds)
-    total = F.sum("tokens").over(_all())
-    factors = written(fit.select(*DIMENSIONS, "tokens", (F.col("weight") * total / F.col("tokens")).alias("factor")), "mixing-factors")
+    factors = written(raked(cells, targets, rounds), "mixing-factors")
     factors = factors.select(*DIMENSIONS, "factor", F.least(F.lit(1.0), F.lit(scale(factors, rate)) * F.col("factor")).alias("probability"))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("doc.text")), 11) * F.lit(2.0**-53))
-    return (named.join(F.broadcast(factors), list(DIMENSIONS), "left")  # the targets bound the number of cells
+    return (named.join(factors, list(DIMENSIONS), "left")
             .select("doc", *DIMENSIONS, "tokens", F.coalesce("factor", F.lit(1.0)).alias("factor"),
                     F.coalesce("probability", F.lit(1.0)).alias("probability"),
                     (uniform < F.coalesce("probability", F.lit(1.0))).alias("sampled")))
 
 
-def _all():
-    """A window over the cells, of which there are as many as targets at most."""
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
-
-
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, **options) -> DataFrame:
     """The sampled documents, all columns."""
     return mixed(docs, targets, **options).where("sampled").select("doc.*")

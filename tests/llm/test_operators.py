@@ -170,6 +170,23 @@ def test_mixing_rate_is_not_set_by_a_tiny_source(spark):
     assert even.probability.eq(1).all()  # nothing saturates: all that the targets leave
 
 
+def test_mixing_rakes_all_sources(spark):
+    rows = [(k, "w " * (40 if k < 500 else 1 + k % 3), ("en", "de")[k % 3 == 0], f"s{k if k >= 500 else k % 5}") for k in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = mixing.mixed(df).toPandas()
+    weight = (out.tokens * out.factor).groupby(out.source).sum() / out.tokens.sum()
+    roots = out.groupby("source").tokens.sum() ** 0.5
+    assert len(weight) == 1005 and abs(weight * roots.sum() / roots - 1).max() < 1e-3
+    # targets that leave sources out: these keep the part of the tokens that they have
+    targets = {"source": {"s0": 1.0, "s1": 3.0, "none": 5.0}, "lang": {"en": 1.0, "de": 1.0}, "topic": {}}
+    out = mixing.mixed(df, targets).toPandas()
+    weight = (out.tokens * out.factor).groupby(out.source).sum() / out.tokens.sum()
+    rest = out.tokens[out.source == "other"].sum() / out.tokens.sum()
+    assert weight.to_dict() == pytest.approx({"other": rest, "s0": (1 - rest) / 4, "s1": 3 * (1 - rest) / 4})
+    weight = (out.tokens * out.factor).groupby(out.lang).sum() / out.tokens.sum()
+    assert weight.to_dict() == pytest.approx({"en": 0.5, "de": 0.5})
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_warc(spark, compression):
     schema = "page_id long, url string, html string, payload string, sha1 string"
