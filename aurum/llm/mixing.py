@@ -37,22 +37,36 @@ DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 30
 LEAST_RATE = 0.75
 
-#: Topics by plain signs; the first topic with a sign in the text counts.
+#: Topics by plain signs, first match counts.
 TOPICS = (
-    ("legal", ("icense", "opyright", "ights reserved")),
-    ("contact", ("@",)),
-    ("table", (" | ",)),
-    ("code", ("};", "();", "</")),
+    ("legal", r"(?i)\blicen[sc]ed?\b|all rights reserved|copyright"),
+    ("contact", r"\w@\w|\d[ .-]\d\d\d[ .-]\d\d"),
+    ("table", r" \| .* \| "),
+    ("code", r"[{};]\n|\ndef |</\w"),
+    ("numeric", r"\d\s+\d+\s+\d+\s+\d"),
 )
 
 
+def _has(text: Column, *parts: str) -> Column:
+    out = F.contains(text, F.lit(parts[0]))
+    for part in parts[1:]:
+        out = out | F.contains(text, F.lit(part))
+    return out
+
+
 def topic(text: Column) -> Column:
+    """The first topic whose pattern the text has; patterns run only where a plain part of them occurs."""
+    signs = dict(TOPICS)
+    found = {
+        "legal": _has(F.lower(text), "licen", "all rights reserved", "copyright") & text.rlike(signs["legal"]),
+        "contact": (_has(text, "@") & text.rlike(r"\w@\w")) | text.rlike(r"\d[ .-]\d\d\d[ .-]\d\d"),
+        "table": _has(text, " | ") & text.rlike(signs["table"]),
+        "code": _has(text, "{\n", "}\n", ";\n", "\ndef ") | (_has(text, "</") & text.rlike(r"</\w")),
+        "numeric": text.rlike(signs["numeric"]),
+    }
     out = F.lit("prose")
-    for name, signs in reversed(TOPICS):
-        found = F.lit(False)
-        for sign in signs:
-            found = found | F.contains(text, F.lit(sign))
-        out = F.when(found, name).otherwise(out)
+    for name in reversed(signs):
+        out = F.when(found[name], name).otherwise(out)
     return F.coalesce(out, F.lit("prose"))
 
 

@@ -170,6 +170,18 @@ def test_mixing_rate_is_not_set_by_a_tiny_source(spark):
     assert even.probability.eq(1).all()  # nothing saturates: all that the targets leave
 
 
+def test_mixing_topics(spark):
+    import re
+
+    signs = {"legal": r"(?i)\blicen[sc]ed?\b|all rights reserved|copyright", "contact": r"\w@\w|\d[ .-]\d\d\d[ .-]\d\d", "table": r" \| .* \| ",
+             "code": r"[{};]\n|\ndef |</\w", "numeric": r"\d\s+\d+\s+\d+\s+\d"}
+    texts = ["", "a licensed b", "silicense", "LiCenCe x", "ALL rights Reserved", "CopyRight", "a@b", "a @ b", "call 5 123 45", "5.123-45", "x | y | z",
+             "x | y", "x | y\n | z", "a {\n", "};", "();", "</p>", "</ p", "x\ndef f", "def f", "1 22\t3 4", "1 2 3", "plain words", "a | b @ c | 1 2 3 4"]
+    got = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "n int, text string").select("n", mixing.topic(F.col("text"))).collect()
+    want = {n: next((k for k, sign in signs.items() if re.search(sign, x, re.A)), "prose") for n, x in enumerate(texts)} | {99: "prose"}
+    assert dict(got) == want and set(want.values()) == set(signs) | {"prose"}
+
+
 def test_mixing_rakes_all_sources(spark):
     rows = [(k, "w " * (40 if k < 500 else 1 + k % 3), ("en", "de")[k % 3 == 0], f"s{k if k >= 500 else k % 5}") for k in range(1500)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
