@@ -84,6 +84,14 @@ def test_line_quality(spark, docs, empty):
     assert line_quality.line_quality(empty).count() == 0
 
 
+def test_line_quality_counts_hosts_exactly(spark):
+    line = "menu of the site of this host"
+    for n in range(5000, 5900, 150):  # the limit is 0.02 * n: a line in exactly so many texts stays, in one more it goes
+        rows = [(h * n + k, prose(3, k) + f" {k}" + ("\n" + line if k < n // 50 + h else ""), f"h{h}") for h in (0, 1) for k in range(n)]
+        got = line_quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+        assert {(r.doc_id // n, r.removed_words) for r in got.where("removed_words > 0").collect()} == {(1, 7)}
+
+
 def test_bpe(docs, empty):
     import tiktoken
 
