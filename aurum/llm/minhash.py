@@ -223,8 +223,8 @@ def verified(pairs: DataFrame, node_texts: DataFrame, name: str) -> DataFrame:
     return written(pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), name)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id of every document."""
+def _members(docs: DataFrame) -> DataFrame:
+    """doc_id, node (the hash of the text), component and has_words of every document."""
     nodes = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("node"), "text")
     # one row for each distinct text with words
     signed = written(nodes.select("node", "text").where(F.col("text").isNotNull()).mapInArrow(_signed, "node long, signature binary")
@@ -270,16 +270,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .select("node", F.coalesce("whole", "component").alias("component")))
     worded = signed.select(F.col("node").alias("worded"))
     members = (nodes.select("doc_id", "node").join(final, "node", "left").join(worded, F.col("node") == F.col("worded"), "left")
-               .select("doc_id", F.coalesce("component", "node").alias("component"), F.col("worded").isNotNull().alias("has_words")))
-    members = written(members, "minhash-members")
+               .select("doc_id", "node", F.coalesce("component", "node").alias("component"), F.col("worded").isNotNull().alias("has_words")))
+    return written(members, "minhash-members")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id of every document."""
+    members = _members(docs)
     classes = members.where("has_words").groupBy("component").agg(F.min("doc_id").alias("class_id"))
     return (members.join(classes, "component", "left")
             .select("doc_id", F.when(F.col("has_words"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents, all columns: one row of each class, that of its smallest doc_id; rows without an id stay."""
-    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("__copy", F.xxhash64(*docs.columns))
-    first = named.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), "__copy").alias("__row")).select("__row.*")
-    return first.unionByName(docs.where(F.col("doc_id").isNull()))
+    """The documents, all columns: one row of each class, that of its smallest doc_id and text hash; rows without an id stay.
+
+    Texts without words are classes of their own; rows of equal doc_id and text count once.
+    """
+    members = _members(docs).where("doc_id is not null")
+    first = members.where("has_words").groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("one")).select("one.*")
+    kept = first.unionByName(members.where("not has_words").select("doc_id", "node")).distinct().toDF("__id", "__node")
+    named = docs.withColumn("__text", F.xxhash64("text")).withColumn("__copy", F.xxhash64(*docs.columns)).join(
+        kept, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__node")), "left_semi")
+    rows = named.groupBy("doc_id", "__text").agg(F.min_by(F.struct(*docs.columns), "__copy").alias("__row")).select("__row.*")
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -382,6 +382,13 @@ def test_near_duplicates(spark, docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_class_with_shared_ids(spark):
+    rows = [(0, prose(60, 50))] + [x for k in range(1, 7) for x in ((k, prose(60, 50) + f" extra{k}"), (k, prose(60, 60 + k)))] + [
+        (9, prose(60, 80)), (9, prose(60, 81)), (9, prose(60, 81))]
+    kept = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted([rows[0]] + [(k, prose(60, 60 + k)) for k in range(1, 7)] + rows[-3:-1])
+
+
 def test_probability_jaccard():
     for seed in range(40):
         g = np.random.default_rng(seed)
