@@ -69,4 +69,72 @@ SELECT page_id, payload_bytes,
 FROM h JOIN f USING (hex)
 """
 
-ORACLE: dict[str, str] = {"op2_line_quality": LINE_QUALITY, "op6_warc": WARC}
+DUAL_TREE_ROUND = """
+{next}_a AS MATERIALIZED (
+  SELECT rid, part, arg_min(entry, (norm - 2 * list_dot_product(x, c), entry)) AS entry FROM parts JOIN {book} USING (part) GROUP BY rid, part
+), {next}_s AS (
+  SELECT part, entry, pos, sum(v)::BIGINT AS s, count(*) AS n FROM (
+    SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM {next}_a JOIN parts USING (rid, part)) GROUP BY part, entry, pos
+), {next}_c AS (
+  SELECT part, entry, list(floor(s / n) ORDER BY pos) AS c FROM {next}_s GROUP BY part, entry
+), {next} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(n.c, b.c) AS c, list_dot_product(coalesce(n.c, b.c), coalesce(n.c, b.c)) AS norm
+  FROM {book} b LEFT JOIN {next}_c n USING (part, entry)
+)"""
+
+DUAL_TREE = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS MATERIALIZED (
+  SELECT rid, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS x FROM kept, range(4) AS p(part)
+), b0 AS MATERIALIZED (
+  SELECT part, rid - 1 AS entry, x AS c, list_dot_product(x, x) AS norm FROM parts WHERE rid <= 256
+), {",".join(DUAL_TREE_ROUND.format(book=f"b{k}", next=f"b{k + 1}") for k in range(4))}, final AS (
+  SELECT rid, part, arg_min(entry, (norm - 2 * list_dot_product(x, c), entry)) AS entry FROM parts JOIN b4 USING (part) GROUP BY rid, part
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+         sum(list_dot_product(x, x) - 2 * list_dot_product(x, c) + norm)::BIGINT AS error
+  FROM final JOIN parts USING (rid, part) JOIN b4 USING (part, entry) GROUP BY rid
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b4
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (rid), digest
+"""
+
+TURN_TRIE = """
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+         coalesce(role, ''), left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS start,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+             lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                 lambda r, k: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 6 AS h
+  FROM own
+), whole AS (
+  SELECT c.conv_id, list({'role': role, 'text': text} ORDER BY pos) FILTER (pos IS NOT NULL) AS s FROM conv c
+  LEFT JOIN own o ON (o.conv_id = c.start AND o.pos <= c.h) OR (o.conv_id = c.conv_id AND o.pos > c.h) GROUP BY c.conv_id
+), member AS (
+  SELECT conv_id, d, coalesce(s[1:d], []) AS path, coalesce(len(s), 0) = d AS ends FROM whole, LATERAL (SELECT unnest(range(coalesce(len(s), 0) + 1)) AS d)
+), node AS MATERIALIZED (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(path[d].text), 0) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY path, d
+), child AS (
+  SELECT path[1:d - 1] AS path, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1
+), leafed AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM node n LEFT JOIN child USING (path)
+), above AS (
+  SELECT path[1:a] AS path, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM leafed, LATERAL (SELECT unnest(range(d + 1)) AS a) GROUP BY 1
+)
+SELECT l.conv_id, l.d AS depth, p.conv_id AS parent_conv_id, l.n_convs, l.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       l.ends_sha256
+FROM leafed l JOIN above USING (path) LEFT JOIN node p ON l.d > 0 AND p.path = l.path[1:l.d - 1]
+"""
+
+ORACLE: dict[str, str] = {"op2_line_quality": LINE_QUALITY, "op6_warc": WARC, "op11_dual_tree": DUAL_TREE, "op12_turn_trie": TURN_TRIE}

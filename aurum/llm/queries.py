@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import aurum
-from aurum.llm import ann, bpe_replay, kneser_ney, line_quality, minhash, mixing, suffix_dedup, token_binary, toxicity, warc
+from aurum.llm import (ann, bpe_replay, dual_tree, kneser_ney, line_quality, main_text, minhash, mixing, suffix_dedup, token_binary,
+                       toxicity, turn_trie, warc)
 from aurum.llm.common import table
 
 
@@ -63,6 +64,18 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.code_digests(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def prepared(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ready(spark)
@@ -73,4 +86,5 @@ def prepared(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: prepared(f) for f in (
     op1_toxicity, op2_line_quality, op3_bpe, op4_kneser_ney, op5_mixing, op6_warc, op7_token_binary,
-    op8_learned_partitions, op9_suffix_dedup, op10_probminhash)}
+    op8_learned_partitions, op9_suffix_dedup, op10_probminhash, op11_dual_tree,
+    op12_turn_trie, op13_main_text)}
