@@ -1,52 +1,35 @@
 """Ranking operators that never funnel row-level data into one task.
 
 ``rank_by`` reproduces ``RANK() OVER ([PARTITION BY p] ORDER BY m [DESC])`` as
-``1 + (rows of the same partition ordered strictly before the row)``:
+``1 + (rows of the same partition ordered strictly before the row)``, a distributed prefix sum:
 
-1. count rows per distinct ``(p, m)`` (partial aggregation, so a hot partition or a
+1. count rows per distinct key ``(p, m)`` (partial aggregation, so a hot partition or a
    hot metric value is pre-combined map-side);
-2. split the distinct metric values into value buckets whose boundaries are approximate
-   quantiles of the distinct values -- a scalar subquery in the same plan (a bounded
-   array of numbers), so no driver round trip;
-3. per ``(p, bucket)``: running count inside the bucket (a window over the distinct
-   values of that bucket only) and the offset of all earlier buckets (a window over the
-   few bucket totals of ``p``);
+2. cut the sorted keys into ranges at evenly spaced keys of a bounded sample, the keys with the
+   smallest hashes: the sample depends on the data alone, so every evaluation of the plan
+   (retries, several branches) cuts alike, for any type that Spark can sort;
+3. per ``(p, range)``: running count inside the range (a window over the distinct keys of
+   that range only) and the offset of the ranges before it (a window over the range totals);
 4. join the rank back on ``(p, m)`` with null-safe equality (broadcast or skew-split by
    AQE at runtime).
 
-A plain ``Window`` would sort a whole partition (or, for a global rank, the whole table)
-in a single task.
+The bounds are one scalar subquery; finding a key's range is two ``filter`` calls over arrays of
+about sqrt(ranges) entries, so neither the plan nor the work per key grows with the number of
+ranges.  A plain ``Window`` would sort a whole partition (or, for a global rank, the whole
+table) in a single task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MIN_BUCKETS = 32
-# entries that the boundary sketch keeps for each bucket
-SKETCH_PER_BUCKET = 20
-
-
-def _position(df: DataFrame, c: str) -> Column | None:
-    """A double that never decreases as ``c`` grows, for any orderable scalar type; equal values
-    share it, different values may.  Texts take their first six bytes, in the order of bytes."""
-    t, m = df.schema[c].dataType, F.col(c)
-    if isinstance(t, (T.NumericType, T.BooleanType)):
-        return m.cast("int").cast("double") if isinstance(t, T.BooleanType) else m.cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(m).cast("double")
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(m).cast("double")
-    if isinstance(t, T.TimestampNTZType):
-        return F.unix_micros(m.cast("timestamp")).cast("double")
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(m.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return None
+# sampled keys for each range: ranges then differ in size by a factor of about two at most
+SAMPLE_PER_BUCKET = 16
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -54,62 +37,59 @@ def default_buckets(df: DataFrame) -> int:
     return max(MIN_BUCKETS, 2 * parts)
 
 
-def _count_below(x: Column, bounds: Column, lo: int, hi: int) -> Column:
-    """Number of entries of the ascending array ``bounds`` that are < ``x``, by binary
-    search over positions lo..hi (a nested CASE: log2(n) comparisons per row).  Missing
-    positions (a shorter array) compare as NULL and count as not below."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.try_element_at(bounds, F.lit(mid + 1)) < x, _count_below(x, bounds, mid + 1, hi)) \
-            .otherwise(_count_below(x, bounds, lo, mid))
+def range_bounds(keys: DataFrame, key: Column, buckets: int) -> Column:
+    """Scalar subquery: at most ``buckets - 1`` ascending keys that cut ``keys`` into ranges of like size.
 
+    ``keys`` holds each key once.  The sample is bounded (``SAMPLE_PER_BUCKET`` keys a range); ties of
+    the hash are broken by the key itself, so it is the same in every evaluation.
+    """
+    # __n is named so that the sample reads the columns that the other branches read: one shared shuffle
+    sample = (keys.where(F.col("__n") > 0).select(key.alias("k"))
+                  .orderBy(F.xxhash64("k"), "k").limit(SAMPLE_PER_BUCKET * buckets)
+                  .agg(F.sort_array(F.collect_list("k")).alias("s")))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / F.lit(buckets)))
+    return sample.select(F.filter("s", lambda x, i: (i > 0) & (i % step == 0)).alias("b")).scalar()
 
-def value_bucket(counts: DataFrame, metric: str, descending: bool, buckets: int) -> DataFrame:
-    """``counts`` with ``__b``: a bucket index monotone in ``metric`` (non-increasing for
-    DESC); NULL metrics last for DESC and first for ASC, like the sort order of ``rank``.
 
-    The boundaries are approximate quantiles of the distinct values, computed by a scalar
-    subquery in the same plan and attached once as a column; each row then needs
-    log2(buckets) comparisons.
-    """
-    m = F.col(metric)
-    md = _position(counts, metric)
-    if buckets <= 1 or md is None:
+def range_number(key: Column, bounds: Column, coarse: Column, width: int) -> Column:
+    """How many of the ascending ``bounds`` are not above ``key``; ``coarse`` holds every ``width``-th of them."""
+    blocks = F.size(F.filter(coarse, lambda x: x <= key))
+    return blocks * width + F.size(F.filter(F.slice(bounds, blocks * width + 1, F.lit(width)), lambda x: x <= key))
+
+
+def value_bucket(counts: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``counts`` (one row per distinct ``keys``) with ``__b``: the range of the key, ascending in
+    Spark's sort order (NULLs first, NaN last)."""
+    if buckets <= 1:
         return counts.withColumn("__b", F.lit(0))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = (counts.where(m.isNotNull() & ~F.isnan(md))
-                    .select(F.array_distinct(F.percentile_approx(md, probs, SKETCH_PER_BUCKET * buckets)).alias("b"))
-                    .scalar())
-    with_bounds = counts.withColumn("__bounds", bounds)
-    below = _count_below(md, F.col("__bounds"), 0, len(probs))
-    if descending:
-        b = F.when(m.isNull(), F.lit(buckets + 1)).otherwise(F.lit(buckets) - below)
-    else:
-        b = F.when(m.isNull(), F.lit(-1)).otherwise(below)
-    return with_bounds.withColumn("__b", b).drop("__bounds")
-
-
-def _rank_table(counts: DataFrame, metric: str, by: list[str], descending: bool, out: str) -> DataFrame:
-    """(by, metric) -> rank, from bucketed counts (columns: by, metric, __b, __n).
-
-    One shuffle by (by, bucket) serves the re-aggregation, the in-bucket running count and
-    the bucket totals (each only needs clustering on a superset of those columns).
+    key = F.struct(*[F.col(k) for k in keys])
+    width = max(1, math.isqrt(buckets))
+    with_bounds = counts.withColumn("__bounds", range_bounds(counts, key, buckets))
+    with_coarse = with_bounds.withColumn("__coarse", F.filter("__bounds", lambda x, i: (i + 1) % width == 0))
+    return (with_coarse.withColumn("__b", range_number(key, F.col("__bounds"), F.col("__coarse"), width))
+                       .drop("__bounds", "__coarse"))
+
+
+def _rank_table(counts: DataFrame, metric: str, by: list[str], descending: bool, out: str, buckets: int) -> DataFrame:
+    """(by, metric) -> rank, from counts per distinct (by, metric) (columns: by, metric, __n).
+
+    One shuffle by (by, range) serves the in-range running count and the range totals (each
+    only needs clustering on those columns).
     """
-    c = (counts.repartition(*[F.col(k) for k in by], F.col("__b"))
-               .groupBy(*by, metric, "__b").agg(F.sum("__n").alias("__n")))
+    c = value_bucket(counts, [*by, metric], buckets).repartition(*[F.col(k) for k in by], F.col("__b"))
     m = F.col(metric)
     order: Column = m.desc_nulls_last() if descending else m.asc_nulls_first()
     w_in = Window.partitionBy(*by, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = c.withColumn("__before", F.coalesce(F.sum("__n").over(w_in), F.lit(0)))
 
-    # bucket totals from the window's input partitioning (no extra shuffle)
+    # range totals from the window's input partitioning (no extra shuffle)
     totals = local.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
-    w_off = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__b").desc() if descending else F.col("__b").asc()
+    w_off = Window.partitionBy(*by).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*[F.col(k).alias(f"__o_{k}") for k in by + ["__b"]],
                             F.coalesce(F.sum("__bn").over(w_off), F.lit(0)).alias("__off"))
     if not by:
-        offsets = F.broadcast(offsets)   # at most (buckets + 2) rows
+        offsets = F.broadcast(offsets)   # at most ``buckets`` rows
     cond = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in by + ["__b"]]
     return local.join(offsets, cond).select(
         *by, metric, (F.lit(1) + F.col("__off") + F.col("__before")).cast("long").alias(out))
@@ -127,17 +107,17 @@ def rank_columns(df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]],
         keys += [k for k in by if k not in keys]
     nb = buckets if buckets is not None else default_buckets(df)
     counts = df.groupBy(*keys, metric).agg(F.count(F.lit(1)).alias("__n"))
-    counts = value_bucket(counts, metric, descending, nb).withColumn("__b", F.col("__b").cast("int"))
 
     # start from a rank computed at the finest grain (its rows are exactly the distinct
     # keys); coarser ranks are joined onto it by their own keys
     finest = next((o for o, by in ranks.items() if set(by) == set(keys)), None)
-    table = (_rank_table(counts, metric, list(ranks[finest]), descending, finest) if finest is not None
+    table = (_rank_table(counts, metric, list(ranks[finest]), descending, finest, nb) if finest is not None
              else counts.select(*keys, metric))
     for out, by in ranks.items():
         if out == finest:
             continue
-        r = _rank_table(counts, metric, list(by), descending, out)
+        coarser = counts.groupBy(*by, metric).agg(F.sum("__n").alias("__n"))
+        r = _rank_table(coarser, metric, list(by), descending, out, nb)
         r = r.select(*[F.col(k).alias(f"__r_{k}") for k in list(by) + [metric]], out)
         cond = [table[k].eqNullSafe(r[f"__r_{k}"]) for k in list(by) + [metric]]
         table = table.join(r, cond, "left").drop(*[f"__r_{k}" for k in list(by) + [metric]])

@@ -239,6 +239,13 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
   RANK() OVER (ORDER BY l_extendedprice DESC) AS price_rank
 FROM lineitem"""
 
+ORACLE["rank_text"] = """
+SELECT c_custkey, c_nationkey, c_name, RANK() OVER (PARTITION BY c_nationkey ORDER BY c_name NULLS FIRST) AS name_rank FROM customer"""
+
+ORACLE["rank_timestamp"] = """
+SELECT event_id, event_type, ts, RANK() OVER (PARTITION BY event_type ORDER BY ts DESC NULLS LAST) AS recency_in_type,
+  RANK() OVER (ORDER BY ts DESC NULLS LAST) AS recency FROM events"""
+
 ORACLE["topn_per_group"] = """
 SELECT * FROM (SELECT l_suppkey, l_orderkey, l_partkey, l_linenumber, l_shipdate, l_extendedprice,
   ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_partkey,
@@ -253,7 +260,7 @@ ORACLE["cte_reuse"] = """
 WITH s AS (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS max_order FROM orders GROUP BY o_custkey)
 SELECT * FROM s WHERE n_orders > (SELECT avg(n_orders) FROM s)"""
 
-ORACLE["order_by_serving"] = ORACLE["gameweek_summary"]
+ORACLE["order_by_serving"] = f"SELECT *, row_number() OVER (ORDER BY gameweek_id NULLS FIRST) AS served_position FROM ({ORACLE['gameweek_summary']}) served"
 ORACLE["view_stacking"] = W("""
 SELECT player_id, points_per_million, points_per_90, bonus_per_start FROM g_po WHERE minutes >= 270""", "g_po")
 

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from aurum.plans import analogs as A
 from aurum.plans import gold as G
 from aurum.plans import silver as S
+from aurum.session import materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # fixed load clock so silver outputs are comparable run to run
 FIXED_CLOCK = "2026-01-01 00:00:00"
+# writer tasks (and files) of a period
+PERIOD_SALTS = 4
 
 
 def clock() -> Column:
@@ -77,8 +80,9 @@ def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
         df = _SILVER_BUILDERS[name](spark, d)
         if name == "gameweek_live":
             # partitioned by period, so joins with a few periods prune the scan (dynamic
-            # partition pruning); range layout: a hot period spans several writer tasks
-            df.repartitionByRange("gameweek", "player_id").write.partitionBy("gameweek").parquet(path)
+            # partition pruning); dealt by period and a salt: a hot period spans several writer tasks
+            salt = F.pmod(F.xxhash64("player_id"), F.lit(PERIOD_SALTS))
+            df.repartition("gameweek", salt).write.partitionBy("gameweek").parquet(path)
         else:
             df.write.parquet(path)
         _SILVER_PATHS[key] = path
@@ -407,6 +411,20 @@ def q_rank_global(spark, d):
     return RK.rank_by(li, "l_extendedprice", [], out="price_rank")
 
 
+@query("rank_text")
+def q_rank_text(spark, d):
+    """Names share their first bytes; ascending, NULLs first."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name")
+    return RK.rank_by(c, "c_name", ["c_nationkey"], descending=False, out="name_rank")
+
+
+@query("rank_timestamp")
+def q_rank_timestamp(spark, d):
+    """A zone-free timestamp: one rank within the type and one over all rows."""
+    e = _t(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return RK.rank_columns(e, "ts", {"recency_in_type": ["event_type"], "recency": []})
+
+
 @query("topn_per_group")
 def q_topn(spark, d):
     li = _t(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber",
@@ -438,7 +456,10 @@ def q_unpivot(spark, d):
 
 @query("order_by_serving")
 def q_order_by(spark, d):
-    return G.gameweek_summary(t_gameweeks(spark, d), t_players(spark, d), ordered=True)
+    """The served rows with the place in which they are served (rows numbered as the sort delivers them)."""
+    served = G.gameweek_summary(t_gameweeks(spark, d), t_players(spark, d), ordered=True)
+    numbered = materialized(served.withColumn("at", F.monotonically_increasing_id()), "served")  # numbered once
+    return RK.rank_by(numbered, "at", descending=False, out="served_position").drop("at")
 
 
 @query("cte_reuse")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,6 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/aurum-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint location and read back: computed once, and again
+    from files, not from lineage, when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (or, for a glob, any match) exists, via the Hadoop FileSystem of the
     path's scheme.  Avoids probing with a failing read, which the session's observation
@@ -93,5 +101,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "set_session_defaults",
+__all__ = ["build_session", "ensure_checkpoint_dir", "materialized", "scratch_path", "set_session_defaults",
            "local_path", "path_exists"]

@@ -1,5 +1,7 @@
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from aurum.operators import lookup as L
@@ -48,9 +50,64 @@ def test_rank_by_plan_has_no_single_partition_exchange_over_rows(spark):
     plan = RK.rank_by(df, "m", [], out="r")._jdf.queryExecution().executedPlan().toString()
     window_plan = RK.rank_window(df, "m", [], out="r")._jdf.queryExecution().executedPlan().toString()
     assert single_partition_inputs(window_plan)
-    # only bounded inputs reach one task: partial quantile sketches and per-bucket totals
+    # only bounded inputs reach one task: the sampled keys (at most the limit of a task each) and the range totals
     for child in single_partition_inputs(plan):
-        assert "partial_percentile_approx" in child or "keys=[__b" in child, child
+        assert "TakeOrderedAndProject" in child or "GlobalLimit" in child or "partial_collect_list" in child or "keys=[__b" in child, child
+
+
+TYPES = {
+    "text": "concat('the same start of every text ', cast(id * 7919 % 83 as string))",
+    "binary": "cast(concat('k', cast(id * 31 % 57 as string)) as binary)",
+    "ntz": "timestampadd(MINUTE, cast(id * 13 % 240 as int), timestamp_ntz'2024-11-02 23:00:00')",  # around the end of summer time
+    "tz": "timestampadd(MINUTE, cast(id * 13 % 240 as int), timestamp'2024-11-03 04:00:00Z')",
+    "day": "date_add(date'1969-12-20', cast(id * 17 % 29 as int))",
+    "exact": "cast(id * 97 % 41 as decimal(38,18)) / 7",
+    "wide": "cast(concat('123456789012345678901234567890', cast(id % 47 as string)) as decimal(38,0))",
+    "float": "case id % 5 when 0 then double('NaN') when 1 then -0.0D when 2 then 0.0D when 3 then double('-Infinity') else id % 37 / 3D end",
+    "flag": "id % 3 = 0",
+    "pair": "named_struct('a', id % 5, 'b', concat('x', cast(id % 7 as string)))",
+    "list": "array(id % 4, id % 6)",
+    "span": "make_dt_interval(0, 0, cast(id * 7 % 53 as int))",
+}
+
+
+@pytest.mark.parametrize("kind", TYPES)
+def test_rank_of_any_orderable_type(spark, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(600).select("id", F.expr("case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else concat('p', cast(id % 4 as string)) end").alias("p"),
+                                     F.expr(f"case when id % 11 = 0 then null else {TYPES[kind]} end").alias("m"))
+        for by in ([], ["p"]):
+            for desc in (True, False):
+                got = RK.rank_by(df, "m", by, descending=desc, out="r", buckets=16)
+                assert rows(got, "id", "r") == rows(RK.rank_window(df, "m", by, descending=desc, out="r"), "id", "r"), (by, desc)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_rank_plan_does_not_grow_with_the_ranges(spark):
+    df = make(spark)
+    sizes, before = {}, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (8, 4096):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            start = time.time()
+            sizes[parts] = len(RK.rank_by(df, "m", ["grp"], out="r")._jdf.queryExecution().optimizedPlan().toString())
+            assert time.time() - start < 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sizes[4096] < 1.1 * sizes[8]
+
+
+@pytest.mark.parametrize("buckets", [2, 3, 7, 64, 8192])
+def test_ranges_are_ascending_and_of_like_size(spark, buckets):
+    counts = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("k"), F.lit(1).alias("__n"))
+    got = RK.value_bucket(counts, ["k"], buckets).groupBy("__b").agg(F.min("k").alias("a"), F.max("k").alias("z"), F.count("k").alias("n"))
+    ranges = sorted(tuple(r) for r in got.collect())
+    assert all(x[2] < y[1] for x, y in zip(ranges, ranges[1:])) and ranges[0][0] >= 0 and ranges[-1][0] < buckets
+    if buckets <= 64:
+        assert len(ranges) == buckets and max(r[3] for r in ranges) < 2.5 * 20_000 / buckets
 
 
 def test_top_n_per_group_and_group_limit(spark):

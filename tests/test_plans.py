@@ -65,10 +65,10 @@ def test_no_single_partition_exchange_over_rows(spark):
     for key in ("value_picks", "rank_global", "rank_partition", "form_leaderboard", "differential_picks"):
         inputs = single_partition_inputs(plan(spark, key))
         if key == "rank_global":
-            assert inputs                                       # the sketch merge is there
+            assert inputs                                       # the merge of the sample is there
         for inp in inputs:
-            # partial quantile sketches, per-bucket totals or a partial MIN: never rows
-            assert re.search(r"\bbuf#|__b#|\bmin#", inp), (key, inp)
+            # the bounded sample of keys, range totals or a partial MIN: never rows
+            assert re.search(r"\bbuf#|__b#|\bmin#|TakeOrderedAndProject|GlobalLimit", inp), (key, inp)
 
 
 def test_no_python_in_headline_plans(spark):
@@ -94,6 +94,9 @@ def test_incremental_slice_prunes_statically(spark):
 
 
 def test_served_result_is_ordered(spark):
-    from aurum.registry.queries import QUERIES
-    ids = [r.gameweek_id for r in QUERIES["order_by_serving"](spark, SMOKE).collect()]
+    from aurum.plans import gold as G
+    from aurum.registry import queries as Q
+    ids = [r.gameweek_id for r in G.gameweek_summary(Q.t_gameweeks(spark, SMOKE), Q.t_players(spark, SMOKE), ordered=True).collect()]
     assert ids == sorted(ids) and len(ids) > 1
+    placed = Q.QUERIES["order_by_serving"](spark, SMOKE).collect()
+    assert [r.gameweek_id for r in sorted(placed, key=lambda r: r.served_position)] == ids
