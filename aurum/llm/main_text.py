@@ -7,8 +7,8 @@
    rows a task).  Paths with at least ``MIN_SHARE`` of the host's pages are its winners, the most voted first; there are at
    most 1 / MIN_SHARE of them.
 3. Each page is read again with its host's winners: the first winner that has text on the page gives the container (all
-   elements with that path, in page order); a page without any takes its own best container.  Hosts are joined at run
-   time: broadcast while small, else a join whose hot hosts adaptive execution splits.
+   elements with that path, in page order); a page without any takes its own best container.  The winners are a
+   written table: broadcast while it is small, else joined by host and a salt that splits hot hosts.
 
 Within the container, elements of page furniture go: by tag (nav, footer, aside, form, script, style ...) or by a word of
 class, id or role (menu, sidebar, advert, cookie, comments ...).  A header goes unless it holds a heading.  Character
@@ -31,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import chunked, texts
+from aurum.llm.common import chunked, texts, written
 
 MIN_SHARE = 0.02
 PARENT_SHARE = 0.5   # what a container gets of the score of those in it
+SALTS = 8            # a host's pages are joined in this many groups
 BONUS = 1.5          # of containers that say that they hold the article
 MAX_DEPTH = 512      # levels of elements, as in browsers; the text of deeper ones belongs to the deepest level
 
@@ -336,6 +337,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    joined = own.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "winners")
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"),
+                       F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
+    # written, so that its size is known when the join is planned: broadcast while small, without a shuffle of the pages
+    hosts = written(host_paths(pages), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = own.join(hosts, ["host", "salt"], "left").select("page_id", "url", "html", "winners")
     return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
