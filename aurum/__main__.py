@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 
 from aurum.control import loads as CL
 from aurum.plans import jobs as J
+from aurum.sources import landed as LD
 from aurum.sources import readers as RD
 from aurum.sources import schemas as SC
 
-SILVER_TABLES = ["players", "teams", "gameweeks", "fixtures", "gameweek_live"]
-
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("aurum").getOrCreate()
@@ -37,14 +36,16 @@ def _session() -> SparkSession:
 def cmd_land(a: argparse.Namespace) -> None:
     spark = _session()
     today = dt.date.today()
-    events = RD.explode_payload(spark, a.season, "events", SC.GAMEWEEKS, multiline=True)
+    season = J.read_season(spark, a.season)  # one pass over the document for all its tables
+    events = LD.declared(season.elements.where(F.col("array_key") == "events"), SC.GAMEWEEKS)
     periods = events.select(F.col("id").alias("gameweek_id"), F.col("is_current"),
                             F.col("finished").alias("is_finished"), F.col("data_checked").alias("is_data_final"))
     current = CL.scalar(CL.current_period(periods))
     final = CL.scalar(CL.latest_final_period(periods))
 
+
     def season_table(name):
-        return lambda load_type, last, cur: J.land_season(spark, a.season, a.fixtures, a.landing, today, [name])[name]
+        return lambda load_type, last, cur: J.land_season(spark, a.season, a.fixtures, a.landing, today, [name], season)[name]
 
     extractors = {t: season_table(t) for t in ["players", "positions", "teams", "gameweeks", "fixtures"]}
     extractors["gameweek_live"] = lambda load_type, last, cur: J.land_live(spark, a.live, a.landing, today, last + 1, cur)
@@ -56,15 +57,17 @@ def cmd_land(a: argparse.Namespace) -> None:
 
 def cmd_refresh(a: argparse.Namespace) -> None:
     spark = _session()
-    paths = J.refresh_silver(spark, J.bronze_views(spark, a.landing), a.silver)
-    for table, path in paths.items():
-        print(f"{table}: {path}")
+    J.attach_silver(spark, a.silver)  # what earlier runs left
+    tables = J.refresh_silver(spark, J.bronze_views(spark, a.landing), a.silver, landing=a.landing)
+    for table, name in tables.items():
+        print(f"{table}: {name}")
+    for r in J.bronze_rejects(spark, a.landing).groupBy("table_name", "reason").count().collect():  # a few reasons a table
+        print(f"rejected, {r['table_name']}: {r['count']} ({r['reason']})")
 
 
 def cmd_gold(a: argparse.Namespace) -> None:
     spark = _session()
-    silver = J.read_silver(spark, {t: f"{a.silver.rstrip('/')}/{t}" for t in SILVER_TABLES})
-    views = J.publish_gold(silver)
+    views = J.publish_gold(J.read_silver(spark, J.attach_silver(spark, a.silver)))
     if a.show:
         views[a.show].show(a.rows, truncate=False)
     else:

@@ -14,15 +14,15 @@ re-expressed for a plain parquet table partitioned by a period column:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aurum.session import path_exists
+from aurum.session import children, path_exists
+
 
 class MergeError(ValueError):
     pass
@@ -41,13 +41,13 @@ def touched_partitions(source: DataFrame, keys: Sequence[str], partition_col: st
         F.sum("__n").alias("n"), F.max("__n").alias("most"), F.max(null_key).alias("has_null"))
 
 
-def _check(touched: DataFrame, keys: Sequence[str]) -> int:
-    """Fail on NULL or duplicated keys; else the number of rows (one row reaches the driver)."""
+def _check(touched: DataFrame, keys: Sequence[str], unique: bool = True) -> int:
+    """Fail on NULL keys and, with ``unique``, on duplicated ones; else the number of rows (one row reaches the driver)."""
     row = touched.agg(F.sum("n").alias("rows"), F.max("most").alias("most"),
                       F.max("has_null").alias("has_null")).first()
     if row["has_null"]:
         raise MergeError(f"source has NULL merge keys {list(keys)}")
-    if (row["most"] or 0) > 1:
+    if unique and (row["most"] or 0) > 1:
         raise MergeError(f"source has duplicate merge keys {list(keys)}: several rows would match one target row")
     return row["rows"] or 0
 
@@ -67,23 +67,37 @@ def merge_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     """
     if partition_col not in keys:
         raise MergeError("the partition column must be part of the merge key")
-    # the source feeds the key check, the anti join and the write: keep it for the
-    # duration of the upsert (recomputed from lineage if an executor is lost)
+    target = _target(spark, target_path, source, partition_col) if path_exists(spark, target_path) else None
+
+    def write(result: DataFrame) -> None:
+        (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(partition_col).parquet(target_path))
+
+    return merge_into(target, source, keys, partition_col, write, validate)
+
+
+def merge_into(target: DataFrame | None, source: DataFrame, keys: Sequence[str], partition_col: str,
+               write: Callable[[DataFrame], None], validate: bool = True) -> dict:
+    """Merge ``source`` into ``target`` (None: no rows yet) and hand the touched periods, whole, to ``write``.
+
+    NULL keys are always an error; ``validate=False`` only skips the check for duplicated ones.
+    """
+    # the source feeds the key check, the anti join and the write; the counts per period feed the check, the
+    # bounds, the semi join and the salts: both are kept (and computed again if an executor is lost)
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    touched = touched_partitions(source, keys, partition_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _merge(spark, target_path, source, keys, partition_col, validate)
+        return _merge(target, source, touched, keys, partition_col, write, validate)
     finally:
+        touched.unpersist()
         source.unpersist()
 
 
 def _target(spark: SparkSession, path: str, source: DataFrame, partition_col: str) -> DataFrame:
     """The target in its own schema; a target column that the source lacks would be lost, so that is an error."""
-    try:
-        own = spark.read.parquet(path).schema
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without any file yet
-            raise
-        own = T.StructType([])
+    # a folder without any period yet has no schema of its own
+    filled = any(n.startswith(f"{partition_col}=") for n in children(spark, path))
+    own = spark.read.parquet(path).schema if filled else T.StructType([])
     missing = [f.name for f in own.fields if f.name not in source.columns]
     if missing:
         raise MergeError(f"source lacks target columns {missing}")
@@ -91,20 +105,15 @@ def _target(spark: SparkSession, path: str, source: DataFrame, partition_col: st
     return spark.read.schema(T.StructType([f if f.name != partition_col else kind for f in source.schema.fields])).parquet(path)
 
 
-def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Sequence[str],
-           partition_col: str, validate: bool) -> dict:
+def _merge(target: DataFrame | None, source: DataFrame, touched: DataFrame, keys: Sequence[str],
+           partition_col: str, write: Callable[[DataFrame], None], validate: bool) -> dict:
     cols = source.columns
-    touched = touched_partitions(source, keys, partition_col)
-    if validate:
-        n_rows = _check(touched, keys)
-    else:
-        n_rows = touched.agg(F.sum("n")).first()[0] or 0
+    n_rows = _check(touched, keys, validate)
     if not n_rows:
         return {"source_rows": 0, "kept_rows": 0}
     mark = "__from_source"
     src = source.select(*cols, F.lit(True).alias(mark))
-    if path_exists(spark, target_path):
-        target = _target(spark, target_path, source, partition_col)
+    if target is not None:
         # bounds known at run time prune the folders before the join picks the touched ones
         span = touched.agg(F.min(partition_col).alias("low"), F.max(partition_col).alias("high"))
         p = F.col(partition_col)
@@ -116,7 +125,7 @@ def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Seque
         result = src
     # writer layout: hash on (period, salt of the other key columns).  A period gets as many salts as its
     # share of the rows times the writer tasks, so a hot one is spread however many periods there are.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     salts = touched.select(F.col(partition_col).alias("__p"), F.ceil(F.lit(parts) * F.col("n") / F.lit(n_rows)).alias("__salts"))
     rest = [F.col(k) for k in keys if k != partition_col]
     salt = F.pmod(F.xxhash64(*rest), F.col("__salts")) if rest else F.lit(0)
@@ -125,8 +134,6 @@ def _merge(spark: SparkSession, target_path: str, source: DataFrame, keys: Seque
     staged = (result.repartition(parts, F.col(partition_col), F.col("__salt"))
                     .observe(obs, F.count_if(F.col(mark)).alias("source_rows"),
                              F.count_if(~F.col(mark)).alias("kept_rows")))
-    (staged.drop(mark, "__salt")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(target_path))
+    write(staged.drop(mark, "__salt"))
     m = obs.get
     return {"source_rows": int(m.get("source_rows", 0)), "kept_rows": int(m.get("kept_rows", 0))}

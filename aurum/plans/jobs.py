@@ -16,19 +16,23 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aurum.control import loads as CL
 from aurum.functions.scalars import date_from_name
-from aurum.operators.merge import merge_upsert
+from aurum.operators.merge import merge_into
 from aurum.plans import gold as G
 from aurum.plans import silver as S
-from aurum.session import path_exists
+from aurum.session import children, materialized, path_exists
+from aurum.sinks import versions as VS
 from aurum.sinks import writers as WR
-from aurum.sources import readers as RD
+from aurum.sources import documents as DOC
+from aurum.sources import landed as LD
 from aurum.sources import schemas as SC
 from aurum.streaming.live_ingest import latest_copy
 
@@ -58,113 +62,232 @@ def ensure_layers(spark: SparkSession, prefix: str = "") -> list[str]:
     return names
 
 
+class Landed(int):
+    """A load's record count, with the number of rejects and, for period slices, the last period landed without a gap."""
+
+    rejected: int
+    loaded_to: int | None
+
+    def __new__(cls, count: int, rejected: int = 0, loaded_to: int | None = None):
+        it = super().__new__(cls, count)
+        it.rejected, it.loaded_to = rejected, loaded_to
+        return it
+
+
+def rejects_path(landing: str) -> str:
+    return f"{landing.rstrip('/')}/_rejects"
+
+
+def read_season(spark: SparkSession, document_path: str, tables: list[str] | None = None) -> DOC.Documents:
+    """All arrays of the season documents in one pass, for ``land_season`` of several tables."""
+    return DOC.read_elements(spark, document_path, [k for t, k in SC.DOCUMENT_KEYS.items() if tables is None or t in tables])
+
+
+def _land(spark: SparkSession, found: DOC.Documents, key: str, table: str, landing: str, load_date: dt.date) -> Landed:
+    rows = found.elements.where(F.col("array_key") == key).select("raw")
+    bad = found.rejects.where(F.col("array_key").isNull() | (F.col("array_key") == key))
+    rejected = WR.write_rejects(bad, rejects_path(landing), table, WR.landing_key(table, load_date))
+    return Landed(WR.write_landing(rows, landing, table, load_date, fmt="text"), rejected)
+
+
 def land_season(spark: SparkSession, document_path: str, fixtures_path: str, landing: str,
-                load_date: dt.date, tables: list[str] | None = None) -> dict[str, int]:
+                load_date: dt.date, tables: list[str] | None = None, season: DOC.Documents | None = None) -> dict[str, Landed]:
     """Extract season arrays (players, positions, teams, gameweeks) and the fixtures root array
-    into landing folders; returns record counts (0 = nothing written)."""
+    into landing folders, every element whole; returns record counts (0 = nothing written).
+
+    Elements that are no JSON objects, and all of a cut document, go to the landing's rejects.  Documents
+    are read once; pass ``season`` (``read_season``) when tables are landed one by one.
+    """
     counts = {}
-    for table, key in SC.DOCUMENT_KEYS.items():
-        if tables is None or table in tables:
-            rows = RD.explode_payload(spark, document_path, key, SC.BRONZE[table], multiline=True)
-            counts[table] = WR.write_landing(rows, landing, table, load_date)
+    wanted = [t for t in SC.DOCUMENT_KEYS if tables is None or t in tables]
+    if wanted:
+        season = season or read_season(spark, document_path, wanted)
+        for table in wanted:
+            counts[table] = _land(spark, season, SC.DOCUMENT_KEYS[table], table, landing, load_date)
     if tables is None or "fixtures" in tables:
-        counts["fixtures"] = WR.write_landing(RD.read_root_array(spark, fixtures_path, SC.FIXTURES),
-                                              landing, "fixtures", load_date)
+        counts["fixtures"] = _land(spark, DOC.read_elements(spark, fixtures_path), DOC.ROOT, "fixtures", landing, load_date)
     return counts
 
 
-def contiguous_end(periods: list[int], first: int) -> int:
+def contiguous_end(periods: DataFrame, first: int, column: str = "gameweek") -> int:
     """Last period p such that every period first..p is present (first - 1 if none)."""
-    end = first - 1
-    for p in sorted(set(periods)):
-        if p == end + 1:
-            end = p
-        elif p > end + 1:
-            break
-    return end
+    p = F.col(column)
+    distinct = periods.where(p >= first).select(p.alias("p")).distinct()  # one row a period of the slice
+    placed = distinct.select("p", F.row_number().over(Window.orderBy("p")).alias("n"))
+    return CL.scalar(placed.where(F.col("p") - F.col("n") == first - 1).agg(F.coalesce(F.max("p"), F.lit(first - 1))))
 
 
-def land_live(spark: SparkSession, live_docs: str, landing: str, load_date: dt.date,
-              first: int, last: int) -> tuple[int, int]:
-    """Land periods first..last of the per-period live documents (folders ``gameweek=N``).
+def land_live(spark: SparkSession, live_docs: str, landing: str, load_date: dt.date, first: int, last: int) -> Landed:
+    """Land periods first..last of the per-period live documents (folders ``gameweek=N``), every field of an
+    element: ``stats`` is hoisted to the top, the period added.
 
-    Returns (record count, last period up to which every period was landed): a missing
-    period in the middle stops the watermark there, so it is pulled again next run.
+    The count's ``loaded_to`` is the last period up to which every period was landed: a missing
+    (or cut) document in the middle stops the watermark there, so it is pulled again next run.
     """
-    rows = RD.read_live_documents(spark, live_docs, SC.LIVE_ELEMENT)
-    rows = CL.incremental_slice(rows, first - 1, last).select(*SC.LIVE.fieldNames())
-    # one value per period of the slice reaches the driver
-    present = [r[0] for r in rows.select("gameweek").distinct().collect()]
-    return WR.write_landing(rows, landing, "gameweek_live", load_date), contiguous_end(present, first)
+    folders = [n for n in children(spark, live_docs) if n.startswith("gameweek=") and n[9:].isdigit() and first <= int(n[9:]) <= last]
+    found = DOC.read_elements(spark, [f"{live_docs.rstrip('/')}/{n}" for n in folders], ["elements"])
+    period = F.regexp_extract("source_file", "gameweek=([0-9]+)/", 1).cast("long")
+    rows = materialized(LD.hoisted(found.elements.withColumn("gameweek", period), "stats", {"gameweek": period}).select("gameweek", "raw"), "live-rows")
+    rejected = WR.write_rejects(found.rejects, rejects_path(landing), "gameweek_live", WR.landing_key("gameweek_live", load_date))
+    n = WR.write_landing(rows.select("raw"), landing, "gameweek_live", load_date, fmt="text")
+    return Landed(n, rejected, contiguous_end(rows, first))
 
 
 def bronze_views(spark: SparkSession, landing: str, prefix: str = "bronze_") -> dict[str, DataFrame]:
-    """Temp view per bronze table over its landing folder (explicit schema).
+    """Temp view per bronze table over its landing folder: the declared columns, and the whole document in ``doc``.
 
-    Full-load tables expose only their latest landed copy; the live table exposes every
-    landing (deduplicated per key by the silver upsert).
+    Full-load tables read only their latest landing day, found by listing the folder names; the
+    live table exposes every landing (deduplicated per key by the silver upsert).  Lines that
+    don't fit are left out here and listed by ``bronze_rejects``.
     """
     out = {}
-    for table, schema in SC.BRONZE.items():
-        df = RD.read_json_lines(spark, f"{landing.rstrip('/')}/{table}", schema, with_file=True, fail_corrupt=True)
-        df = df.withColumn("landed_on", date_from_name("source_file")).drop("source_file")
-        if table != "gameweek_live":
-            latest = df.agg(F.max("landed_on").alias("landed_on"))   # one row
-            # the latest dated landing, and every file without a date in its name
-            df = df.join(F.broadcast(latest.withColumnRenamed("landed_on", "__latest"))).where(
-                F.col("landed_on").isNull() | (F.col("landed_on") == F.col("__latest"))).drop("landed_on", "__latest")
+    for table in SC.BRONZE:
+        df = bronze_lines(spark, landing, table).where(F.col("reject_reason").isNull()).drop("reject_reason", "raw", "source_file")
         df.createOrReplaceTempView(f"{prefix}{table}")
         out[table] = df
     return out
 
 
+def bronze_lines(spark: SparkSession, landing: str, table: str, paths: list[str] | None = None) -> DataFrame:
+    """All lines of a table's current landing (or of ``paths``), with ``reject_reason``; the live table's with ``landed_on``."""
+    base = f"{landing.rstrip('/')}/{table}"
+    live = table == "gameweek_live"
+    if paths is None:
+        paths = sorted(LD.landing_days(spark, base)) if live else LD.latest_landing(spark, base)
+    df = LD.read_lines(spark, paths, SC.BRONZE[table])
+    keys = ["id", "gameweek"] if live else ["id"]
+    lacking = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col("id").isNull()
+    df = df.withColumn("reject_reason", F.coalesce("reject_reason", F.when(lacking, F.lit("line without a key"))))
+    return df.withColumn("landed_on", date_from_name("source_file")) if live else df
+
+
+def bronze_rejects(spark: SparkSession, landing: str) -> DataFrame:
+    """Landed lines that no bronze view delivers: table, source file, reason, text."""
+    found = None
+    for table in SC.BRONZE:
+        bad = bronze_lines(spark, landing, table).where(F.col("reject_reason").isNotNull()).select(
+            F.lit(table).alias("table_name"), "source_file", F.col("reject_reason").alias("reason"), "raw")
+        found = bad if found is None else found.unionByName(bad)
+    return found
+
+
+LIVE_TABLE = "gameweek_live"
+MERGED = "path string, modified timestamp, size long, batch string"
+
+
+def _live_schema(spark: SparkSession, loaded_at: Column | None = None) -> T.StructType:
+    return S.silver_live(spark.createDataFrame([], SC.LIVE), loaded_at).schema
+
+
+def unmerged_files(spark: SparkSession, landing: str, silver_base: str) -> DataFrame:
+    """The live landing's files that no refresh has merged: by path, time and size, so that a day landed again counts."""
+    base = f"{landing.rstrip('/')}/{LIVE_TABLE}"
+    if not path_exists(spark, base):
+        return spark.createDataFrame([], MERGED).drop("batch")
+    # the listing alone: no file is opened
+    m = F.col("_metadata")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+             .select(m.file_path.alias("path"), m.file_modification_time.alias("modified"), m.file_size.alias("size")))
+    merged = VS.log_of(spark, f"{silver_base.rstrip('/')}/_merged", MERGED)
+    return files.join(merged, ["path", "modified", "size"], "left_anti")
+
+
+def merge_live(spark: SparkSession, source: DataFrame, table: str, base: str) -> dict:
+    """MERGE typed live rows into the period table ``table``; each touched period is replaced in one step."""
+    VS.ensure(spark, table, base, source.schema, "gameweek")  # CREATE TABLE IF NOT EXISTS
+    target = VS.read(spark, table)
+    return merge_into(target, source, S.LIVE_KEYS, "gameweek",
+                      lambda rows: VS.replace_periods(spark, rows, table, base, "gameweek"))
+
+
+def refresh_live(spark: SparkSession, landing: str, silver_base: str, table: str, loaded_at: Column | None = None) -> dict:
+    """Merge the landings that are new since the last refresh; without one, nothing is rewritten.
+
+    A landing day is merged with all later ones, so that one that arrives late or again never takes
+    the place of newer copies.  The log is written last: a refresh that breaks off is repeated.
+    """
+    base = f"{silver_base.rstrip('/')}/{LIVE_TABLE}"
+    VS.ensure(spark, table, base, _live_schema(spark, loaded_at), "gameweek")
+    new = materialized(unmerged_files(spark, landing, silver_base), "unmerged")
+    days = LD.landing_days(spark, f"{landing.rstrip('/')}/{LIVE_TABLE}")
+    day = F.date_format(date_from_name("path"), "yyyyMMdd")
+    seen = new.agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("first"), F.count_if(day.isNull()).alias("undated")).first()
+    if not seen["n"]:
+        return {"source_rows": 0, "kept_rows": 0}
+    paths = sorted(p for p, d in days.items() if seen["undated"] or d is None or d >= seen["first"])
+    lines = bronze_lines(spark, landing, LIVE_TABLE, paths).where(F.col("reject_reason").isNull())
+    fresh = latest_copy(lines.select(*SC.LIVE.fieldNames(), "landed_on"), ["id", "gameweek"], F.col("landed_on"))
+    done = merge_live(spark, S.silver_live(fresh, loaded_at), table, base)
+    new.withColumn("batch", F.lit(uuid.uuid4().hex)).write.mode("append").parquet(f"{silver_base.rstrip('/')}/_merged")
+    return done
+
+
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_base: str,
-                   loaded_at: Column | None = None, strict: bool = True) -> dict[str, str]:
-    """Write the silver tables; returns table -> path.
+                   loaded_at: Column | None = None, strict: bool = True, database: str = "silver",
+                   landing: str | None = None) -> dict[str, str]:
+    """Refresh the silver tables of ``database``; returns table -> its name in the catalog.
+
+    Each table is replaced in one step (``sinks.versions``): readers and views see the old rows or
+    the new ones.  With ``landing`` the live table takes the landings that are new since the last
+    refresh; else the rows of ``bronze``.
 
     Tables are refreshed independently: a failing table is logged and the others still
-    run.  With ``strict`` a ``PartialFailure`` is raised at the end (carrying the paths of
-    the tables that succeeded); otherwise only the succeeded tables are returned.
+    run.  With ``strict`` a ``PartialFailure`` is raised at the end (carrying the
+    tables that succeeded); otherwise only the succeeded tables are returned.
     """
     base = silver_base.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` COMMENT '{LAYERS['silver']}'")
 
     def full(name, build):
-        def run():
-            build().write.mode("overwrite").parquet(f"{base}/{name}")   # CREATE OR REPLACE TABLE AS SELECT
-        return run
+        return lambda: VS.replace(spark, build(), f"{database}.{name}", f"{base}/{name}")   # CREATE OR REPLACE TABLE AS SELECT
 
     def live():
-        fresh = latest_copy(bronze["gameweek_live"], ["id", "gameweek"], F.col("landed_on"))
-        typed = S.silver_live(fresh, loaded_at)
-        WR.ensure_table(spark, f"{base}/gameweek_live", typed.schema, ["gameweek"])   # CREATE TABLE IF NOT EXISTS
-        merge_upsert(spark, f"{base}/gameweek_live", typed, S.LIVE_KEYS, "gameweek")  # MERGE
+        if landing is not None:
+            return refresh_live(spark, landing, base, f"{database}.{LIVE_TABLE}", loaded_at)
+        rows = bronze[LIVE_TABLE].select(*SC.LIVE.fieldNames(), "landed_on")
+        fresh = latest_copy(rows, ["id", "gameweek"], F.col("landed_on"))
+        return merge_live(spark, S.silver_live(fresh, loaded_at), f"{database}.{LIVE_TABLE}", f"{base}/{LIVE_TABLE}")
 
     steps = {
         "players": full("players", lambda: S.silver_players(bronze["players"], bronze["teams"], loaded_at)),
         "teams": full("teams", lambda: S.silver_teams(bronze["teams"], loaded_at)),
         "gameweeks": full("gameweeks", lambda: S.silver_gameweeks(bronze["gameweeks"], loaded_at)),
         "fixtures": full("fixtures", lambda: S.silver_fixtures(bronze["fixtures"], bronze["teams"], loaded_at)),
-        "gameweek_live": live,
+        LIVE_TABLE: live,
     }
-    paths, failed = {}, {}
+    tables, failed = {}, {}
     for name, step in steps.items():
         try:
             step()
-            paths[name] = f"{base}/{name}"
+            tables[name] = f"{database}.{name}"
         except Exception as e:  # noqa: BLE001 - isolate the table, report at the end
             log.error("silver refresh of %s failed: %s", name, e)
             failed[name] = f"{type(e).__name__}: {e}"
     if failed and strict:
-        raise PartialFailure(paths, failed)
-    return paths
+        raise PartialFailure(tables, failed)
+    return tables
+
+
+def attach_silver(spark: SparkSession, silver_base: str, database: str = "silver") -> dict[str, str]:
+    """Register the silver tables from their folders (an application with a catalog of its own); returns those found."""
+    base = silver_base.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` COMMENT '{LAYERS['silver']}'")
+    found = {t: f"{database}.{t}" for t in FULL_TABLES if VS.attach(spark, f"{database}.{t}", f"{base}/{t}")}
+    VS.attach(spark, f"{database}.{LIVE_TABLE}", f"{base}/{LIVE_TABLE}", _live_schema(spark), "gameweek")
+    return {**found, LIVE_TABLE: f"{database}.{LIVE_TABLE}"}
 
 
-def read_silver(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return {k: spark.read.parquet(v) for k, v in paths.items()}
+def read_silver(spark: SparkSession, tables: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The silver tables, each as it is whenever it is read."""
+    return {k: VS.read(spark, v) for k, v in tables.items()}
 
 
 def publish_gold(silver: Mapping[str, DataFrame], prefix: str = "gold_") -> dict[str, DataFrame]:
-    """CREATE OR REPLACE VIEW for the eight gold results (served with their final order)."""
+    """CREATE OR REPLACE VIEW for the eight gold results (served with their final order).
+
+    Each is a temp view of the session and, under the same name, one of ``global_temp`` for all sessions of
+    the application.  Over ``read_silver`` they resolve the tables' current versions at every read.
+    """
     po = G.player_overview(silver["players"])
     views = {
         "player_overview": po,
@@ -178,15 +301,25 @@ def publish_gold(silver: Mapping[str, DataFrame], prefix: str = "gold_") -> dict
     }
     for name, df in views.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
+        df.createOrReplaceGlobalTempView(f"{prefix}{name}")
     return views
 
 
+def _audit(spark: SparkSession, datasource: str, table: str, load_type: str, count: int, mark: int | None, clock: Column,
+           status: str, path: str) -> None:
+    row = spark.createDataFrame([(table, count, mark)], "tablename string, record_count long, period long")
+    WR.append_audit(row.select(
+        F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"), "record_count",
+        F.col("period").cast("string").alias("load_watermark"), clock.alias("load_timestamp"), F.lit(status).alias("status")), path)
+
+
 def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractors: Mapping[str, callable],
               audit_path: str, current: int, final: int, clock: Column) -> dict[str, int]:
     """Config-driven landing: each active table's extractor -> record count -> audit row.
 
     ``extractors[table](load_type, last_watermark, current)`` lands the table and returns its
-    record count, or (record count, last contiguously landed period) for period slices.  Full loads record the current period; incremental loads record the last
+    record count (``Landed``: with rejects, which get an audit row of status REJECTED, and for period
+    slices the last contiguously landed period).  Full loads record the current period; incremental loads record the last
     finished-and-checked period (so open periods are pulled again next time).  A load that
     lands nothing is audited as EMPTY without a watermark; a failing extractor is logged,
     gets ``None``, writes no audit row and does not stop the other tables.
@@ -205,7 +338,9 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
             log.error("landing of %s failed: %s", table, e)
             results[table] = None          # no audit row: the watermark does not move
             continue
-        n, loaded_to = got if isinstance(got, tuple) else (got, None)
+        n, loaded_to, rejected = got, getattr(got, "loaded_to", None), getattr(got, "rejected", 0)
+        if rejected:
+            _audit(spark, datasource, table, load_type, rejected, None, clock, "REJECTED", audit_path)
         results[table] = n
         mark = None
         if n:
@@ -215,11 +350,5 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
         if load_type == "incremental" and not n:
             continue   # nothing new: no audit row, the watermark does not move
         mark = mark or None   # a watermark of zero is recorded as none
-        row = spark.createDataFrame([(table, int(n or 0), mark)], "tablename string, record_count long, period long")
-        WR.append_audit(row.select(
-            F.lit(datasource).alias("data_source"), "tablename", F.lit(load_type).alias("load_type"),
-            "record_count", F.col("period").cast("string").alias("load_watermark"),
-            clock.alias("load_timestamp"),
-            F.when(F.col("record_count") > 0, F.lit("SUCCESS")).otherwise(F.lit("EMPTY")).alias("status")),
-            audit_path)
+        _audit(spark, datasource, table, load_type, int(n or 0), mark, clock, "SUCCESS" if n else "EMPTY", audit_path)
     return results

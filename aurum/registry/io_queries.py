@@ -7,6 +7,7 @@ runs the operator, and returns what it reads back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,15 @@ from pyspark.sql import types as T
 from aurum.control import loads as CL
 from aurum.operators.merge import merge_upsert
 from aurum.plans import analogs as A
+from aurum.plans import jobs as J
+from aurum.plans import silver as S
 from aurum.plans.silver import LIVE_COLUMNS, LIVE_KEYS
 from aurum.registry.queries import as_midnight, clock, query, t_gameweeks, t_live
-from aurum.session import scratch_path
+from aurum.session import materialized, scratch_path
+from aurum.sinks import versions as VS
 from aurum.sinks import writers as WR
+from aurum.sources import documents as DOC
+from aurum.sources import landed as LD
 from aurum.sources import readers as RD
 from aurum.sources import schemas as SC
 from aurum.streaming.live_ingest import ingest_live
@@ -222,3 +228,113 @@ def q_config(spark, d):
     cfg.write.option("header", True).csv(path)
     back = RD.read_csv_table(spark, path, SC.CONFIG)
     return CL.active_tables(back, SOURCE).select("table_name", "load_type")
+
+
+# ---- documents landed whole, quarantine, drift ------------------------------------------------
+CUSTOMERS = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                          T.StructField("updated", T.TimestampNTZType()), T.StructField("nickname", T.StringType())])
+DOC_ROWS = 200
+
+
+def _customer_documents(spark, d) -> str:
+    """Season-like documents of DOC_ROWS customers each, with fields that CUSTOMERS doesn't declare and time zone
+    offsets.  Some are cut off after their last customer, some hold a broken element, some ids are text."""
+    c = A.load(spark, d, "customer")
+    k, doc = F.col("c_custkey"), F.floor(F.col("c_custkey") / F.lit(DOC_ROWS))
+    at = F.concat(F.lit("2024-03-01T"), F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":30:00+01:00"))
+    element = F.to_json(F.struct(
+        k.alias("id"), F.col("c_name").alias("name"), at.alias("updated"), F.col("c_mktsegment").alias("segment"),
+        F.struct(F.col("c_nationkey").alias("nation"), F.array(F.lit("}{"), F.col("c_mktsegment")).alias("tags")).alias("extra")))
+    element = F.when(k % 97 == 0, F.regexp_replace(element, r'^\{"id":([0-9]+)', '{"id":"$1x"')).otherwise(element)
+    base = scratch_path(spark, "customer-docs")
+    docs = c.select(doc.alias("doc"), element.alias("e")).groupBy("doc").agg(F.array_join(F.collect_list("e"), ",").alias("e"))
+    text = F.concat(F.lit('{"meta":{"customers":[]},"customers":['), F.col("e"), F.when(F.col("doc") % 5 == 1, F.lit(',{"id":}')).otherwise(F.lit("")),
+                    F.when(F.col("doc") % 5 == 3, F.lit("")).otherwise(F.lit('],"total":[1,2]}')))
+    docs.select("doc", text.alias("value")).repartition("doc").write.partitionBy("doc").text(base)
+    return base
+
+
+def _landed_customers(spark, d):
+    """(lines read back, rejects) of the customer documents."""
+    found = DOC.read_elements(spark, _customer_documents(spark, d), ["customers"])
+    base, rejects = scratch_path(spark, "customer-landing"), scratch_path(spark, "customer-rejects")
+    WR.write_rejects(found.rejects, rejects, "customers", WR.landing_key("customers", FIRST_LOAD))
+    WR.write_landing(found.elements.select("raw"), base, "customers", FIRST_LOAD, fmt="text")
+    return LD.read_lines(spark, LD.latest_landing(spark, f"{base}/customers"), CUSTOMERS), WR.read_rejects(spark, rejects)
+
+
+@query("raw_landing_whole")
+def q_raw_landing(spark, d):
+    """Declared columns beside fields that only the documents name."""
+    lines, _ = _landed_customers(spark, d)
+    return lines.where(F.col("reject_reason").isNull()).select(
+        "id", "name", "updated", "nickname", F.variant_get("doc", "$.segment", "string").alias("segment"),
+        F.variant_get("doc", "$.extra.nation", "int").alias("nation"), F.variant_get("doc", "$.extra.tags[0]", "string").alias("tag"))
+
+
+@query("schema_drift")
+def q_schema_drift(spark, d):
+    lines, _ = _landed_customers(spark, d)
+    return LD.schema_drift(lines, CUSTOMERS)
+
+
+@query("landing_rejects")
+def q_landing_rejects(spark, d):
+    """What was rejected, by reason: whole documents, and elements or lines."""
+    lines, rejects = _landed_customers(spark, d)
+    misfits = lines.where(F.col("reject_reason").isNotNull()).select(F.col("reject_reason").alias("reason"), "raw")
+    return rejects.select("reason", "raw").unionByName(misfits).groupBy("reason").agg(
+        F.count_if(F.col("raw").isNull()).alias("documents"), F.count("raw").alias("rows"))
+
+
+# ---- lasting tables, incremental refresh, load stamps ---------------------------------------------
+@query("lasting_view")
+def q_lasting_view(spark, d):
+    """A view made over a table's first version reads the version that has replaced it."""
+    table, base = f"customers_{uuid.uuid4().hex[:8]}", scratch_path(spark, "versions")
+    c = A.load(spark, d, "customer")
+    VS.replace(spark, c.withColumn("c_acctbal", F.col("c_acctbal") - 1.0), table, base)
+    VS.read(spark, table).where("c_acctbal > 0").createOrReplaceTempView(f"{table}_in_credit")
+    VS.replace(spark, c, table, base)
+    return spark.table(f"{table}_in_credit")
+
+
+@query("incremental_refresh")
+def q_incremental_refresh(spark, d):
+    """Three refreshes, the second without a new landing: only landed rows carry the stamp of a later refresh."""
+    land, silver, table = scratch_path(spark, "live-landing"), scratch_path(spark, "silver-live"), f"live_{uuid.uuid4().hex[:8]}"
+    live, gw = A.bronze_live(spark, d), F.col("gameweek")
+    stamps = [F.lit(f"2026-01-0{k} 00:00:00").cast("timestamp_ntz") for k in (1, 2, 3)]
+    WR.write_landing(live.where(gw <= A.LAST_FINISHED), land, "gameweek_live", FIRST_LOAD)
+    J.refresh_live(spark, land, silver, table, stamps[0])
+    J.refresh_live(spark, land, silver, table, stamps[1])
+    late = live.where((gw > A.LAST_FINISHED - 4) & ((gw > A.LAST_FINISHED) | (F.col("minutes") > 0)))
+    WR.write_landing(late.withColumn("total_points", F.col("total_points") + 1), land, "gameweek_live", SECOND_LOAD)
+    J.refresh_live(spark, land, silver, table, stamps[2])
+    return VS.read(spark, table).select(*LIVE_COLUMNS)
+
+
+@query("full_load_replace")
+def q_full_load(spark, d):
+    """A full load run on two days: the landing delivers the later day's snapshot, the audit holds both loads."""
+    land, audit = scratch_path(spark, "full-landing"), scratch_path(spark, "full-audit")
+    s = A.load(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    config = spark.createDataFrame([(SOURCE, "suppliers", "full", "1")], SC.CONFIG)
+    for day, rows, period in ((FIRST_LOAD, s.where("s_suppkey % 2 = 0"), 4), (SECOND_LOAD, s, 5)):
+        J.run_loads(spark, config, SOURCE, {"suppliers": lambda *_, day=day, rows=rows: WR.write_landing(rows, land, "suppliers", day)},
+                    audit, period, period - 1, clock())
+    schema = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()), T.StructField("s_nationkey", T.LongType())])
+    lines = LD.read_lines(spark, LD.latest_landing(spark, f"{land}/suppliers"), schema).where("reject_reason is null")
+    loads = spark.read.schema(SC.AUDIT).parquet(audit).groupBy("tablename").agg(
+        F.count(F.lit(1)).alias("loads"), F.sum("record_count").alias("landed"), F.max("load_watermark").alias("watermark"))
+    return lines.select("s_suppkey", "s_name", "s_nationkey").join(F.broadcast(loads))  # one row of totals
+
+
+@query("load_stamp")
+def q_load_stamp(spark, d):
+    """Without an injected clock, rows carry the time of the load."""
+    rows = materialized(S.silver_teams(A.bronze_teams(spark, d)), "stamped")
+    one = rows.select(F.min("loaded_at").alias("a"), F.max("loaded_at").alias("z"))
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.col("loaded_at"))
+    return rows.select("team_id", age.between(0, 3600).alias("stamped_now"),
+                       (one.select("a").scalar() == one.select("z").scalar()).alias("one_stamp"))

@@ -319,3 +319,32 @@ FROM s_live""", "s_live")
 ORACLE["config_active_tables"] = """
 SELECT lower(s_name) AS table_name, CASE WHEN s_suppkey % 2 = 0 THEN 'full' ELSE 'incremental' END AS load_type
 FROM supplier WHERE s_acctbal >= 0 AND s_nationkey % 5 <> 4"""
+
+# ---- documents landed whole, quarantine, drift, lasting tables, refreshes ---------------------------
+DOCUMENTED = "(SELECT *, c_custkey // 200 AS doc FROM customer)"
+ORACLE["raw_landing_whole"] = f"""
+SELECT c_custkey AS id, c_name AS name, TIMESTAMP '2024-02-29 23:30:00' + to_hours((c_custkey % 24)::INT) AS updated,
+  NULL::VARCHAR AS nickname, c_mktsegment AS segment, c_nationkey AS nation, '}}{{' AS tag
+FROM {DOCUMENTED} WHERE doc % 5 <> 3 AND c_custkey % 97 <> 0"""
+ORACLE["schema_drift"] = f"""
+WITH landed AS (SELECT count(*) AS n, string_agg(DISTINCT CASE WHEN c_custkey % 97 = 0 THEN 'STRING' ELSE 'BIGINT' END, ',' ORDER BY CASE
+                  WHEN c_custkey % 97 = 0 THEN 'STRING' ELSE 'BIGINT' END) AS kinds FROM {DOCUMENTED} WHERE doc % 5 <> 3)
+SELECT field, status, CASE WHEN status = 'missing' THEN 0 ELSE n END AS rows, coalesce(types, kinds) AS types
+FROM landed, (VALUES ('id', 'declared', NULL), ('name', 'declared', 'STRING'), ('updated', 'declared', 'STRING'), ('nickname', 'missing', ''),
+                     ('segment', 'undeclared', 'STRING'), ('extra', 'undeclared', 'OBJECT')) f(field, status, types)"""
+ORACLE["landing_rejects"] = f"""
+SELECT 'truncated document' AS reason, count(DISTINCT doc) AS documents, count(*) AS rows FROM {DOCUMENTED} WHERE doc % 5 = 3 HAVING count(*) > 0
+UNION ALL SELECT 'malformed element', 0, count(DISTINCT doc) FROM {DOCUMENTED} WHERE doc % 5 = 1 HAVING count(*) > 0
+UNION ALL SELECT 'line does not fit the schema', 0, count(*) FROM {DOCUMENTED} WHERE doc % 5 <> 3 AND c_custkey % 97 = 0 HAVING count(*) > 0"""
+ORACLE["lasting_view"] = "SELECT * FROM customer WHERE c_acctbal > 0"
+ORACLE["incremental_refresh"] = W("""
+SELECT * REPLACE (
+  CASE WHEN gameweek > 296 AND (gameweek > 300 OR minutes > 0) THEN total_points + 1 ELSE total_points END AS total_points,
+  CASE WHEN gameweek > 296 AND (gameweek > 300 OR minutes > 0) THEN TIMESTAMP '2026-01-03 00:00:00'
+       ELSE TIMESTAMP '2026-01-01 00:00:00' END AS loaded_at)
+FROM s_live""", "s_live")
+ORACLE["full_load_replace"] = """
+SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, 'suppliers' AS tablename, 2::BIGINT AS loads,
+  (SELECT count(*) + count(*) FILTER (s_suppkey % 2 = 0) FROM supplier)::BIGINT AS landed, '5' AS watermark
+FROM supplier"""
+ORACLE["load_stamp"] = W("SELECT team_id, TRUE AS stamped_now, TRUE AS one_stamp FROM s_teams", "s_teams")

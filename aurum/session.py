@@ -7,6 +7,7 @@ only when the session has none, which is the local/test situation.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -69,6 +70,12 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ready_workers(spark: SparkSession) -> None:
+    """Python workers import the package from where the driver has it, unless they are told otherwise."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (or, for a glob, any match) exists, via the Hadoop FileSystem of the
     path's scheme.  Avoids probing with a failing read, which the session's observation
@@ -90,6 +97,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in the folder ``path`` (one listing; none if it is missing), in order."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library's own tables, if it exists."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def set_session_defaults(spark: SparkSession) -> None:
     """Pin the semantics the library relies on (UTC clock, dynamic partition overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -101,5 +123,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "materialized", "scratch_path", "set_session_defaults",
+__all__ = ["build_session", "children", "delete_folder", "ensure_checkpoint_dir", "materialized", "ready_workers", "scratch_path", "set_session_defaults",
            "local_path", "path_exists"]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aurum.session import delete_folder
 from aurum.session import path_exists as _exists
 from aurum.sources.readers import JSON_OPTIONS  # noqa: F401  (re-exported for writers' callers)
 
@@ -32,11 +33,10 @@ def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 def write_landing(df: DataFrame, base: str, table: str, load_date: dt.date, fmt: str = "json") -> int:
     """Land ``df`` under ``base/<table>/load_key=<table>_<DDMMYYYY>/`` and return its row count.
 
-    An empty input writes nothing and returns 0 (checked with a one-row probe).  A rerun
-    on the same date replaces that date's folder only (dynamic partition overwrite).
+    An empty input writes no landing folder and returns 0 (the write itself counts: no probe runs
+    the input before).  A rerun on the same date replaces that date's folder only (dynamic
+    partition overwrite).  ``fmt="text"`` lands JSON texts line by line (one string column).
     """
-    if df.limit(1).count() == 0:
-        return 0
     obs = Observation(f"landing_{table}_{uuid.uuid4().hex[:8]}")
     key = landing_key(table, load_date)
     (df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -74,6 +74,31 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return out.select(*[c for c in snaps.columns if c not in ("year", "month", "day")], date)
 
 
+REJECTS = "table_name string, load_key string, source_file string, reason string, raw string"
+
+
+def write_rejects(df: DataFrame, path: str, table: str, batch: str) -> int:
+    """Quarantine ``df`` (source_file, reason, raw) of one table and batch; returns the number of rows.
+
+    The table is partitioned by table and batch: a batch that is run again replaces its own rejects.
+    """
+    obs = Observation(f"rejects_{table}_{uuid.uuid4().hex[:8]}")
+    (df.select("source_file", "reason", "raw").observe(obs, F.count(F.lit(1)).alias("rows"))
+       .withColumn("table_name", F.lit(table)).withColumn("load_key", F.lit(batch))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("table_name", "load_key").parquet(path))
+    rows = int(obs.get["rows"])
+    if not rows:  # an overwrite without rows leaves the folder of an earlier run
+        delete_folder(df.sparkSession, f"{path.rstrip('/')}/table_name={table}/load_key={batch}")
+    return rows
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Everything quarantined at ``path`` (empty if nothing ever was)."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], REJECTS)
+    return spark.read.schema(REJECTS).parquet(path)
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     """Append audit rows (append-only parquet table)."""
     df.write.mode("append").parquet(path)

@@ -17,9 +17,23 @@ CORRUPT = "_corrupt_record"
 # keeps only milliseconds)
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-# feeds write ISO-8601 with or without a fraction and with or without a "Z"; both kinds are UTC
+# feeds write ISO-8601 with or without a fraction, and with a "Z", an offset or no zone (which is UTC)
 JSON_READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]['Z']",
-                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"}
+                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]", "timeZone": "UTC"}
+
+
+def utc_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with zone-free timestamps read as instants, so that offsets in the text count."""
+    return T.StructType([T.StructField(f.name, T.TimestampType(), f.nullable) if isinstance(f.dataType, T.TimestampNTZType) else f
+                         for f in schema.fields])
+
+
+def utc_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The instants read for zone-free columns of ``schema``, as UTC wall-clock times (whatever the session's zone)."""
+    for f in schema.fields:
+        if isinstance(f.dataType, T.TimestampNTZType):
+            df = df.withColumn(f.name, F.expr(f"timestampadd(MICROSECOND, unix_micros(`{f.name}`), timestamp_ntz'1970-01-01 00:00:00')"))
+    return df
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -35,7 +49,7 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     ``fail_corrupt`` makes such a line an error instead of a row of NULLs.
     """
     sch = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)]) if keep_corrupt else schema
-    r = spark.read.schema(sch).option("mode", "FAILFAST" if fail_corrupt else "PERMISSIVE").options(**JSON_READ_OPTIONS)
+    r = spark.read.schema(utc_schema(sch)).option("mode", "FAILFAST" if fail_corrupt else "PERMISSIVE").options(**JSON_READ_OPTIONS)
     if keep_corrupt:
         r = r.option("columnNameOfCorruptRecord", CORRUPT)
     paths = [path] if isinstance(path, str) else list(path)
@@ -46,7 +60,7 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     df = r.json(paths if len(paths) > 1 else paths[0])
     if with_file:
         df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
-    return df
+    return utc_columns(df, schema)
 
 
 def explode_payload(spark: SparkSession, path: str, key: str, element: T.StructType,
@@ -56,14 +70,14 @@ def explode_payload(spark: SparkSession, path: str, key: str, element: T.StructT
     A document without the key, or with a null array, contributes no rows.  Documents
     are one per line by default (splittable); ``multiline`` reads whole-file documents.
     """
-    doc = T.StructType([T.StructField(key, T.ArrayType(element), True)])
+    doc = T.StructType([T.StructField(key, T.ArrayType(utc_schema(element)), True)])
     reader = spark.read.schema(doc).options(**JSON_READ_OPTIONS)
     if multiline:
         reader = reader.option("multiLine", True)
     if not path_exists(spark, path):
         return _empty(spark, element)
     docs = reader.json(path)
-    return docs.select(F.explode(F.col(key)).alias("__e")).select("__e.*")
+    return utc_columns(docs.select(F.explode(F.col(key)).alias("__e")).select("__e.*"), element)
 
 
 def read_root_array(spark: SparkSession, path: str, element: T.StructType,

@@ -1 +1 @@
-from aurum.streaming.live_ingest import ingest_live, landing_schema, latest_copy  # noqa: F401
+from aurum.streaming.live_ingest import ingest_live, latest_copy  # noqa: F401

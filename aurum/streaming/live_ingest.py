@@ -6,6 +6,9 @@ trigger, so a scheduled run processes whatever arrived and stops.  The stream ch
 records which landing files were processed (replacing "move processed files aside"), and
 a replayed batch re-applies the same upsert, so a restart after a lost executor or driver
 gives the same table.
+
+A line that is no JSON object, doesn't fit the declared types or lacks a key goes to the
+rejects, under its micro-batch, and the stream goes on.
 """
 
 from __future__ import annotations
@@ -14,19 +17,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from aurum.functions.scalars import date_from_name
 from aurum.operators.merge import merge_upsert
 from aurum.plans.silver import LIVE_KEYS, silver_live
-from aurum.sinks.writers import LANDING_KEY, ensure_table
+from aurum.sinks.writers import LANDING_KEY, ensure_table, write_rejects
+from aurum.sources.landed import declared
 from aurum.sources.schemas import LIVE
 
 
-def landing_schema(schema: T.StructType = LIVE) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(LANDING_KEY, T.StringType(), True)])
-
-
 def latest_copy(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """One row per key: the row with the greatest ``order`` (ties: any one).
 
@@ -41,28 +40,40 @@ def latest_copy(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
 def ingest_live(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
                 loaded_at: Column | None = None,
                 transform: Callable[[DataFrame], DataFrame] | None = None,
-                max_files: int = 1000) -> None:
+                max_files: int = 1000, rejects: str | None = None) -> None:
     """Process every landed live file not yet seen and upsert it into ``target_path``.
 
+    Lines that don't fit are quarantined at ``rejects`` (by default beside the checkpoint).
+
     A micro-batch takes at most ``max_files`` files, the oldest first, so that a first run over
     all history is several bounded upserts; each is checkpointed by itself.
     """
     # CREATE TABLE IF NOT EXISTS before the first upsert (typed like the silver rows)
     empty = silver_live(spark.createDataFrame([], LIVE), loaded_at)
     ensure_table(spark, target_path, empty.schema, ["gameweek"])
-    stream = (spark.readStream.schema(landing_schema())
-                   .option("maxFilesPerTrigger", max_files).json(landing_dir))
+    lines = (spark.readStream.schema(f"raw string, {LANDING_KEY} string")
+                  .option("maxFilesPerTrigger", max_files).text(landing_dir)
+                  .select("raw", LANDING_KEY, F.col("_metadata.file_path").alias("source_file")))
     load_date = date_from_name(F.col(LANDING_KEY), r"_([0-9]{8})()$")
+    quarantine = rejects or f"{checkpoint_dir.rstrip('/')}-rejects"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        # bronze keys are (id, gameweek); keep the most recent landing of each
-        fresh = latest_copy(batch.withColumn("__load_date", load_date), ["id", "gameweek"], F.col("__load_date"))
-        typed = silver_live(fresh.drop("__load_date", LANDING_KEY), loaded_at)
-        if transform is not None:
-            typed = transform(typed)
-        merge_upsert(batch.sparkSession, target_path, typed, LIVE_KEYS, "gameweek")  # holds its source itself
+        read = declared(batch.where(F.trim("raw") != ""), LIVE)
+        lacking = F.col("id").isNull() | F.col("gameweek").isNull()
+        read = read.withColumn("reason", F.coalesce("reject_reason", F.when(lacking, F.lit("line without a key")))).persist()
+        try:
+            write_rejects(read.where(F.col("reason").isNotNull()), quarantine, "gameweek_live", f"batch_{batch_id}")
+            good = read.where(F.col("reason").isNull()).select(*LIVE.fieldNames(), LANDING_KEY)
+            # bronze keys are (id, gameweek); keep the most recent landing of each
+            fresh = latest_copy(good.withColumn("__load_date", load_date), ["id", "gameweek"], F.col("__load_date"))
+            typed = silver_live(fresh.drop("__load_date", LANDING_KEY), loaded_at)
+            if transform is not None:
+                typed = transform(typed)
+            merge_upsert(batch.sparkSession, target_path, typed, LIVE_KEYS, "gameweek")  # holds its source itself
+        finally:
+            read.unpersist()
 
-    q = (stream.writeStream.foreachBatch(upsert)
+    q = (lines.writeStream.foreachBatch(upsert)
                .option("checkpointLocation", checkpoint_dir)
                .trigger(availableNow=True)
                .start())

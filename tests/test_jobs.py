@@ -61,8 +61,8 @@ def test_full_refresh_landing_to_gold(spark, scratch):
 
     bronze = J.bronze_views(spark, landing)
     assert spark.table("bronze_players").count() == 3
-    paths = J.refresh_silver(spark, bronze, silver, clock())
-    gold = J.publish_gold(J.read_silver(spark, paths))
+    tables = J.refresh_silver(spark, bronze, silver, clock(), database="t_silver", landing=landing)
+    gold = J.publish_gold(J.read_silver(spark, tables))
     assert spark.table("gold_player_overview").count() == 3
     cap = spark.table("gold_captaincy_picks").collect()
     assert {(r.player_id, r.next_gameweek) for r in cap} == {(1, 2), (3, 2)}
@@ -72,9 +72,10 @@ def test_full_refresh_landing_to_gold(spark, scratch):
     for gw in (2,):
         elems = [{"id": 1, "stats": {k: v for k, v in live(1, gw, points=40).items() if k not in ("id", "gameweek")}}]
         dump(f"{live_docs}/gameweek={gw}", {"elements": elems})
-    assert J.land_live(spark, live_docs, landing, dt.date(2026, 1, 6), 2, 2) == (1, 2)
-    paths = J.refresh_silver(spark, J.bronze_views(spark, landing), silver, clock())
-    lv = spark.read.parquet(paths["gameweek_live"])
+    landed = J.land_live(spark, live_docs, landing, dt.date(2026, 1, 6), 2, 2)
+    assert (landed, landed.loaded_to, landed.rejected) == (1, 2, 0)
+    J.refresh_silver(spark, J.bronze_views(spark, landing), silver, clock(), database="t_silver", landing=landing)
+    lv = spark.table("t_silver.gameweek_live")
     assert lv.count() == 4
     assert lv.where((F.col("player_id") == 1) & (F.col("gameweek") == 2)).first().total_points == 40
 
@@ -121,14 +122,14 @@ def test_failures_are_isolated_per_table(spark, scratch):
     bronze["gameweek_live"] = bronze["gameweek_live"].withColumn("landed_on", F.lit(None).cast("date"))
     bronze["players"] = bronze["players"].drop("web_name")           # a broken feed: players fails
     with pytest.raises(J.PartialFailure) as err:
-        J.refresh_silver(spark, bronze, scratch("silver"), clock())
+        J.refresh_silver(spark, bronze, scratch("silver"), clock(), database="t_failing")
     assert set(err.value.failed) == {"players"}
     assert set(err.value.done) == {"teams", "gameweeks", "fixtures", "gameweek_live"}
 
 
 def test_watermark_stops_at_a_missing_period(spark, scratch):
-    assert J.contiguous_end([1, 3, 4], 1) == 1 and J.contiguous_end([2, 3], 1) == 0
-    assert J.contiguous_end([5, 6, 7], 5) == 7 and J.contiguous_end([], 4) == 3
+    for periods, first, end in (([1, 3, 4], 1, 1), ([2, 3], 1, 0), ([5, 6, 7, 7], 5, 7), ([], 4, 3)):
+        assert J.contiguous_end(spark.createDataFrame([(p,) for p in periods], "gameweek long"), first) == end
     live_docs, landing, audit = scratch("live-docs"), scratch("landing"), scratch("audit")
     for gw in (1, 3):      # period 2 failed upstream: no document
         dump(f"{live_docs}/gameweek={gw}", {"elements": [{"id": 1, "stats": {"minutes": 90}}]})
