@@ -7,11 +7,12 @@ only when ``ordered=True`` (serving), never inside a stacked result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions.scalars import (bands, coalesce_zero, guarded_ratio, is_false, is_true,
                                      lit_concat, nullif_ratio, weighted_sum)
+from aurum.operators.exact_sum import exact_aggregate
 from aurum.operators.lookup import resolve_ids
 from aurum.operators.ranking import rank_by, rank_columns, recent_n, top_n_per_group
 from aurum.operators.reshape import unpivot_sides
@@ -32,20 +33,6 @@ DIFFICULTY_BANDS = [("<=", 2, "EASY"), ("=", 3, "MEDIUM"), (">=", 4, "HARD")]
 # -----------------------------------------------------------------------------------
 
 
-def _exact_sum(c: str) -> Column:
-    """SUM of a float measure accumulated as DECIMAL: the total does not depend on the
-    order partitions are combined in (the value is then rounded by the caller)."""
-    return F.sum(F.col(c).cast("decimal(30,6)"))
-
-
-def _exact_avg(c: str) -> Column:
-    return F.avg(F.col(c).cast("decimal(30,6)"))
-
-
-def _round2_double(c: Column) -> Column:
-    return F.round(c, 2).cast("double")
-
-
 def player_overview(players: DataFrame) -> DataFrame:
     p = players
     return p.select(
@@ -97,19 +84,18 @@ def recent_performance(gameweeks: DataFrame, live: DataFrame, n: int = RECENT_PE
     period = F.col("gameweek")
     gl = (live.where(period.between(bounds["lo"], bounds["hi"]))
               .join(recent, period == recent["gameweek_id"], "left_semi"))
-    return gl.groupBy("player_id").agg(
-        F.count_if(F.col("played")).alias("matches_played"),
-        F.sum("total_points").alias("points_last_5"),
-        F.sum("goals_scored").alias("goals_last_5"),
-        F.sum("assists").alias("assists_last_5"),
-        F.sum("bonus").alias("bonus_last_5"),
-        F.sum("clean_sheets").alias("clean_sheets_last_5"),
-        F.round(F.avg("total_points"), 2).alias("avg_points_last_5"),
-        _round2_double(_exact_sum("xg")).alias("xg_last_5"),
-        _round2_double(_exact_sum("xa")).alias("xa_last_5"),
-        _round2_double(_exact_avg("ict_index")).alias("avg_ict_last_5"),
-        F.sum("minutes").alias("minutes_last_5"),
-    )
+    # float sums and averages are exact, so that they don't depend on the partitioning
+    points = F.col("total_points")
+    totals = exact_aggregate(gl, ["player_id"], sums={"xg": "xg", "xa": "xa"}, avgs={"ict": "ict_index"}, whole={
+        "matches_played": F.coalesce(F.col("played"), F.lit(False)).cast("long"), "points_last_5": points,
+        "goals_last_5": F.col("goals_scored"), "assists_last_5": F.col("assists"), "bonus_last_5": F.col("bonus"),
+        "clean_sheets_last_5": F.col("clean_sheets"), "minutes_last_5": F.col("minutes"),
+        "__scored": F.when(points.isNotNull(), F.lit(1).cast("long"))})
+    return totals.select(
+        "player_id", "matches_played", "points_last_5", "goals_last_5", "assists_last_5", "bonus_last_5", "clean_sheets_last_5",
+        F.round(F.col("points_last_5").cast("double") / F.col("__scored"), 2).alias("avg_points_last_5"),
+        F.round("xg", 2).alias("xg_last_5"), F.round("xa", 2).alias("xa_last_5"), F.round("ict", 2).alias("avg_ict_last_5"),
+        "minutes_last_5")
 
 
 def form_players(gameweeks: DataFrame, live: DataFrame, players: DataFrame,

@@ -165,6 +165,7 @@ def q_fixture_difficulty(spark, d):
 from aurum.functions import scalars as X  # noqa: E402
 from aurum.operators import lookup as L  # noqa: E402
 from aurum.operators import ranking as RK  # noqa: E402
+from aurum.operators.exact_sum import exact_aggregate  # noqa: E402
 from aurum.operators import reshape as RS  # noqa: E402
 
 
@@ -373,11 +374,10 @@ def q_agg_basic(spark, d):
 
 @query("agg_sum_avg_round")
 def q_agg_sum_avg(spark, d):
-    li = _t(spark, d, "lineitem")
-    return li.groupBy("l_suppkey").agg(
-        G._round2_double(G._exact_sum("l_extendedprice")).alias("sum_price"),
-        F.round(F.avg("l_quantity"), 2).alias("avg_qty"),
-        G._round2_double(G._exact_avg("l_extendedprice")).alias("avg_price"))
+    totals = exact_aggregate(_t(spark, d, "lineitem"), ["l_suppkey"], sums={"price": "l_extendedprice"},
+                             avgs={"qty": "l_quantity", "mean": "l_extendedprice"})
+    return totals.select("l_suppkey", F.round("price", 2).alias("sum_price"), F.round("qty", 2).alias("avg_qty"),
+                         F.round("mean", 2).alias("avg_price"))
 
 
 @query("agg_countif")
