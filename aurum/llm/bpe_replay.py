@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from aurum.llm.common import chunked, texts
 
 NONE = 1 << 62
-MEMORY_WORDS = 300_000
-STRETCH_BYTES = 8 << 20
+#: Bytes of the remembered words, and of the remembered pieces (with what Python adds to each).
+MEMORY_BYTES = 32 << 20
+ENTRY_BYTES = 150
+STRETCH_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -215,7 +217,7 @@ def encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
 
 def keep_below(memory: dict, coming: int, needed: set) -> None:
     """Make room: forget what isn't needed now, if the memory would grow too large."""
-    if len(memory) + coming > MEMORY_WORDS:
+    if (len(memory) + coming) * ENTRY_BYTES > MEMORY_BYTES:
         kept = {w: memory[w] for w in needed if w in memory}
         memory.clear()
         memory.update(kept)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,10 +36,19 @@ def texts(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def chunked(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Hand freed memory back to the system: workers are kept for later stages, which need it for their own."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def chunked(batches: Iterable[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold at most ``limit`` bytes of text, or one row.
 
-    Bounds what an operator unpacks at once; every row comes through, in order.
+    Bounds what an operator unpacks at once; every row comes through, in order.  At the end, freed memory is released.
     """
     for batch in batches:
         n = batch.num_rows
@@ -51,6 +61,7 @@ def chunked(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 def byte_lengths(column: pa.Array) -> np.ndarray:

@@ -38,12 +38,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import chunked, mix64, utf8, written
+from aurum.llm.common import chunked, mix64, release, utf8, written
 
 LENGTH = 400
 GRAM = 32
-#: Bytes of contexts in one index.
-INDEX_BYTES = 1 << 20
+#: Bytes of contexts in one index; an index takes some 100 times as much while it is built.
+INDEX_BYTES = 1 << 19
+#: Bytes of text that are hashed at once, at some 50 bytes each.
+HASHED_BYTES = 1 << 20
 #: Distinct contexts that meet under one key; a key with more is split.
 KEY_CONTEXTS = 1024
 #: Ranges into which the places of a crowded key are split.
@@ -87,7 +89,7 @@ def _anchored(length: int):
     width = length - GRAM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunked(batches, "text"):
+        for batch in chunked(batches, "text", HASHED_BYTES):
             data, offsets = utf8(batch["text"])
             if len(data) < length:
                 continue
@@ -233,6 +235,7 @@ def _indexed(length: int):
                 size += len(data)
         if rows:
             yield marks(rows)
+        release()
 
     return run
 
@@ -248,7 +251,7 @@ def _split(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in chunked(batches, "text"):
+        for batch in chunked(batches, "text", HASHED_BYTES):
             data, offsets = utf8(batch["text"])
             view = memoryview(data)
             wanted = batch["wanted"].to_pylist()
@@ -277,7 +280,7 @@ def _contexts(length: int):
     """Documents with their wanted places to the bytes of the contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunked(batches, "text"):
+        for batch in chunked(batches, "text", HASHED_BYTES):
             data, offsets = utf8(batch["text"])
             view = memoryview(data)
             wanted = batch["wanted"].to_pylist()
@@ -386,7 +389,7 @@ def removed_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunked(batches, "text"):
+        for batch in chunked(batches, "text", HASHED_BYTES):
             data, offsets = utf8(batch["text"])
             view = memoryview(data)
             whole, parts, out = batch["__whole"].to_pylist(), batch["__parts"].to_pylist(), []
