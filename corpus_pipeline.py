@@ -13,6 +13,9 @@ from aurum.llm import bpe_replay, minhash, mixing, suffix_dedup, toxicity
 from aurum.llm.common import table, written
 from aurum.llm.queries import ready
 
+#: A repeated passage has this many bytes or more: passages of a little over 50 words may be shorter than 300 bytes.
+PASSAGE_BYTES = 250
+
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -30,9 +33,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without the passages that occur elsewhere too."""
+    """The texts without the passages of PASSAGE_BYTES or more that occur elsewhere too."""
     ready(spark)
-    return suffix_dedup.without_repeats(docs.select(*COLUMNS))
+    return suffix_dedup.without_repeats(docs.select(*COLUMNS), PASSAGE_BYTES)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
