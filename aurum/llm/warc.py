@@ -22,6 +22,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -46,6 +47,8 @@ HEADERS = {"record_type": b"warc-type", "record_id": b"warc-record-id", "target_
 LENGTH_HEADER, PAYLOAD_LENGTH_HEADER = b"content-length", b"x-payload-length"
 REVISIT_PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+#: A record's header has fewer bytes.
+MOST_HEADER = 1 << 20
 
 
 def digest_of(payload: bytes) -> str:
@@ -104,11 +107,16 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class Bytes:
-    """Reads ahead over a stream; a member of a gzip file is inflated as far as it is asked for."""
+    """Reads ahead over a stream; a member of a gzip file is inflated as far as it is asked for.
+
+    What is read is kept in pieces until it is taken, so that a payload is joined once, whatever its length.
+    """
 
     def __init__(self, stream, start: int, stop: int, gzip: bool):
         self.stream, self.at, self.stop, self.gzip = stream, start, stop, gzip
-        self.held, self.inflater = b"", zlib.decompressobj(31) if gzip else None
+        self.pieces: deque[bytes] = deque()
+        self.size, self.used = 0, 0  # bytes left, and bytes of the first piece that are taken
+        self.inflater = zlib.decompressobj(31) if gzip else None
         stream.seek(start)
 
     def _more(self) -> bool:
@@ -120,14 +128,17 @@ class Bytes:
         data = rest or self.stream.read(1 << 18)
         if not data:
             return False
-        self.held += self.inflater.decompress(data) if self.gzip else data
+        data = self.inflater.decompress(data) if self.gzip else data
+        if data:
+            self.pieces.append(data)
+            self.size += len(data)
         return True
 
     @property
     def ended(self) -> bool:
         """Whether the next record begins at the end of the part or beyond."""
         if self.gzip:
-            while not self.held:
+            while not self.size:
                 at = self.stream.tell() - (len(self.inflater.unused_data) if self.inflater.eof else 0)
                 if at >= self.stop or not self._more():
                     return True
@@ -135,35 +146,54 @@ class Bytes:
         return self.at >= self.stop
 
     def until(self, mark: bytes) -> bytes:
-        found = -1
-        while (found := self.held.find(mark)) < 0:
+        while True:
+            if len(self.pieces) > 1:
+                self.pieces = deque([b"".join([self.pieces.popleft()[self.used:], *self.pieces])])
+                self.used = 0
+            found = self.pieces[0].find(mark, self.used) if self.pieces else -1
+            if found >= 0:
+                return self.take(found + len(mark) - self.used)
+            if self.size >= MOST_HEADER:
+                raise ValueError("a header without an end")
             if not self._more():
                 raise ValueError("truncated header")
-        return self.take(found + len(mark))
+
+    def _first(self, n: int) -> bytes:
+        """The rest of the next piece, or its next ``n`` bytes."""
+        piece, a = self.pieces[0], self.used
+        out = piece[a:a + n] if a or n < len(piece) else piece
+        self.used += len(out)
+        self.size -= len(out)
+        if self.used == len(piece):
+            self.pieces.popleft()
+            self.used = 0
+        return out
 
     def take(self, n: int) -> bytes:
-        while len(self.held) < n:
-            if not self._more():
+        out, left = [], n
+        while left:
+            if not self.size and not self._more():
                 raise ValueError("truncated record")
-        out, self.held = self.held[:n], self.held[n:]
+            if self.size:
+                out.append(self._first(left))
+                left -= len(out[-1])
         self.at += n
-        return out
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def skip(self, n: int) -> None:
-        if self.gzip:
-            while n > len(self.held):
-                n -= len(self.held)
-                self.held = b""
-                if not self._more():
-                    raise ValueError("truncated record")
-            self.held = self.held[n:]
+        if not self.gzip and n > self.size:
+            self.at += n
+            self.pieces.clear()
+            self.size = self.used = 0
+            self.stream.seek(self.at)
             return
+        left = n
+        while left:
+            if not self.size and not self._more():
+                raise ValueError("truncated record")
+            if self.size:
+                left -= len(self._first(left))
         self.at += n
-        if n <= len(self.held):
-            self.held = self.held[n:]
-        else:
-            self.held = b""
-            self.stream.seek(self.at)
 
 
 def parsed_header(data: bytes) -> dict[bytes, bytes]:
@@ -179,12 +209,19 @@ def parsed_header(data: bytes) -> dict[bytes, bytes]:
     return out
 
 
+def _number(header: dict[bytes, bytes], name: bytes) -> int:
+    value = header.get(name, b"")
+    if not value.isdigit():
+        raise ValueError(f"no valid {name.decode()} in a header")
+    return int(value)
+
+
 def records(stream, start: int, stop: int, *, gzip: bool, wanted: dict[str, set], payloads: bool, verify: bool) -> Iterator[tuple]:
     """The wanted records that begin in [start, stop)."""
     data = Bytes(stream, start, stop, gzip)
     while not data.ended:
         header = parsed_header(data.until(END))
-        length = int(header[LENGTH_HEADER])
+        length = _number(header, LENGTH_HEADER)
         row = {c: header[h].decode() if h in header else None for c, h in HEADERS.items()}
         for c in ("record_id", "refers_to"):
             row[c] = row[c].strip("<>") if row[c] else row[c]
@@ -193,7 +230,7 @@ def records(stream, start: int, stop: int, *, gzip: bool, wanted: dict[str, set]
             data.skip(length + len(END))
             continue
         http = header.get(b"content-type", b"").startswith(b"application/http")
-        stated = int(header[PAYLOAD_LENGTH_HEADER]) if PAYLOAD_LENGTH_HEADER in header else None
+        stated = _number(header, PAYLOAD_LENGTH_HEADER) if PAYLOAD_LENGTH_HEADER in header else None
         if row["record_type"] == "revisit" or not payloads and stated is not None:
             data.skip(length + len(END))
             yield *row.values(), stated, None

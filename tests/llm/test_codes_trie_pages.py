@@ -1,7 +1,9 @@
 """Dual-tree codes, the turn trie and main-text extraction against brute force, and their defined cases."""
 
+import gzip
 import hashlib
 import html
+import io
 import time
 import zlib
 from collections import defaultdict
@@ -10,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aurum.llm import dual_tree, main_text, turn_trie
+from aurum.llm import dual_tree, main_text, turn_trie, warc
 
 rng = np.random.default_rng(11)
 
@@ -158,6 +160,23 @@ def test_trie_defined_cases(spark):
     assert [tuple(r) for r in only] == [(gone, 0, None, 1, 0, 1, 0, hashlib.sha256(str(gone).encode()).hexdigest())]
 
 
+# ---- long WARC payloads ------------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("compressed", [False, True])
+def test_long_payloads_are_read_in_linear_time(compressed):
+    payloads = [b"", b"a\r\n\r\nb", b"x" * (96 << 20), b"y" * 300_000, b"z"]
+    records = [warc.record("response", f"r{k}", f"http://h/{k}", None, warc.digest_of(p), p) for k, p in enumerate(payloads)]
+    data = b"".join(gzip.compress(r, 1) if compressed else r for r in records)
+    start = time.time()
+    for whole in (True, False):
+        got = list(warc.records(io.BytesIO(data), 0, len(data), gzip=compressed, wanted={}, payloads=whole, verify=True))
+        assert [r[-2] for r in got] == [len(p) for p in payloads] and (not whole or [r[-1] for r in got] == payloads)
+    assert time.time() - start < 20
+    for bad in (records[3].replace(b"Content-Length", b"X-Length", 1), records[3][:40], records[3][:-9]):
+        with pytest.raises(ValueError):
+            list(warc.records(io.BytesIO(bad), 0, len(bad), gzip=False, wanted={}, payloads=True, verify=True))
+
+
 # ---- main text -------------------------------------------------------------------------------------------------------
 
 def page(k: int, article: str, wrap: str = '<div class="post-{k} entry">{a}</div>') -> str:
