@@ -5,14 +5,16 @@ Fit, on a bounded sample (``fit_rows``): a k-nearest-neighbour graph; a balanced
 while both sides stay equal); a small neural classifier that learns each vector's part from the vector.
 The number of parts to probe is calibrated on the sample: the smallest that finds ``TARGET`` of the true neighbours.
 
-Index: every vector goes to the classifier's most probable part.  Search: every query goes to its
-most probable parts; a part is searched in chunks of bounded size with exact inner products, and the
+Index: every vector goes to the classifier's most probable part.  Search: every query goes to its most
+probable part, whose k-th best score is the floor for the query's other probable parts: these send only
+what reaches it.  A part is searched in chunks of bounded size with exact inner products, and the
 best of all chunks are merged.  Products are summed component by component in double precision, so
 that equal vectors have equal scores wherever they lie.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose
 dimension isn't the most common one; fewer candidates than ``k`` are all returned; ties go to the smaller
-vec_id; rows with a null vec_id take no part; rows that repeat a vec_id are candidates each; an empty table gives an empty
+vec_id; rows with a null vec_id take no part; rows that repeat a vec_id are candidates each, also
+of one another, and queries each (20 results a row); an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -31,7 +33,7 @@ from aurum.llm.common import written
 
 K = 20
 FIT_ROWS = 8_000
-PART_ROWS = 2_000
+PART_ROWS = 128
 MAX_PARTS = 256
 TARGET = 0.96
 CHUNK = 4_000
@@ -187,52 +189,65 @@ def _routed(router: Router | None, probes: int):
             else:
                 logits = router.logits(x / np.linalg.norm(x, axis=1, keepdims=True))
                 parts = np.argsort(-logits, axis=1, kind="stable")[:, :probes]
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["v"], pa.array(parts.tolist(), pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["vec_id"], batch["v"], pa.array(parts.tolist(), pa.list_(pa.int32()))],
+                                             names=["row", "vec_id", "v", "parts"])
 
     return run
 
 
+_FOUND = "query long, vec_id long, score double"
+
+
 def _searched(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The queries and the vectors of one chunk to the chunk's k best for each query."""
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        """The queries and the vectors of one chunk to the chunk's k best for each query, of those that reach its floor."""
+        empty = pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not left.num_rows or not right.num_rows:
             return empty
-        ids = right["vec_id"].to_numpy()
+        ids, rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], _matrix(right["v"])[order]
-        query_ids, queries, out = left["vec_id"].to_numpy(), _matrix(left["v"]), []
+        ids, rows, vectors = ids[order], rows[order], _matrix(right["v"])[order]
+        query_rows, queries, floors, out = left["row"].to_numpy(), _matrix(left["v"]), left["floor"].to_numpy(), []
         for a in range(0, len(queries), QUERIES_AT_ONCE):
-            own = query_ids[a:a + QUERIES_AT_ONCE]
+            own = query_rows[a:a + QUERIES_AT_ONCE]
             scores = products(queries[a:a + QUERIES_AT_ONCE], vectors)
-            scores[own[:, None] == ids] = -np.inf
+            scores[own[:, None] == rows] = -np.inf  # the query's own row
             best = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # vectors are in order of their ids: ties go right
             taken = np.take_along_axis(scores, best, axis=1)
-            good = taken > -np.inf
+            good = (taken > -np.inf) & (taken >= floors[a:a + QUERIES_AT_ONCE, None])
             out.append((np.repeat(own, good.sum(1)), ids[best][good], taken[good]))
         q, v, s = map(np.concatenate, zip(*out, strict=True))
-        return pa.table({"query_id": q, "vec_id": v, "score": s})
+        return pa.table({"query": q, "vec_id": v, "score": s})
 
     return run
 
 
 def nearest(vectors: DataFrame, *, every: int = 20, k: int = K, fit_rows: int = FIT_ROWS, part_rows: int = PART_ROWS, target: float = TARGET) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector whose id is divisible by ``every``, its k nearest others found."""
-    good = written(usable(vectors), "ann-vectors")
+    good = written(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     n = good.count()
     router = fit(good, n, fit_rows=fit_rows, part_rows=part_rows, k=k, target=target) if n else None
-    index = written(good.mapInArrow(_routed(router, 1), "vec_id long, v array<double>, parts array<int>")
-                    .select("vec_id", "v", F.col("parts")[0].alias("part")), "ann-index")
+    columns, routed = ["row", "vec_id", "v"], "row long, vec_id long, v array<double>, parts array<int>"
+    index = written(good.select(*columns).mapInArrow(_routed(router, 1), routed).select(*columns, F.col("parts")[0].alias("part")), "ann-index")
     # a large part is searched in chunks, each with all of its queries
     chunks = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     located = index.join(F.broadcast(chunks), "part").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), "chunks"))  # at most MAX_PARTS rows
-    asked = (good.where(F.col("vec_id") % every == 0)
-             .mapInArrow(_routed(router, router.probes if router else 1), "vec_id long, v array<double>, parts array<int>")
-             .select("vec_id", "v", F.explode("parts").alias("part")).join(F.broadcast(chunks), "part")
-             .withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)"))))
-    found = (asked.select("vec_id", "v", "part", "chunk").groupBy("part", "chunk")
-             .cogroup(located.select("vec_id", "v", "part", "chunk").groupBy("part", "chunk"))
-             .applyInArrow(_searched(k), "query_id long, vec_id long, score double"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    located = located.select(*columns, "part", "chunk").groupBy("part", "chunk")
+    asked = written(good.where(F.col("vec_id") % every == 0).select(*columns).mapInArrow(_routed(router, router.probes if router else 1), routed), "ann-queries")
+
+    def searched(queries: DataFrame) -> DataFrame:
+        """(query, vec_id, score) of queries (row, v, floor, part)."""
+        dealt = queries.join(F.broadcast(chunks), "part").withColumn("chunk", F.explode(F.expr("sequence(0L, chunks - 1)")))
+        return dealt.select("row", "v", "floor", "part", "chunk").groupBy("part", "chunk").cogroup(located).applyInArrow(_searched(k), _FOUND)
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    # the most probable part first: its k-th score is the floor for the other parts, which send only what reaches it
+    first = searched(asked.select("row", "v", F.lit(float("-inf")).alias("floor"), F.col("parts")[0].alias("part")))
+    first = written(first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "ann-first")
+    floors = first.where(F.col("rank") == k).select(F.col("query").alias("row"), F.col("score").alias("floor"))
+    others = asked.join(floors, "row", "left").select("row", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
+                                                      F.explode(F.expr("slice(parts, 2, size(parts))")).alias("part"))
+    found = first.drop("rank").unionByName(searched(others))
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (ranked.join(asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id")), "query")
             .select("query_id", "rank", "vec_id", "score"))

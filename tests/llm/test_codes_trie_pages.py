@@ -236,3 +236,23 @@ def test_reader_is_linear_on_malformed_pages():
         main_text.main_text(bad, [])
     assert time.time() - start < 20
     assert main_text.main_text("<div>" * 5_000 + "deep" + "</div>" * 5_000 + "<p>flat", ["html>body"]) == "deep\nflat"
+
+
+# ---- nearest neighbours: repeated ids, several parts ---------------------------------------------------------------------
+
+def test_rows_that_repeat_an_id_are_queries_and_candidates_each(spark):
+    from aurum.llm import ann
+
+    x = rng.normal(size=(600, 8))
+    rows = [(k, x[k].tolist()) for k in range(500)] + [(20, x[500].tolist()), (0, x[501].tolist()), (7, x[502].tolist()), (7, x[7].tolist())]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4), target=1.0, part_rows=64).collect()
+    v, ids = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    scores = ann.products(v, v)
+    want, have = [], sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got)
+    for q in np.flatnonzero(ids % 20 == 0):
+        others = np.array([k for k in np.lexsort((ids, -scores[q])) if k != q][:20])
+        want += [(int(ids[q]), rank + 1, int(ids[k]), float(scores[q, k])) for rank, k in enumerate(others)]
+    assert len(have) == len(want)
+    assert len(set(have) & set(want)) >= 0.97 * len(set(want))  # several parts, all probes that the sample needs
+    one = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), part_rows=10_000).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in one) == sorted(want)  # one part: exact
