@@ -8,7 +8,8 @@ changes the work and never the result.
 
 Defined cases: a null text is empty (no ids, the hash of no bytes); a text without any match of
 the pattern has no ids; repeated rows give equal rows; a null doc_id is carried through; an empty
-table gives an empty result; very long pre-tokens cost n log n; other columns are ignored.
+table gives an empty result; a pre-token of more than LONG bytes has an index of its own, in n log n;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from aurum.llm.common import chunked, texts
 
 NONE = 1 << 62
+#: Words of more bytes have an index of their own.
+LONG = 1024
 #: Bytes of the remembered words, and of the remembered pieces (with what Python adds to each).
 MEMORY_BYTES = 32 << 20
 ENTRY_BYTES = 150
@@ -62,6 +65,8 @@ class Replay:
             rank = self.ranks.get(word)
             if rank is not None:
                 out[k] = rank.to_bytes(4, "little")
+            elif len(word) > LONG:
+                out[k] = self._long(word)
             elif word:
                 todo.append(k)
         if todo:
@@ -75,6 +80,44 @@ class Replay:
         at[self.pairs[at] != code] = -1
         return self.merged[at]
 
+    def _long(self, word: bytes) -> bytes:
+        """One long word, its own index from rank to positions being a heap of (rank, position): n log n."""
+        n = len(word)
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)]
+        ranks = self._rank(ids[:-1], ids[1:])
+        at = np.flatnonzero(ranks < NONE)
+        heap = (ranks[at] << 40 | at).tolist()
+        heapify(heap)
+        known: dict[int, int] = {}
+
+        def rank_of(left: int, right: int) -> int:
+            code = left << 32 | right
+            if (rank := known.get(code)) is None:
+                rank = known[code] = int(self._rank(np.array([left]), np.array([right]))[0])
+            return rank
+
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = ranks.tolist() + [NONE]  # the rank of the pair that starts at a position; NONE where a merge took it
+        while heap:
+            entry = heappop(heap)
+            rank, p = entry >> 40, entry & (1 << 40) - 1
+            if pair[p] != rank:
+                continue
+            gone = after[p]
+            ids[p], after[p], pair[gone], ids[gone] = rank, after[gone], NONE, -1
+            pair[p] = NONE
+            right, left = after[p], before[p]
+            if right < n:
+                before[right] = p
+                if (new := rank_of(rank, ids[right])) < NONE:
+                    pair[p] = new
+                    heappush(heap, new << 40 | p)
+            if left >= 0:
+                pair[left] = new = rank_of(ids[left], rank)
+                if new < NONE:
+                    heappush(heap, new << 40 | left)
+        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
+
     def _merged(self, words: list[bytes]) -> list[bytes]:
         flat = np.frombuffer(b"".join(words), np.uint8)
         sizes = np.array([len(w) for w in words])

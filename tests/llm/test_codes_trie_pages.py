@@ -256,3 +256,24 @@ def test_rows_that_repeat_an_id_are_queries_and_candidates_each(spark):
     assert len(set(have) & set(want)) >= 0.97 * len(set(want))  # several parts, all probes that the sample needs
     one = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), part_rows=10_000).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in one) == sorted(want)  # one part: exact
+
+
+# ---- very long pre-tokens ------------------------------------------------------------------------------------------------
+
+def test_long_pre_tokens_are_merged_as_the_library_does():
+    import public_tokenizers
+    import tiktoken
+
+    from aurum.llm import bpe_replay
+
+    ranks = bpe_replay.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("x", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    letters = list("abcdefg éß日😀'.,")
+    words = ["ab" * 3000, "a" * 5001, "".join(rng.choice(letters, 20_000)), "aab" * 1500, " " * 4000, "the " * 900]
+    replay = bpe_replay.Replay(ranks)
+    for word, got in zip(words, replay.encode([w.encode() for w in words])):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode_ordinary(word), word[:20]
+    start = time.time()
+    got = replay.encode([b"ab" * 500_000])[0]
+    assert b"".join(library.decode_single_token_bytes(i) for i in np.frombuffer(got, "<u4").tolist()) == b"ab" * 500_000
+    assert time.time() - start < 30
