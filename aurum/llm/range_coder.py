@@ -20,7 +20,8 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-LANES = 4096
+#: Blocks that are coded side by side, at some 50 KB each.
+LANES = 1024
 SLOTS = 256
 REFRESH = 64
 
