@@ -4,12 +4,18 @@ Each block is coded on its own: its model starts anew, and a damaged block spoil
 are lanes: one step codes the next id of every block with array operations, so that the adaptive,
 serial work of a block costs array time.
 
-Model of a block.  The ids that followed the last two ids (order 2) and the last id (order 1) when they
-were seen before predict the next id.  How far to trust order 2 is a mix of two adaptive experts: one knows how
-often this order-2 prediction has held in a row, the other how often the order-1 prediction has; the weight of the
-mix follows the experts' errors.  If order 2 is wrong, an adaptive chance tells whether order 1 is right.  If
-neither is, order 0 codes the id, its high and its low part by adaptive frequencies.  All choices make
-one interval out of 2**36, which narrows a 64-bit carry-less range coder.  All arithmetic is in integers,
+Model of a block.  Ids get numbers in the order in which they first occur in the block.  The next number's
+distribution is a mix of those of four models:
+
+* order 2: the number that followed the last two when they were seen before;
+* order 1: the number that followed the last one, and another one that did before;
+* order 0: the numbers by their frequencies so far.
+
+Each has a weight, kept by how often the predictions of orders 2 and 1 have held; after each id, the weights move
+towards the models' shares in the probability that it was given.  A chance of its own says that the id is a
+new one, which is then coded in full, its high and its low byte by adaptive frequencies.  The mixed cumulative
+distribution (a number's order-0 interval, widened and moved by the single predictions at or below it) makes one
+interval out of 2**36, which narrows a 64-bit carry-less range coder.  All arithmetic is in integers,
 so that every machine decodes alike.
 """
 
@@ -20,42 +26,60 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-#: Blocks that are coded side by side, at some 50 KB each.
+#: Blocks that are coded side by side, at some 80 KB each.
 LANES = 1024
-SLOTS = 256
+#: Steps between two sums of the order-0 frequencies; ids new since then have one unit each.
 REFRESH = 64
+UNITS = 1 << 14          # order-0 frequencies add up to this
+NUMBERS = BLOCK + REFRESH
 
 U = np.uint64
 _TOP, _FLOOR = U(1 << 48), U(1 << 48)
 
-
-_STEADIER = np.array([1, 2, 3, 3], np.int32) << 16
+#: Weights (out of 2**16) of order 2, of both predictions of order 1 and of order 0, by how often order 2 (rows) and
+#: order 1 (columns) have held: 0 (nothing known yet) to 3.
+_HELD = np.array([0.004, 0.25, 0.5, 0.75])
+_SHARES = np.zeros((4, 4, 4))
+_SHARES[..., 0] = _HELD[:, None]
+_SHARES[..., 1] = (1 - _HELD[:, None]) * _HELD * 0.6
+_SHARES[..., 2] = _SHARES[..., 1] * 0.4
+_SHARES[..., 3] = 1 - _SHARES[..., :3].sum(-1)
+_SHARES = np.round(_SHARES * 65536).astype(np.int64).reshape(16, 4)
 
 
 class Lanes:
     """The models of some blocks.  Ids are below 2**16."""
 
     def __init__(self, n: int):
-        self.n = n
-        self.lane = np.arange(n)
-        self.slots, self.states, self.rows = self.lane * SLOTS, self.lane * 4, self.lane * 257
-        self.guess2 = np.zeros(n * SLOTS, np.int32)  # predicted id; above it, how often it has held (0 to 3)
-        self.guess1 = np.zeros(n * SLOTS, np.int32)
-        self.trust2 = np.full(n * 4, 1024, np.int32)  # chance of order 2, by its own record
-        self.trust2_by1 = np.full(n * 4, 1024, np.int32)  # and by that of order 1
-        self.trust1 = np.full(n * 4, 1024, np.int32)
-        self.weight = np.full(n, 128, np.int32)
-        self.last, self.before = np.zeros(n, np.int32), np.zeros(n, np.int32)
-        self.high_counts = np.ones(n * 256, np.int32)
-        self.low_counts = np.ones(n * 256, np.int32)
+        self.n, self.lane = n, np.arange(n)
+        self.row, self.count_row, self.byte_row = self.lane * BLOCK, self.lane * NUMBERS, self.lane * 257
+        self.counts = np.zeros(n * NUMBERS, np.int32)
+        self.next2 = np.full(n * BLOCK, -1, np.int32)   # order 2, by a hash of the last two numbers
+        self.held2 = np.zeros(n * BLOCK, np.int8)
+        self.next1 = np.full(n * BLOCK, -1, np.int32)   # order 1, by the last number
+        self.other1 = np.full(n * BLOCK, -1, np.int32)
+        self.held1 = np.zeros(n * BLOCK, np.int8)
+        self.weights = [np.tile(_SHARES[:, k], n) for k in range(4)]  # by lane and how both have held
+        self.fresh = np.full(n, 1 << 15, np.int64)  # chance of a new id, out of 2**16
+        self.known = np.zeros(n, np.int64)
+        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.high_counts, self.low_counts = np.ones(n * 256, np.int32), np.ones(n * 256, np.int32)
         self.step = 0
-        self._refresh()
 
     def _refresh(self) -> None:
-        self.high_sums = self._sums(self.high_counts)
-        self.low_sums = self._sums(self.low_counts)
-
-    def _sums(self, counts: np.ndarray) -> np.ndarray:
+        known = self.known.astype(np.int32)[:, None]
+        width = int(known.max()) + REFRESH + 1  # numbers beyond can't come up before the next time
+        sums = np.zeros((self.n, width), np.int32)
+        np.cumsum(self.counts.reshape(self.n, NUMBERS)[:, :width - 1], axis=1, out=sums[:, 1:])
+        place = np.arange(width, dtype=np.int32)
+        # each known number and each of the next REFRESH ones keeps one unit at least; the product is below 2**25
+        sums *= UNITS - REFRESH - known
+        sums //= np.maximum(np.int32(self.step), 1)
+        sums += np.minimum(place, known + REFRESH)
+        self.sums, self.sum_row, self.highest = sums.ravel(), self.lane * width, width - 2
+        self.high_sums, self.low_sums = self._byte_sums(self.high_counts), self._byte_sums(self.low_counts)
+
+    def _byte_sums(self, counts: np.ndarray) -> np.ndarray:
         """Cumulative frequencies out of 4096; each value keeps one at least."""
         sums = np.zeros((self.n, 257), np.int32)
         np.cumsum(counts.reshape(self.n, 256), axis=1, out=sums[:, 1:])
@@ -64,56 +88,46 @@ class Lanes:
         return (sums + np.arange(257, dtype=np.int32)).ravel()
 
     def predict(self) -> None:
-        """The predictions of this step, and the frequencies (out of 4096) of: order 2 right, order 1 right."""
-        if self.step and self.step % REFRESH == 0:
+        """This step's single predictions and the weights of all models, out of 4096."""
+        if self.step % REFRESH == 0:
             self._refresh()
-        mixed = self.last * np.int32(40503)
-        self.at1 = self.slots + ((mixed >> 5) & SLOTS - 1)
-        self.at2 = self.slots + ((mixed + self.before * np.int32(10007) >> 3) & SLOTS - 1)
-        self.two, self.one = self.guess2[self.at2], self.guess1[self.at1]
-        self.id2, self.id1 = self.two & 0xFFFF, self.one & 0xFFFF
-        self.run2, self.run1 = self.two >> 16, self.one >> 16
-        self.state2, self.state1 = self.states + self.run2, self.states + self.run1
-        self.p2, self.p2_by1, self.p1 = self.trust2[self.state2], self.trust2_by1[self.state1], self.trust1[self.state1]
-        self.first = (((self.p2_by1 << 8) + (self.p2 - self.p2_by1) * self.weight) >> 8) * 31 // 32 + 64
-        rest = 4096 - self.first
-        self.second = rest * (self.p1 * 7 // 8 + 256) >> 12
-        self.escape = self.first + self.second
-
-    def update(self, ids: np.ndarray, miss: np.ndarray) -> None:
-        """Learn the coded ids; ``miss`` are the lanes where order 0 coded them."""
-        right2, right1 = self.id2 == ids, self.id1 == ids
-        target = right2 * np.int32(4095)
-        error2, error1 = target - self.p2, target - self.p2_by1
-        self.trust2[self.state2] = self.p2 + (error2 >> 4)
-        self.trust2_by1[self.state1] = self.p2_by1 + (error1 >> 4)
-        self.weight = np.minimum(np.maximum(self.weight + (np.abs(error1) - np.abs(error2) >> 6), 8), 248)
-        self.trust1[self.state1] = np.where(right2, self.p1, self.p1 + (right1 * np.int32(4095) - self.p1 >> 4))
-        self.guess2[self.at2] = np.where(right2, ids | _STEADIER[self.run2], np.where(self.run2 > 1, self.two - (2 << 16), ids))
-        self.guess1[self.at1] = np.where(right1, ids | _STEADIER[self.run1], np.where(self.run1 > 1, self.one - (2 << 16), ids))
-        some, at = ids[miss], miss << 8
-        self.high_counts[at + (some >> 8)] += 24
-        self.low_counts[at + (some & 255)] += 24
-        self.before, self.last = self.last, ids
-        self.step += 1
-
-    def intervals(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and size of the ids' intervals out of 2**36, and the lanes that order 0 codes."""
-        right2 = self.id2 == ids
-        start = np.where(right2, 0, self.first).astype(np.int64) << 24
-        size = np.where(right2, self.first, self.second).astype(np.int64) << 24
-        miss = np.flatnonzero(~(right2 | (self.id1 == ids)))
-        if len(miss):
-            some, row = ids[miss], self.rows[miss]
+        self.at1 = self.row + self.last
+        self.at2 = self.row + ((self.last * 40503 + self.before * 10007 >> 2) & BLOCK - 1)
+        self.two, self.one, self.other = self.next2[self.at2], self.next1[self.at1], self.other1[self.at1]
+        self.run2, self.run1 = self.held2[self.at2], self.held1[self.at1]
+        self.state = (self.lane << 4) + (self.run2 << 2) + self.run1
+        self.new = 16 + (self.fresh * 4000 >> 16)
+        rest = 4096 - self.new
+        self.share2, self.share1, self.share_other = (1 + (w[self.state] * (rest - 4) >> 16) for w in self.weights[:3])
+        self.share0 = rest - self.share2 - self.share1 - self.share_other
+
+    def _starts(self, numbers: np.ndarray) -> np.ndarray:
+        """Where the numbers' intervals begin."""
+        below = self.share2 * (self.two < numbers) + self.share1 * (self.one < numbers) + self.share_other * (self.other < numbers)
+        return (below << 24) + (self.share0 * self.sums[self.sum_row + numbers] << 10)
+
+    def _hits(self, numbers: np.ndarray) -> None:
+        """Which single predictions the numbers are, and their order-0 frequencies."""
+        self.hit2, self.hit1, self.hit_other = self.two == numbers, self.one == numbers, self.other == numbers
+        at = self.sum_row + numbers
+        self.own = (self.sums[at + 1] - self.sums[at]).astype(np.int64)
+
+    def intervals(self, numbers: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and size of the ids' intervals out of 2**36, and the lanes whose id is new (has the next number)."""
+        start = self._starts(numbers)
+        self._hits(numbers)
+        size = (self.share2 * self.hit2 + self.share1 * self.hit1 + self.share_other * self.hit_other << 24) + (self.share0 * self.own << 10)
+        new = np.flatnonzero(numbers == self.known)
+        if len(new):
+            some, row = ids[new], self.byte_row[new]
             high, low = row + (some >> 8), row + (some & 255)
-            self._order0(start, size, miss, self.high_sums[high], self.high_sums[high + 1], self.low_sums[low], self.low_sums[low + 1])
-        return start, size, miss
+            self._in_full(start, size, new, self.high_sums[high], self.high_sums[high + 1], self.low_sums[low], self.low_sums[low + 1])
+        return start, size, new
 
-    def _order0(self, start, size, miss, high, high_next, low, low_next) -> None:
-        escape = self.escape[miss].astype(np.int64)
-        left, wide = 4096 - escape, (high_next - high).astype(np.int64)
-        start[miss] = (escape << 24) + left * ((high.astype(np.int64) << 12) + wide * low)
-        size[miss] = left * wide * (low_next - low)
+    def _in_full(self, start, size, new, high, high_next, low, low_next) -> None:
+        share, wide = self.new[new], (high_next - high).astype(np.int64)
+        start[new] = (4096 - share << 24) + share * ((high.astype(np.int64) << 12) + wide * low)
+        size[new] = share * wide * (low_next - low)
 
     @staticmethod
     def _found(sums: np.ndarray, row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -124,24 +138,68 @@ class Lanes:
             step >>= 1
         return at
 
-    def decode(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The ids whose intervals hold the values; start, size and order-0 lanes as above."""
-        a = (value >> 24).astype(np.int32)
-        right2 = a < self.first
-        start = np.where(right2, 0, self.first).astype(np.int64) << 24
-        size = np.where(right2, self.first, self.second).astype(np.int64) << 24
-        ids = np.where(right2, self.id2, self.id1)
-        miss = np.flatnonzero(a >= self.escape)
-        if len(miss):
-            escape, row = self.escape[miss].astype(np.int64), self.rows[miss]
-            rest = (value[miss] - (escape << 24)) // (4096 - escape)
+    def decode(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers whose intervals hold the values; start, size, lanes with a new id, and those ids."""
+        numbers, step = np.zeros(self.n, np.int64), 1 << max(self.highest.bit_length() - 1, 0)
+        while step:
+            higher = np.minimum(numbers + step, self.highest)
+            numbers = np.where(self._starts(higher) <= value, higher, numbers)
+            step >>= 1
+        new = np.flatnonzero(value >= (4096 - self.new << 24))
+        numbers[new] = self.known[new]
+        ids = np.zeros(self.n, np.int64)
+        if len(new):
+            share, row = self.new[new], self.byte_row[new]
+            rest = (value[new] - (4096 - share << 24)) // share
             at = self._found(self.high_sums, row, (rest >> 12).astype(np.int32))
             high, high_next = self.high_sums[at], self.high_sums[at + 1]
             inner = ((rest - (high.astype(np.int64) << 12)) // (high_next - high)).astype(np.int32)
             at_low = self._found(self.low_sums, row, inner)
-            ids[miss] = (at - row) << 8 | at_low - row
-            self._order0(start, size, miss, high, high_next, self.low_sums[at_low], self.low_sums[at_low + 1])
-        return ids, start, size, miss
+            ids[new] = (at - row) << 8 | at_low - row
+        start, size, _ = self.intervals(numbers, ids)
+        return numbers, start, size, new, ids[new]
+
+    def update(self, numbers: np.ndarray, new: np.ndarray, new_ids: np.ndarray) -> None:
+        """Learn the coded numbers; ``new`` are the lanes whose number is a new one, with ``new_ids``."""
+        seen = np.ones(self.n, bool)
+        seen[new] = False
+        parts = (self.share2 * self.hit2 << 14, self.share1 * self.hit1 << 14, self.share_other * self.hit_other << 14, self.share0 * self.own)
+        total = parts[0] + parts[1] + parts[2] + parts[3]
+        for weights, part in zip(self.weights, parts):
+            old = weights[self.state]
+            weights[self.state] = old + (((part << 16) // total - old >> 4) * seen)
+        self.fresh += (~seen * 65535 - self.fresh) >> 5
+        self.counts[self.count_row + numbers] += 1
+        self.known[new] += 1
+        self.high_counts[(new << 8) + (new_ids >> 8)] += 24
+        self.low_counts[(new << 8) + (new_ids & 255)] += 24
+        # order 2: one prediction, which has to fail more often the more often it has held
+        keep = ~self.hit2 & (self.run2 > 1)
+        self.next2[self.at2] = np.where(keep, self.two, numbers)
+        self.held2[self.at2] = np.where(self.hit2, np.minimum(self.run2 + 1, 3), np.where(keep, self.run2 - 1, 1))
+        # order 1: a first and a second one; the second takes the first's place when that fails
+        keep = ~self.hit1 & (self.run1 > 1)
+        self.next1[self.at1] = np.where(keep, self.one, numbers)
+        self.other1[self.at1] = np.where(self.hit1, self.other, np.where(keep, numbers, self.one))
+        self.held1[self.at1] = np.where(self.hit1, np.minimum(self.run1 + 1, 3), np.where(keep, self.run1 - 1, 1))
+        self.before, self.last = self.last, numbers
+        self.step += 1
+
+
+def numbered(table: np.ndarray) -> np.ndarray:
+    """The ids of each row by the order of their first occurrence in it."""
+    order = np.argsort(table, axis=1, kind="stable")
+    ids = np.take_along_axis(table, order, 1)
+    fresh = np.ones(table.shape, bool)
+    fresh[:, 1:] = ids[:, 1:] != ids[:, :-1]
+    head = np.maximum.accumulate(np.where(fresh, np.arange(table.shape[1]), 0), axis=1)
+    first = np.take_along_axis(order, head, 1)  # the place where the id occurs first
+    at_first = np.zeros(table.shape, bool)
+    np.put_along_axis(at_first, order, fresh, 1)
+    number = np.cumsum(at_first, axis=1) - 1
+    out = np.empty(table.shape, np.int64)
+    np.put_along_axis(out, order, np.take_along_axis(number, first, 1), 1)
+    return out
 
 
 #: The three choices share 36 bits.
@@ -162,7 +220,8 @@ def _encode(ids: np.ndarray) -> list[bytes]:
     n = -(-len(ids) // BLOCK)
     padded = np.zeros(n * BLOCK, np.int32)
     padded[:len(ids)] = ids
-    table = np.ascontiguousarray(padded.reshape(n, BLOCK).T)
+    numbers = np.ascontiguousarray(numbered(padded.reshape(n, BLOCK)).T)
+    table = np.ascontiguousarray(padded.reshape(n, BLOCK).T).astype(np.int64)
     steps = min(BLOCK, len(ids))
     model = Lanes(n)
     low, width = np.zeros(n, U), np.full(n, 0xFFFFFFFFFFFFFFFF, U)
@@ -171,7 +230,7 @@ def _encode(ids: np.ndarray) -> list[bytes]:
     with np.errstate(over="ignore"):
         for t in range(steps):
             model.predict()
-            start, size, miss = model.intervals(table[t])
+            start, size, new = model.intervals(numbers[t], table[t])
             unit = width >> _SHIFT
             low += unit * start.view(U)
             width = unit * size.view(U)
@@ -187,7 +246,7 @@ def _encode(ids: np.ndarray) -> list[bytes]:
                 words[count[going], going] = (l >> U(48)).astype(np.uint16)
                 count[going] += 1
                 low[going], width[going] = l << U(16), w << U(16)
-            model.update(table[t], miss)
+            model.update(numbers[t], new, table[t, new])
         for _ in range(4):
             words[count, np.arange(n)] = (low >> U(48)).astype(np.uint16)
             count += 1
@@ -219,12 +278,13 @@ def _decode(blocks: list[bytes], n_ids: int) -> np.ndarray:
         code = code << U(16) | words[k]
     count = np.full(n, 4)
     model, table = Lanes(n), np.zeros((BLOCK, n), np.int32)
+    lane, names = np.arange(n), np.zeros((n, NUMBERS), np.int32)  # the id of each number
     with np.errstate(over="ignore"):
         for t in range(steps):
             model.predict()
             unit = width >> _SHIFT
             value = np.minimum((code - low) // unit, U((1 << 36) - 1)).view(np.int64)
-            ids, start, size, miss = model.decode(value)
+            numbers, start, size, new, new_ids = model.decode(value)
             low += unit * start.view(U)
             width = unit * size.view(U)
             going = np.arange(n)
@@ -239,8 +299,9 @@ def _decode(blocks: list[bytes], n_ids: int) -> np.ndarray:
                 code[going] = code[going] << U(16) | words[count[going], going]
                 count[going] += 1
                 low[going], width[going] = l << U(16), w << U(16)
-            model.update(ids, miss)
-            table[t] = ids
+            names[lane[new], numbers[new]] = new_ids
+            table[t] = names[lane, numbers]
+            model.update(numbers, new, new_ids)
     return np.ascontiguousarray(table.T).ravel()[:n_ids]
 
 

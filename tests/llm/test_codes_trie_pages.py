@@ -277,3 +277,35 @@ def test_long_pre_tokens_are_merged_as_the_library_does():
     got = replay.encode([b"ab" * 500_000])[0]
     assert b"".join(library.decode_single_token_bytes(i) for i in np.frombuffer(got, "<u4").tolist()) == b"ab" * 500_000
     assert time.time() - start < 30
+
+
+# ---- context mixing ------------------------------------------------------------------------------------------------------
+
+def test_mixed_orders_beat_a_dictionary_coder_per_block(spark):
+    import public_tokenizers
+    import zlib as z
+    from tokenizers import Tokenizer
+
+    from aurum.llm import range_coder
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    ids = np.concatenate([np.array(e.ids + [2], np.int32) for e in tokenizer.encode_batch(rows, add_special_tokens=False)])
+    blocks = range_coder.encode(ids)
+    assert (range_coder.decode(blocks, len(ids)) == ids).all()
+    plain = sum(len(z.compress(ids[k:k + range_coder.BLOCK].astype("<u2").tobytes(), 9)) for k in range(0, len(ids), range_coder.BLOCK))
+    assert sum(map(len, blocks)) < 0.88 * plain
+
+
+@pytest.mark.parametrize("ids", [[], [5], [0] * 5000, [65535, 0] * 2100, list(range(4200)), [7] * 2048 + [9]])
+def test_coder_round_trips(ids):
+    from aurum.llm import range_coder
+
+    x = np.array(ids, np.int32)
+    assert (range_coder.decode(range_coder.encode(x), len(x)) == x).all()
+
+
+def test_numbers_follow_first_occurrence():
+    from aurum.llm import range_coder
+
+    assert range_coder.numbered(np.array([[5, 5, 2, 9, 2, 5], [1, 2, 3, 3, 2, 1]])).tolist() == [[0, 0, 1, 2, 1, 0], [0, 1, 2, 2, 1, 0]]
