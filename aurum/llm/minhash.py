@@ -219,6 +219,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 def verified(pairs: DataFrame, node_texts: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
+    pairs = written(pairs, f"{name}-pairs")  # its size is known when the joins are planned: the smaller side moves
     left, right = (node_texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     return written(pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), name)
 
@@ -235,7 +236,8 @@ def _members(docs: DataFrame) -> DataFrame:
     meets = located.groupBy("node").agg(F.sum("n").alias("meets"))
     hubs = located.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("leader"))
     buckets = written(located.join(hubs, "key"), "minhash-buckets")
-    needed = buckets.select("node").distinct()
+    # a table of its own: while it is small, the join that picks its texts is a broadcast and moves no other text
+    needed = written(buckets.select("node").distinct(), "minhash-needed")
     node_texts = written(nodes.select("node", "text").join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")),
                          "minhash-texts")
     first = verified(buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(),
