@@ -2,6 +2,11 @@
 
 Each stage works on what its predecessor kept, written as Parquet and read again.  All but the last
 return the columns of ``documents``.
+
+Defined cases: a null text is a clean document without words, stays, and is encoded as no ids; rows with a null
+doc_id stay; rows that repeat a doc_id and text count once from the second stage on; a document of which the
+passage stage leaves nothing stays with an empty text; other columns are dropped, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
