@@ -309,3 +309,42 @@ def test_numbers_follow_first_occurrence():
     from aurum.llm import range_coder
 
     assert range_coder.numbered(np.array([[5, 5, 2, 9, 2, 5], [1, 2, 3, 3, 2, 1]])).tolist() == [[0, 0, 1, 2, 1, 0], [0, 1, 2, 2, 1, 0]]
+
+
+# ---- the pipeline's defined cases ------------------------------------------------------------------------------------------
+
+def test_pipeline_on_odd_and_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(300)]
+
+    def prose(n, seed):
+        return " ".join(np.random.default_rng(seed).choice(words, n))
+
+    passage = prose(55, 99)  # over 50 words, under 300 bytes
+    assert 250 < len(passage) < 300
+    rows = [(k, prose(80, k), "en", f"s{k % 2}", 1) for k in range(40)]
+    rows += [(40, rows[3][1], "en", "s1", 1), (3, rows[3][1], "en", "s1", 1), (41, prose(40, 500) + " " + passage, None, None, None),
+             (42, passage + " " + prose(40, 501), "en", "s0", 1), (43, None, None, None, None), (44, "", "en", "s0", 0), (None, prose(30, 502), "en", "s0", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    for name, docs in (("odd", rows), ("empty", [])):
+        base = str(tmp_path / name)
+        df = spark.createDataFrame(docs, schema)
+        for extra in ("row", "key", "node", "probability", "component", "__id"):
+            df = df.withColumn(extra, F.lit(7))
+        df.write.parquet(f"{base}/documents.parquet")
+        labels.write.parquet(f"{base}/labels.parquet")
+        kept = spark.read.parquet(f"{base}/documents.parquet")
+        for stage, run in corpus_pipeline.STAGES[:3]:
+            kept = run(spark, kept, base)
+            assert kept.columns == list(corpus_pipeline.COLUMNS)
+        got = kept.collect()
+        if name == "empty":
+            assert got == [] and corpus_pipeline.run(spark, base).collect() == []
+            continue
+        texts = {r.doc_id: r.text for r in got}
+        assert len([r for r in got if r.text == rows[3][1]]) == 1              # one of the copies
+        assert passage not in texts[41] and passage not in texts[42]           # a short passage that two documents share
+        assert texts[0] == rows[0][1] and None in texts and 43 in texts and 44 in texts
+        assert corpus_pipeline.run(spark, base).columns[0] == "doc_id"
