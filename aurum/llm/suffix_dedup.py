@@ -385,8 +385,8 @@ def _with_spans(docs: DataFrame, length: int) -> DataFrame:
 
 
 def removed_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and whether it has repeats."""
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, has_repeats boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches, "text", HASHED_BYTES):
@@ -402,7 +402,8 @@ def removed_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 kept.update(view[a + last:b])
                 out.append((b - a, sum(e - s for s, e in spans), len(spans), kept.hexdigest()))
             columns = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string()),
+                                              pa.array([n > 0 for n in columns[1]], pa.bool_())],
                                              names=[x.split()[0] for x in schema.split(", ")])
 
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
