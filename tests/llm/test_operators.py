@@ -316,7 +316,7 @@ def test_suffix_dedup(docs, empty):
     data, gone = brute_removed([t for _, t in ROWS], 400)
     want = Counter((i, len(d), int(g.sum()), int(np.count_nonzero(np.diff(np.append(False, g).astype(int)) == 1)),
                     hashlib.sha256(np.frombuffer(d, np.uint8)[~g].tobytes()).hexdigest()) for (i, _), d, g in zip(ROWS, data, gone, strict=True))
-    assert Counter(tuple(r) for r in suffix_dedup.removed_digests(docs).collect()) == want
+    assert Counter(tuple(r)[:5] for r in suffix_dedup.removed_digests(docs).collect()) == want
     kept = suffix_dedup.without_repeats(docs)
     assert kept.columns == docs.columns and kept.count() == len(ROWS)
     assert all(r.text is None or len(r.text) == r.n_chars for r in kept.collect())
