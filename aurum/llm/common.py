@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from aurum.session import scratch_path
+from aurum.session import delete_folder, scratch_path
 
 #: ASCII white space: the separators between words wherever a contract says ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,10 +26,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage and fixes the rows: a lost executor makes Spark read the files again, never
     compute the rows anew with other results.
     """
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written``, with the table's folder, for ``discard``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more, and let Spark remove the shuffles that led to it.
+
+    Call it when what was made of the table is written itself: a lost executor then reads that.  Spark drops the
+    files of shuffles whose plans are unreachable in the driver, which a collection there finds out.
+    """
+    delete_folder(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def texts(column: pa.Array) -> list[str]:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import chunked, mix64, release, utf8, written
+from aurum.llm.common import chunked, discard, mix64, release, utf8, written, written_at
 
 LENGTH = 400
 GRAM = 32
@@ -347,14 +347,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key_contexts: int = KE
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     columns = "anchor long, context long, doc_id long, text_hash long, pos long"
     every = {"low": F.lit(0), "high": F.lit(length - GRAM)}  # the places of an anchor, known without writing them
-    found = written(keyed.mapInArrow(_anchored(length), columns), "suffix-anchors")
+    found, path = written_at(keyed.mapInArrow(_anchored(length), columns), "suffix-anchors")
     first = _placed(found, key_contexts, "suffix-placed").withColumns(every)
+    discard(docs.sparkSession, path)
     levels = [first]
     # ends at single places at the latest: there a key has one context
     while not levels[-1].where("crowded").isEmpty():
         crowded = _with_texts(keyed, _compared(levels[-1].where("crowded")))
-        found = written(crowded.mapInArrow(_split(length), columns + ", low int, high int"), "suffix-split")
+        found, path = written_at(crowded.mapInArrow(_split(length), columns + ", low int, high int"), "suffix-split")
         levels.append(_placed(found, key_contexts, "suffix-split-placed"))
+        discard(docs.sparkSession, path)
     places = reduce(DataFrame.union, (_compared(x.where("not crowded")) for x in levels))
     contexts = _with_texts(keyed, places).mapInArrow(_contexts(length), "anchor long, doc_id long, text_hash long, at long, single boolean, bytes binary")
     marks = (contexts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "text_hash", "at")
