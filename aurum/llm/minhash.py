@@ -43,6 +43,8 @@ BLOCK = 512
 #: Registers of the long signatures, and how many must agree before texts are compared: at a similarity of 0.8
 #: (a standard deviation of 0.0125) fewer agree once in 300,000 times.
 LONG = 1024
+#: 64-bit words of the filter before the join that picks texts (2 MB).
+FILTER_WORDS = 1 << 18
 SIFT = int((SIMILARITY - 4.5 * 0.0125) * LONG)
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -224,6 +226,20 @@ def verified(pairs: DataFrame, node_texts: DataFrame, name: str) -> DataFrame:
     return written(pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), name)
 
 
+def maybe_in(nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows whose node may be one of ``needed`` (some others too), before a join has to move their texts.
+
+    A bit table of fixed size, a scalar subquery: with very many needed nodes it lets more through, and the join decides.
+    """
+    word = F.expr(f"pmod(node, {FILTER_WORDS * 64}L) div 64")
+    bit = F.expr("shiftleft(1L, cast(pmod(node, 64L) as int))")
+    words = needed.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("bits"))
+    every = needed.sparkSession.range(FILTER_WORDS).select(F.col("id").alias("w")).join(words, "w", "left")
+    table = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
+                                  lambda x: x["bits"]).alias("t")).scalar()
+    return nodes.where(bit.bitwiseAND(F.element_at(table, (word + 1).cast("int"))) != 0)
+
+
 def _members(docs: DataFrame) -> DataFrame:
     """doc_id, node (the hash of the text), component and has_words of every document."""
     nodes = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("node"), "text")
@@ -236,9 +252,8 @@ def _members(docs: DataFrame) -> DataFrame:
     meets = located.groupBy("node").agg(F.sum("n").alias("meets"))
     hubs = located.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("leader"))
     buckets = written(located.join(hubs, "key"), "minhash-buckets")
-    # a table of its own: while it is small, the join that picks its texts is a broadcast and moves no other text
     needed = written(buckets.select("node").distinct(), "minhash-needed")
-    node_texts = written(nodes.select("node", "text").join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")),
+    node_texts = written(maybe_in(nodes.select("node", "text"), needed).join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")),
                          "minhash-texts")
     first = verified(buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(),
                      node_texts, "minhash-links")
