@@ -1,7 +1,7 @@
 """Command line for the medallion jobs.
 
     python -m aurum land    --season DOC --fixtures DOC --live DIR --landing DIR --config CSV
-                            --audit DIR [--source NAME]
+                            --audit DIR [--source NAME] [--archive DIR]
     python -m aurum refresh --landing DIR --silver DIR
     python -m aurum gold    --silver DIR [--show VIEW] [--rows N]
 
@@ -50,7 +50,7 @@ def cmd_land(a: argparse.Namespace) -> None:
     extractors = {t: season_table(t) for t in ["players", "positions", "teams", "gameweeks", "fixtures"]}
     extractors["gameweek_live"] = lambda load_type, last, cur: J.land_live(spark, a.live, a.landing, today, last + 1, cur)
     config = RD.read_csv_table(spark, a.config, SC.CONFIG)
-    counts = J.run_loads(spark, config, a.source, extractors, a.audit, current, final, F.current_timestamp())
+    counts = J.run_loads(spark, config, a.source, extractors, a.audit, current, final, F.current_timestamp(), a.landing, a.archive)
     for table, n in counts.items():
         print(f"{table}: {n} records")
 
@@ -81,6 +81,7 @@ def main(argv: list[str] | None = None) -> None:
     for flag in ("--season", "--fixtures", "--live", "--landing", "--config", "--audit"):
         land.add_argument(flag, required=True)
     land.add_argument("--source", default="season-api")
+    land.add_argument("--archive")
     land.set_defaults(fn=cmd_land)
     ref = sub.add_parser("refresh")
     ref.add_argument("--landing", required=True)

@@ -124,11 +124,13 @@ def next_fixtures(fixtures: DataFrame) -> DataFrame:
 
 
 def next_period_fixtures(fixtures: DataFrame) -> DataFrame:
-    """Rows of ``next_fixtures`` in the earliest open period (scalar MIN subquery)."""
-    nf = next_fixtures(fixtures)
-    first = nf.agg(F.min("gameweek").alias("__next_gw"))
-    # one-row side: a proven-size broadcast
-    return nf.join(F.broadcast(first), nf["gameweek"] == first["__next_gw"], "inner").drop("__next_gw")
+    """Rows of ``next_fixtures`` in the earliest open period.
+
+    The period is a scalar subquery over two columns; its value reaches the second scan as a filter
+    (pushed to the files, and to the folders of a table kept by period), before the sides are unfolded.
+    """
+    first = fixtures.where(is_false("is_finished")).agg(F.min("gameweek")).scalar()
+    return next_fixtures(fixtures.where(F.col("gameweek") == first))
 
 
 def captaincy_picks(overview: DataFrame, fixtures: DataFrame, ordered: bool = False) -> DataFrame:

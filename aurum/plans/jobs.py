@@ -313,9 +313,18 @@ def _audit(spark: SparkSession, datasource: str, table: str, load_type: str, cou
         F.col("period").cast("string").alias("load_watermark"), clock.alias("load_timestamp"), F.lit(status).alias("status")), path)
 
 
+def archive_landed(spark: SparkSession, landing: str, archive: str, table: str, load_type: str) -> list[str]:
+    """Archive what a successful load has superseded.  Of a table that is replaced whole that is every earlier day; the
+    days of an incremental table are all current until they are merged, and stay."""
+    base = f"{landing.rstrip('/')}/{table}"
+    return [] if load_type == "incremental" else WR.archive_landings(spark, base, archive, table, LD.landing_days(spark, base))
+
+
 def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractors: Mapping[str, callable],
-              audit_path: str, current: int, final: int, clock: Column) -> dict[str, int]:
-    """Config-driven landing: each active table's extractor -> record count -> audit row.
+              audit_path: str, current: int, final: int, clock: Column, landing: str | None = None,
+              archive: str | None = None) -> dict[str, int]:
+    """Config-driven landing: each active table's extractor -> record count -> audit row.  With ``landing`` and
+    ``archive``, landings that a successful load supersedes are moved to the archive.
 
     ``extractors[table](load_type, last_watermark, current)`` lands the table and returns its
     record count (``Landed``: with rejects, which get an audit row of status REJECTED, and for period
@@ -351,4 +360,6 @@ def run_loads(spark: SparkSession, config: DataFrame, datasource: str, extractor
             continue   # nothing new: no audit row, the watermark does not move
         mark = mark or None   # a watermark of zero is recorded as none
         _audit(spark, datasource, table, load_type, int(n or 0), mark, clock, "SUCCESS" if n else "EMPTY", audit_path)
+        if n and landing is not None and archive is not None:
+            archive_landed(spark, landing, archive, table, load_type)
     return results

@@ -316,18 +316,21 @@ def q_incremental_refresh(spark, d):
 
 @query("full_load_replace")
 def q_full_load(spark, d):
-    """A full load run on two days: the landing delivers the later day's snapshot, the audit holds both loads."""
-    land, audit = scratch_path(spark, "full-landing"), scratch_path(spark, "full-audit")
+    """A full load run on two days: the landing delivers the later day's snapshot, the earlier one is in the archive,
+    the audit holds both loads."""
+    land, audit, archive = (scratch_path(spark, n) for n in ("full-landing", "full-audit", "full-archive"))
     s = A.load(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     config = spark.createDataFrame([(SOURCE, "suppliers", "full", "1")], SC.CONFIG)
     for day, rows, period in ((FIRST_LOAD, s.where("s_suppkey % 2 = 0"), 4), (SECOND_LOAD, s, 5)):
         J.run_loads(spark, config, SOURCE, {"suppliers": lambda *_, day=day, rows=rows: WR.write_landing(rows, land, "suppliers", day)},
-                    audit, period, period - 1, clock())
+                    audit, period, period - 1, clock(), land, archive)
     schema = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()), T.StructField("s_nationkey", T.LongType())])
     lines = LD.read_lines(spark, LD.latest_landing(spark, f"{land}/suppliers"), schema).where("reject_reason is null")
     loads = spark.read.schema(SC.AUDIT).parquet(audit).groupBy("tablename").agg(
         F.count(F.lit(1)).alias("loads"), F.sum("record_count").alias("landed"), F.max("load_watermark").alias("watermark"))
-    return lines.select("s_suppkey", "s_name", "s_nationkey").join(F.broadcast(loads))  # one row of totals
+    old = LD.read_lines(spark, [f"{archive}/suppliers/{FIRST_LOAD:%Y/%m/%d}"], schema).agg(F.count("s_suppkey").alias("archived"))
+    totals = loads.select("*", old.scalar().alias("archived"))
+    return lines.select("s_suppkey", "s_name", "s_nationkey").join(F.broadcast(totals))  # one row of totals
 
 
 @query("load_stamp")

@@ -326,6 +326,7 @@ SELECT * REPLACE (
 FROM s_live""", "s_live")
 ORACLE["full_load_replace"] = """
 SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, 'suppliers' AS tablename, 2::BIGINT AS loads,
-  (SELECT count(*) + count(*) FILTER (s_suppkey % 2 = 0) FROM supplier)::BIGINT AS landed, '5' AS watermark
+  (SELECT count(*) + count(*) FILTER (s_suppkey % 2 = 0) FROM supplier)::BIGINT AS landed, '5' AS watermark,
+  (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) AS archived
 FROM supplier"""
 ORACLE["load_stamp"] = W("SELECT team_id, TRUE AS stamped_now, TRUE AS one_stamp FROM s_teams", "s_teams")

@@ -112,6 +112,17 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder (a metadata step of the store); what is at ``target`` is replaced."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    fs.delete(b, True)
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def set_session_defaults(spark: SparkSession) -> None:
     """Pin the semantics the library relies on (UTC clock, dynamic partition overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -123,5 +134,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "children", "delete_folder", "ensure_checkpoint_dir", "materialized", "ready_workers", "scratch_path", "set_session_defaults",
+__all__ = ["build_session", "children", "delete_folder", "ensure_checkpoint_dir", "materialized", "move", "ready_workers", "scratch_path", "set_session_defaults",
            "local_path", "path_exists"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aurum.session import delete_folder
+from aurum.session import children, delete_folder, move
 from aurum.session import path_exists as _exists
 from aurum.sources.readers import JSON_OPTIONS  # noqa: F401  (re-exported for writers' callers)
 
@@ -62,16 +62,33 @@ def write_snapshot(df: DataFrame, path: str, snapshot_date: dt.date) -> int:
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the most recent snapshot, with ``snapshot_date``.
 
-    The latest date is a one-row aggregate over the partition columns; the join on the
-    partition columns lets dynamic partition pruning skip the older snapshots' files.
+    The date is found by listing the three folder levels, so only that snapshot's files are planned and read.
     """
-    snaps = spark.read.parquet(path)
-    last = snaps.select((F.col("year") * 10000 + F.col("month") * 100 + F.col("day")).alias("__d")) \
-                .agg(F.max("__d").alias("__d"))
-    tagged = snaps.withColumn("__d", F.col("year") * 10000 + F.col("month") * 100 + F.col("day"))
-    out = tagged.join(F.broadcast(last), "__d", "left_semi")
-    date = F.make_date(F.col("year"), F.col("month"), F.col("day")).alias("snapshot_date")
-    return out.select(*[c for c in snaps.columns if c not in ("year", "month", "day")], date)
+    base, parts = path.rstrip("/"), []
+    for level in ("year", "month", "day"):
+        numbers = [int(n.split("=", 1)[1]) for n in children(spark, "/".join([base, *parts])) if n.startswith(f"{level}=")]
+        if not numbers:
+            raise ValueError(f"no snapshot at {path}")
+        parts.append(f"{level}={max(numbers)}")
+    day = dt.date(*(int(p.split("=")[1]) for p in parts))
+    rows = spark.read.option("basePath", base).parquet("/".join([base, *parts]))
+    return rows.select(*[c for c in rows.columns if c not in ("year", "month", "day")], F.lit(day).alias("snapshot_date"))
+
+
+def archive_landings(spark: SparkSession, base: str, archive: str, table: str, days: dict[str, str | None]) -> list[str]:
+    """Move the table's superseded landings, all but the latest day of ``days`` (path -> yyyymmdd), to
+    ``<archive>/<table>/<yyyy>/<mm>/<dd>/``; a day that is archived again replaces its copy.  Returns the new paths.
+
+    It runs after a load, so a load that fails leaves the landing as it was.
+    """
+    last = max((d for d in days.values() if d), default=None)
+    moved = []
+    for path, day in sorted(days.items()):
+        if day is not None and day != last:
+            target = f"{archive.rstrip('/')}/{table}/{day[:4]}/{day[4:6]}/{day[6:]}/{path.rsplit('/', 1)[1]}"
+            move(spark, path, target)
+            moved.append(target)
+    return moved
 
 
 REJECTS = "table_name string, load_key string, source_file string, reason string, raw string"

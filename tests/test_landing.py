@@ -153,6 +153,25 @@ def test_latest_landing_is_found_by_listing(spark, scratch):
     assert len(df.inputFiles()) == 2  # one scan of the latest day, older ones aren't opened
 
 
+def test_superseded_landings_are_archived_after_a_load(spark, scratch):
+    landing, archive, audit = scratch("landing"), scratch("archive"), scratch("audit")
+    cfg = spark.createDataFrame([("feed", "teams", "full", "1"), ("feed", "gameweek_live", "incremental", "1")], SC.CONFIG)
+
+    def load(day, n):
+        rows = spark.createDataFrame([('{"id": %d}' % k,) for k in range(n)], "raw string")
+        ext = {t: lambda *_, t=t: WR.write_landing(rows, landing, t, dt.date(2026, 1, day), fmt="text") for t in ("teams", "gameweek_live")}
+        J.run_loads(spark, cfg, "feed", ext, audit, 1, 1, clock(), landing, archive)
+
+    load(1, 3)
+    load(2, 4)
+    load(3, 0)   # nothing landed: nothing moves
+    assert sorted(LD.landing_days(spark, f"{landing}/teams").values()) == ["20260102"]
+    assert sorted(LD.landing_days(spark, f"{landing}/gameweek_live").values()) == ["20260101", "20260102"]
+    load(1, 2)   # an older day landed late is archived at once, in place of its earlier copy
+    old = spark.read.text(f"{archive}/teams/2026/01/01/*")
+    assert old.count() == 2 and sorted(LD.landing_days(spark, f"{landing}/teams").values()) == ["20260102"]
+
+
 def test_views_outlive_a_refresh_in_every_session(spark, scratch):
     base, name = scratch("versions"), "lasting_t"
     VS.replace(spark, spark.range(3).withColumn("v", F.lit("old")), name, base)
