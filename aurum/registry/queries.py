@@ -20,8 +20,6 @@ QUERIES: dict[str, Query] = {}
 
 # fixed load clock so silver outputs are comparable run to run
 FIXED_CLOCK = "2026-01-01 00:00:00"
-# writer tasks (and files) of a period
-PERIOD_SALTS = 4
 
 
 def clock() -> Column:
@@ -80,9 +78,8 @@ def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
         df = _SILVER_BUILDERS[name](spark, d)
         if name == "gameweek_live":
             # partitioned by period, so joins with a few periods prune the scan (dynamic
-            # partition pruning); dealt by period and a salt: a hot period spans several writer tasks
-            salt = F.pmod(F.xxhash64("player_id"), F.lit(PERIOD_SALTS))
-            df.repartition("gameweek", salt).write.partitionBy("gameweek").parquet(path)
+            # partition pruning); rebalanced by period: a hot one is split over several writer tasks
+            df.hint("rebalance", "gameweek").write.partitionBy("gameweek").parquet(path)
         else:
             df.write.parquet(path)
         _SILVER_PATHS[key] = path
