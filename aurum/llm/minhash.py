@@ -43,8 +43,8 @@ BLOCK = 512
 #: Registers of the long signatures, and how many must agree before texts are compared: at a similarity of 0.8
 #: (a standard deviation of 0.0125) fewer agree once in 300,000 times.
 LONG = 1024
-#: 64-bit words of the filter before the join that picks texts (2 MB).
-FILTER_WORDS = 1 << 18
+#: 64-bit words of the filter before the join that picks texts (256 KB).
+FILTER_WORDS = 1 << 15
 SIFT = int((SIMILARITY - 4.5 * 0.0125) * LONG)
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
