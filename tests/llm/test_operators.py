@@ -92,6 +92,16 @@ def test_line_quality_counts_hosts_exactly(spark):
         assert {(r.doc_id // n, r.removed_words) for r in got.where("removed_words > 0").collect()} == {(1, 7)}
 
 
+def test_line_quality_removes_the_lines(spark):
+    """Frequent lines leave the texts of their host, every copy and spelling of them, and no other's."""
+    rows = [(k, f"Top  menu\n{prose(30, k)}\n\ntop menu\nTop  menu\n own {k}", "h") for k in range(20)]
+    rows += [(100, "Top  menu\nelse", "other"), (101, None, "h"), (102, "top menu", "h")]
+    got = {r.doc_id: r for r in line_quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for k in range(20):
+        assert (got[k].text, got[k].removed_words) == (f"{prose(30, k)}\n\n own {k}", 2)
+    assert [(got[k].text, got[k].removed_words) for k in (100, 101, 102)] == [("Top  menu\nelse", 0), (None, 0), ("", 2)]
+
+
 def test_bpe(docs, empty):
     import tiktoken
 
