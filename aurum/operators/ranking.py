@@ -13,15 +13,13 @@
 4. join the rank back on ``(p, m)`` with null-safe equality (broadcast or skew-split by
    AQE at runtime).
 
-The bounds are one scalar subquery; finding a key's range is two ``filter`` calls over arrays of
-about sqrt(ranges) entries, so neither the plan nor the work per key grows with the number of
-ranges.  A plain ``Window`` would sort a whole partition (or, for a global rank, the whole
+The bounds are one scalar subquery; a key's range is found by a binary search in generated code, one
+projection a halving, so neither the plan nor the work per key grows with the number of ranges.  A plain ``Window`` would sort a whole partition (or, for a global rank, the whole
 table) in a single task.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +28,8 @@ from pyspark.sql import functions as F
 MIN_BUCKETS = 32
 # sampled keys for each range: ranges then differ in size by a factor of about two at most
 SAMPLE_PER_BUCKET = 16
+# steps of the search for a key's range (more only above 65,535 ranges): the plan is the same for any number below
+HALVINGS = 16
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -51,10 +51,19 @@ def range_bounds(keys: DataFrame, key: Column, buckets: int) -> Column:
     return sample.select(F.filter("s", lambda x, i: (i > 0) & (i % step == 0)).alias("b")).scalar()
 
 
-def range_number(key: Column, bounds: Column, coarse: Column, width: int) -> Column:
-    """How many of the ascending ``bounds`` are not above ``key``; ``coarse`` holds every ``width``-th of them."""
-    blocks = F.size(F.filter(coarse, lambda x: x <= key))
-    return blocks * width + F.size(F.filter(F.slice(bounds, blocks * width + 1, F.lit(width)), lambda x: x <= key))
+def range_numbered(df: DataFrame, key: Column, bounds: Column, most: int, out: str) -> DataFrame:
+    """``df`` with ``out``: how many of the ascending ``bounds`` (at most ``most``) are not above ``key``.
+
+    A binary search, one generated projection a halving: higher-order functions are interpreted row by row.
+    """
+    found: Column = F.lit(0)
+    df = df.withColumn("__bounds", bounds)
+    steps = [1 << k for k in reversed(range(max(HALVINGS, most.bit_length())))]
+    for step in steps:
+        # past the end ``get`` is NULL, and the step isn't taken
+        df = df.withColumn(f"__found{step}", found + F.when(F.get("__bounds", found + (step - 1)) <= key, F.lit(step)).otherwise(F.lit(0)))
+        found = F.col(f"__found{step}")
+    return df.withColumn(out, found).drop("__bounds", *[f"__found{step}" for step in steps])
 
 
 def value_bucket(counts: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -63,11 +72,7 @@ def value_bucket(counts: DataFrame, keys: Sequence[str], buckets: int) -> DataFr
     if buckets <= 1:
         return counts.withColumn("__b", F.lit(0))
     key = F.struct(*[F.col(k) for k in keys])
-    width = max(1, math.isqrt(buckets))
-    with_bounds = counts.withColumn("__bounds", range_bounds(counts, key, buckets))
-    with_coarse = with_bounds.withColumn("__coarse", F.filter("__bounds", lambda x, i: (i + 1) % width == 0))
-    return (with_coarse.withColumn("__b", range_number(key, F.col("__bounds"), F.col("__coarse"), width))
-                       .drop("__bounds", "__coarse"))
+    return range_numbered(counts, key, range_bounds(counts, key, buckets), buckets, "__b")
 
 
 def _rank_table(counts: DataFrame, metric: str, by: list[str], descending: bool, out: str, buckets: int) -> DataFrame:
