@@ -250,3 +250,13 @@ def test_stream_goes_on_after_bad_lines(spark, scratch):
     assert sorted((r.player_id, r.total_points) for r in spark.read.parquet(target).collect()) == [(1, 5), (3, 9)]
     reasons = sorted(r.reason for r in WR.read_rejects(spark, f"{ckpt}-rejects").collect())
     assert reasons == sorted([LD.MALFORMED, LD.MALFORMED, LD.MISFIT, "line without a key"])
+
+
+def test_lines_are_parsed_once(spark):
+    """Filters on parsed columns stay above the parsers, and every kind of line keeps its reason."""
+    raws = ['{"id":1,"gameweek":2}', ' {"id":1,"gameweek":2}', '{"id":"x","gameweek":2}', '[{"id":1}]', '{"id":1,"id":2}', '{"id":1', "7", None]
+    df = LD.declared(spark.createDataFrame([(r,) for r in raws], "raw string"), SC.LIVE)
+    assert [r.reject_reason for r in df.collect()] == [None, None, LD.MISFIT, *[LD.MALFORMED] * 5]
+    good = df.where("reject_reason is null and id is not null and gameweek is not null")
+    plan = good.select("id", "gameweek", "minutes")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and good.count() == 2
