@@ -13,8 +13,8 @@
 4. join the rank back on ``(p, m)`` with null-safe equality (broadcast or skew-split by
    AQE at runtime).
 
-The bounds are one scalar subquery; a key's range is found by a binary search in generated code, one
-projection a halving, so neither the plan nor the work per key grows with the number of ranges.  A plain ``Window`` would sort a whole partition (or, for a global rank, the whole
+The bounds are one scalar subquery; a key's range is found by a binary search, one fold over
+its steps, so neither the plan nor the work per key grows with the number of ranges.  A plain ``Window`` would sort a whole partition (or, for a global rank, the whole
 table) in a single task.
 """
 
@@ -54,16 +54,12 @@ def range_bounds(keys: DataFrame, key: Column, buckets: int) -> Column:
 def range_numbered(df: DataFrame, key: Column, bounds: Column, most: int, out: str) -> DataFrame:
     """``df`` with ``out``: how many of the ascending ``bounds`` (at most ``most``) are not above ``key``.
 
-    A binary search, one generated projection a halving: higher-order functions are interpreted row by row.
+    A binary search as one fold over its steps: one expression, however many bounds.
     """
-    found: Column = F.lit(0)
-    df = df.withColumn("__bounds", bounds)
-    steps = [1 << k for k in reversed(range(max(HALVINGS, most.bit_length())))]
-    for step in steps:
-        # past the end ``get`` is NULL, and the step isn't taken
-        df = df.withColumn(f"__found{step}", found + F.when(F.get("__bounds", found + (step - 1)) <= key, F.lit(step)).otherwise(F.lit(0)))
-        found = F.col(f"__found{step}")
-    return df.withColumn(out, found).drop("__bounds", *[f"__found{step}" for step in steps])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(HALVINGS, most.bit_length())))])
+    # past the end ``get`` is NULL, and the step isn't taken
+    found = F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get("__bounds", n + step - 1) <= key, step).otherwise(F.lit(0)))
+    return df.withColumn("__bounds", bounds).withColumn(out, found).drop("__bounds")
 
 
 def value_bucket(counts: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
