@@ -2,6 +2,7 @@
 texts, ties, repeated rows, empty tables, and extra columns with clashing names."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -309,6 +310,23 @@ def test_run_length_index():
             assert got[index.starts[k] + p] == max((match(m, q) for m, q in places if (m, q) != (k, p)), default=0)
 
 
+def test_long_matches_are_measured_by_levels_of_the_sort():
+    g = np.random.default_rng(3)
+    for n in (1, 2, 40, 700):
+        text = np.append(np.repeat(g.integers(1, 4, -(-n // 5)), 5)[:n], 0)  # its end is a character of its own
+        levels = []
+        order = suffix_dedup.suffix_array(text, levels)
+        assert order.tolist() == sorted(range(len(text)), key=lambda k: text[k:].tolist())
+        for step, rank in levels:
+            heads = [text[k:k + step].tolist() for k in range(len(text))]
+            assert rank.tolist() == [sum(x < y for x in heads) for y in heads]
+    long = g.integers(0, 256, 300_000).astype(np.uint8)
+    start = time.process_time()
+    index = suffix_dedup.RunLengthIndex([long, long])
+    assert time.process_time() - start < 3  # byte by byte, 300,000 passes
+    assert index.matching_statistics()[:len(long)].tolist() == list(range(len(long), 0, -1))
+
+
 def brute_removed(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[k:k + length] for d in data for k in range(len(d) - length + 1))
