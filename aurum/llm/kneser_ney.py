@@ -1,13 +1,15 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over character n-grams.
 
-1. Counts: the n-grams of order ``ORDER`` of all trusted texts are counted in each task, then summed
-   by n-gram, in shards.  Lower orders count distinct continuations (the Kneser-Ney counts).
-2. Discounts: three for each order, from the counts of counts.
-3. Probabilities: a join of each order with its contexts and with the order below.
-4. Scores: the documents fall into blocks of bounded size; the distinct n-grams of each block (far
-   fewer than its characters) are joined with the sharded counts, and come back to the block's texts,
-   where their logarithms are added up.  Texts travel once, compressed.
-5. Thresholds: quantiles of the perplexity of the trusted documents of the same language, at both ends: what
+1. Blocks: each task gathers the documents that it reads into blocks of bounded size.  A block's texts go,
+   compressed, into a file of the shared scratch folder; its ids and its distinct n-grams (far fewer than its
+   characters) become a row.  From here on no text is shuffled: what is known of a block goes to a task that reads the file.
+2. Counts: the ids are joined with the trusted ones, the n-grams of order ``ORDER`` of each block's trusted texts are counted,
+   then summed by n-gram, in shards.  Lower orders count distinct continuations (the Kneser-Ney counts).
+3. Discounts: three for each order, from the counts of counts.
+4. Probabilities: a join of each order with its contexts and with the order below.
+5. Scores: the n-grams of the blocks are joined with the sharded probabilities and meet their block's texts, where their
+   logarithms are added up.
+6. Thresholds: quantiles of the perplexity of the trusted documents of the same language, at both ends: what
    reads unlike the trusted text goes, and what repeats itself so that it reads too smoothly.  A
    language with few trusted documents takes the quantiles of all.
 
@@ -22,20 +24,31 @@ doc_id is carried through; an empty table gives an empty result; other columns a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+from pyarrow import feather
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import chunked, texts, written
+from aurum.llm.common import chunked, discard, release, texts, written, written_at
+from aurum.llm.files import opened
+from aurum.session import delete_folder, scratch_path
 
 ORDER = 4
 LOW, HIGH = 0.001, 0.995
 MIN_TRUSTED = 50
-BLOCK_BYTES = 6 << 20
+#: Bytes of text, and documents, of a block at most (a longer text is a block of its own).
+BLOCK_BYTES = 12 << 20
+BLOCK_DOCS = 1 << 16
+#: Bytes of text whose n-grams are held at once, at some 30 bytes each.
+SLICE_BYTES = 1 << 20
+#: How hard texts are compressed.
+PACK_LEVEL = 6
+#: Tasks that blocks are dealt over at most; small results don't put many blocks into one task.
+MOST_TASKS = 4096
 
 
 def symbols(text: str) -> np.ndarray:
@@ -55,11 +68,17 @@ def grams(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunked(batches, "text"):
-        own = [grams(symbols(x)) for x in texts(batch["text"])]
-        gram, n = np.unique(np.concatenate(own), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+def counted(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of the texts and how often each occurs."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(grams(symbols(x)) for x in rows)]), return_counts=True)
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``counted`` of all texts from those of some each."""
+    gram, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(gram, kind="stable")
+    gram, first = np.unique(gram[order], return_index=True)
+    return gram, np.add.reduceat(n[order], first) if len(first) else n
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -124,69 +143,131 @@ class Model:
         return out.withColumnRenamed("p1", "p")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+class Blocks:
+    """The documents in blocks: a table (block, doc_ids, grams), and a file of doc_id, lang and text for each block.
+
+    A block's number is random, so that an attempt that failed leaves a file that no row names.
+    """
+
+    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES):
+        self.spark = docs.sparkSession
+        self.path = scratch_path(self.spark, "kn-texts")
+        docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string").alias("text"))
+        self.rows, self.rows_path = written_at(docs.mapInArrow(_blocked(self.path, block_bytes), "block long, doc_ids array<long>, grams array<long>"), "kn-blocks")
+        self.tasks = min(max(1, self.rows.count()), MOST_TASKS)
+
+    def dealt(self, df: DataFrame, block: str = "block") -> DataFrame:
+        """``df`` over as many tasks as there are blocks, by its column ``block``, however few rows it has."""
+        return df.repartition(self.tasks, block)
+
+    def discard(self) -> None:
+        delete_folder(self.spark, self.path)
+        discard(self.spark, self.rows_path)
+
+
+def _blocked(path: str, block_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = opened(path)
+        store.create_dir(base, recursive=True)
+
+        def block(held: list[pa.RecordBatch], own: list[np.ndarray]) -> pa.RecordBatch:
+            table, number = pa.Table.from_batches(held).combine_chunks(), uuid.uuid4().int >> 65
+            with store.open_output_stream(f"{base}/{number}", compression=None) as f:
+                feather.write_feather(table, f, compression="zstd", compression_level=PACK_LEVEL, chunksize=BLOCK_DOCS)
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([table["doc_id"].to_pylist()], pa.list_(pa.int64())),
+                                               pa.array([np.unique(np.concatenate(own)).view(np.int64)], pa.list_(pa.int64()))], names=["block", "doc_ids", "grams"])
+
+        held, own, n_bytes, n_docs = [], [], 0, 0
+        for batch in chunked(batches, "text", min(SLICE_BYTES, block_bytes)):
+            for some in (batch.slice(k, BLOCK_DOCS) for k in range(0, batch.num_rows, BLOCK_DOCS)):
+                rows = texts(some["text"])
+                size = some["text"].nbytes
+                if held and (n_bytes + size > block_bytes or n_docs + len(rows) > BLOCK_DOCS):
+                    yield block(held, own)
+                    held, own, n_bytes, n_docs = [], [], 0, 0
+                held.append(some)
+                own.append(counted(rows)[0])
+                n_bytes, n_docs = n_bytes + size, n_docs + len(rows)
+        if held:
+            yield block(held, own)
+            release()
+
+    return run
+
+
+def _texts_of(path: str, block: int, columns: list[str]) -> pa.Table:
+    store, base = opened(path)
+    with store.open_input_file(f"{base}/{block}") as f:
+        return feather.read_table(f, columns=columns, memory_map=False)
+
+
+def _trusted_counts(path: str):
+    """(block, places) to the n-grams of the texts at these places, with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, places in zip(batch["block"].to_pylist(), batch["places"].to_pylist(), strict=True):
+                some = _texts_of(path, block, ["text"]).take(pa.array(places, pa.int64())).combine_chunks().to_batches()
+                parts = [counted(texts(x["text"])) for x in chunked(some, "text", SLICE_BYTES)]
+                if parts:
+                    gram, n = summed(parts)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+    return run
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The documents that are labelled as good."""
+    return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.round(F.avg("quality")).alias("q")).where("q = 1").select("doc_id")
+
+
+def train(blocks: Blocks, labels: DataFrame) -> Model:
     """The model of all texts that are labelled as good."""
-    trusted = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.round(F.avg("quality")).alias("q")).where("q = 1").select("doc_id")
-    counts = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(trusted, "doc_id", "left_semi").select("text")
-              .mapInArrow(_counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    places = blocks.rows.select("block", F.posexplode("doc_ids").alias("place", "doc_id")).join(trusted_ids(labels), "doc_id", "left_semi")
+    places = blocks.dealt(places).groupBy("block").agg(F.collect_list("place").alias("places"))
+    counts = places.mapInArrow(_trusted_counts(blocks.path), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return Model(written(counts, "kn-counts"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed; of equal texts for one block, those at hand go once."""
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in chunked(batches, "text"):
-        keys = dict.fromkeys(zip(batch["block"].to_pylist(), batch["row"].to_pylist(), texts(batch["text"]), strict=True))
-        block, row, text = zip(*keys, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(row, pa.int64()), pa.array([pack(x.encode()) for x in text], pa.binary())],
-                                         names=["block", "row", "packed"])
-
-
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each block, as far as this task's texts go."""
-    for batch in chunked(batches, "text", 16 << 20):
-        by_block: dict[int, list] = {}
-        for block, x in dict.fromkeys(zip(batch["block"].to_pylist(), texts(batch["text"]), strict=True)):
-            by_block.setdefault(block, []).append(grams(symbols(x)))
-        for block, own in by_block.items():
-            gram = np.unique(np.concatenate(own))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), block)), pa.array(gram.view(np.int64))], names=["block", "gram"])
-
-
-def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A block's texts and the logarithms of its n-grams to the perplexity of each text."""
-    gram, log_p = right["gram"].to_numpy().view(np.uint64), right["log_p"].to_numpy()
-    order = np.argsort(gram)
-    gram, log_p = gram[order], log_p[order]
-    unpack = zstandard.ZstdDecompressor().decompress
-    out = []
-    for data in left["packed"].to_pylist():
-        own = grams(symbols(unpack(data).decode()))
-        out.append(float(np.exp(-log_p[np.searchsorted(gram, own)].mean())) if len(own) and len(gram) else None)
-    return pa.table({"row": left["row"], "perplexity": pa.array(out, pa.float64())})
-
-
-def perplexities(docs: DataFrame, model: Model) -> DataFrame:
+def _scored(path: str):
+    """A block and the logarithms of its n-grams to the perplexity of each of its texts."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        gram, log_p = right["gram"].to_numpy().view(np.uint64), right["log_p"].to_numpy()
+        order = np.argsort(gram)
+        gram, log_p = gram[order], log_p[order]
+        known: dict[str, float | None] = {}  # copies are scored once
+        out = []
+        for block in left["own"].to_pylist():
+            table = _texts_of(path, block, ["doc_id", "lang", "text"])
+            values = []
+            for piece in table.to_batches():
+                for batch in chunked([piece], "text", SLICE_BYTES):
+                    for x in texts(batch["text"]):
+                        if x not in known:
+                            own = grams(symbols(x))
+                            known[x] = float(np.exp(-log_p[np.searchsorted(gram, own)].mean())) if len(own) and len(gram) else None
+                        values.append(known[x])
+            out.append(pa.table({"doc_id": table["doc_id"], "lang": table["lang"], "perplexity": pa.array(values, pa.float64())}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def perplexities(blocks: Blocks, model: Model) -> DataFrame:
     """doc_id, lang and perplexity of every document."""
-    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-                        F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
-    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // BLOCK_BYTES))
-    # copies of a text spread over the blocks
-    blocked = keyed.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "row", "text")
-    wanted = written(blocked.select("block", "text").mapInArrow(_wanted, "block long, gram long").distinct(), "kn-wanted")
+    wanted = blocks.rows.select("block", F.explode("grams").alias("gram"))
     known = wanted.join(model.probabilities(wanted), "gram").select("block", "gram", F.log("p").alias("log_p"))
-    packed = blocked.mapInArrow(_packed, "block long, row long, packed binary")
-    scored = (packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_scored, "row long, perplexity double")
-              .groupBy("row").agg(F.first("perplexity").alias("perplexity")))
-    return keyed.select("doc_id", "lang", "row").join(written(scored, "kn-scored"), "row", "left").drop("row")
+    left, right = blocks.dealt(blocks.rows.select(F.col("block").alias("own")), "own"), blocks.dealt(known)
+    return left.groupBy("own").cogroup(right.groupBy("block")).applyInArrow(_scored(blocks.path), "doc_id long, lang string, perplexity double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, low: float = LOW, high: float = HIGH, min_trusted: int = MIN_TRUSTED) -> DataFrame:
     """doc_id, perplexity, the language's bounds and ``kept``."""
-    scored = written(perplexities(docs, train(docs, labels)), "kn-perplexities")
-    trusted = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.round(F.avg("quality")).alias("q")).where("q = 1").select("doc_id")
-    good = scored.where("perplexity is not null").join(trusted, "doc_id", "left_semi")
+    blocks = Blocks(docs)
+    scored = written(perplexities(blocks, train(blocks, labels)), "kn-perplexities")
+    blocks.discard()
+    good = scored.where("perplexity is not null").join(trusted_ids(labels), "doc_id", "left_semi")
     bounds = lambda df: df.agg(F.percentile_approx("perplexity", F.array(F.lit(low), F.lit(high)), 10_000).alias("b"), F.count("*").alias("n"))
     by_lang = bounds(good.groupBy("lang")).where(F.col("n") >= min_trusted).select("lang", F.col("b")[0].alias("own_low"), F.col("b")[1].alias("own_high"))
     overall = bounds(good).select(F.col("b")[0].alias("any_low"), F.col("b")[1].alias("any_high")).first()

@@ -2,6 +2,7 @@
 texts, ties, repeated rows, empty tables, and extra columns with clashing names."""
 
 import hashlib
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -156,6 +157,26 @@ def test_kneser_ney_probabilities_sum_to_one(spark, docs, empty, labels):
     assert kneser_ney.quality(docs, labels.where("false")).where("kept").count() == 0
 
 
+def test_kneser_ney_moves_no_texts(spark, docs, labels):
+    trained, scores = kneser_ney.Blocks(docs), []
+    model = kneser_ney.train(trained, labels)
+    for size in (2000, kneser_ney.BLOCK_BYTES):  # many blocks, or one for each task
+        blocks = kneser_ney.Blocks(docs, size)
+        own = {r.block: (r.doc_ids, r.grams) for r in blocks.rows.collect()}
+        assert blocks.rows.count() == len(own) and (len(own) > 6 if size == 2000 else len(own) <= 3)
+        for block, (ids, grams) in own.items():
+            table = kneser_ney._texts_of(blocks.path, block, ["doc_id", "text"])
+            assert table["doc_id"].to_pylist() == ids
+            wanted = set().union(*(kneser_ney.grams(kneser_ney.symbols(x or "")).view(np.int64).tolist() for x in table["text"].to_pylist()))
+            assert len(grams) == len(wanted) and set(grams) == wanted  # once each, however many slices the block had
+        assert sorted((i is None, i or 0) for ids, _ in own.values() for i in ids) == sorted((i is None, i or 0) for i, _ in ROWS)
+        scored = kneser_ney.perplexities(blocks, model)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and not re.search(r"\b(text|packed)#", plan)
+        scores.append(sorted(((r.doc_id is None, r.doc_id or 0, r.perplexity or 0) for r in scored.collect())))
+    assert scores[0] == scores[1] and len(scores[0]) == len(ROWS)
+
+
 def test_mixing_meets_the_targets(spark, docs, empty):
     rows = [(k, "w " * (1 + k % 7), ("en", "de")[k % 3 == 0], ("a", "b")[k % 4 == 0]) for k in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
