@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from aurum.plans import gold as G
 from aurum.plans import silver as S
@@ -83,6 +84,28 @@ def test_captaincy_double_and_blank(silver):
     assert r.fixture_difficulty == 2 and r.captaincy_score == round(6.0 * 2 + 6.0 * 1.5 + 0.7 * 3 + 400 * 0.05 + 6, 2)
 
 
+def test_captaincy_of_one_large_team_is_many_tasks(spark):
+    """A team's result is the product of its players and fixtures, so one task mustn't make it."""
+    players = [(k if k != 7 else None, f"F{k}", f"D{k}", 1, "T1", "MID", 5.0, k / 7, k / 3, k, 1.5, G.AVAILABLE, 270 if k % 2 else 269,
+                k, 1, 0.1, 1.0, k / 9 if k % 5 else None, 2, 0.3) for k in [*range(90), 11]]  # a null and a repeated player
+    overview = spark.createDataFrame(players, "player_id long, full_name string, display_name string, team_id long, team_name string, position string,"
+                                     "current_price double, form double, points_per_game double, total_points long, ownership_pct double, availability_label string,"
+                                     "minutes long, goals_scored long, assists long, xgi double, ict_index double, threat double, bonus long, bonus_per_start double").coalesce(1)
+    fixtures = [(3, 1, f"H{k % 4}", None if k % 6 == 0 else k % 5 + 1, 1 if k % 50 == 0 else None, f"A{k % 3}", 2, None if k % 9 == 0 else False) for k in range(2 * G.LIST_ROWS * 6)]
+    fixtures += [(4, 1, "H", 1, 2, "A", 1, False), (2, 1, "H", 1, 2, "A", 1, True), (None, 1, "H", 1, 2, "A", 1, False)]
+    table = spark.createDataFrame(fixtures, "gameweek long, home_team_id long, home_team string, home_difficulty long, away_team_id long, away_team string, away_difficulty long, is_finished boolean").coalesce(1)
+    sides = G.next_period_fixtures(table)
+    assert sides.count() > 6 * G.LIST_ROWS
+    chosen = overview.where("minutes >= 270")
+    plain = (chosen.join(sides.withColumnRenamed("team_id", "t"), F.col("team_id") == F.col("t"))
+             .select("player_id", "opponent", "venue", "difficulty", "gameweek",
+                     F.round(F.col("form") * 2.0 + F.col("points_per_game") * 1.5 + F.col("bonus_per_start") * 3.0 + F.col("threat") * 0.05 + (F.lit(5) - F.col("difficulty")).cast("double") * 2.0, 2).alias("score")))
+    got = G.captaincy_picks(overview, table)
+    some = got.select("player_id", "next_opponent", "next_venue", "fixture_difficulty", "next_gameweek", "captaincy_score")
+    assert some.exceptAll(plain).isEmpty() and plain.exceptAll(some).isEmpty() and got.count() == plain.count() > 100_000
+    assert got.groupBy(F.spark_partition_id()).count().count() > 3
+
+
 def test_team_overview_totals(silver):
     to = by_id(G.team_overview(silver["teams"], silver["fixtures"]), "team_id")
     assert (to[1].total_goals_scored, to[1].total_goals_conceded, to[1].total_clean_sheets) == (5, 0, 2)
