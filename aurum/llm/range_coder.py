@@ -26,10 +26,12 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-#: Blocks that are coded side by side, at some 80 KB each.
-LANES = 1024
+#: Blocks that are coded side by side, at some 50 KB each. A call of an array operation costs as much as some thousand lanes.
+LANES = 3072
 #: Steps between two sums of the order-0 frequencies; ids new since then have one unit each.
 REFRESH = 64
+#: Lanes whose tables are summed, and blocks that are numbered, at a time.
+SOME = 128
 UNITS = 1 << 14          # order-0 frequencies add up to this
 NUMBERS = BLOCK + REFRESH
 
@@ -47,76 +49,101 @@ _SHARES[..., 3] = 1 - _SHARES[..., :3].sum(-1)
 _SHARES = np.round(_SHARES * 65536).astype(np.int64).reshape(16, 4)
 
 
+#: How often a prediction has held from now on, by how often it had (0 to 3) and, in the upper half, when it holds again;
+#: it has to fail more often the more often it has held.
+_HELD_NEXT = np.array([1, 1, 1, 2, 1, 2, 3, 3], np.int32)
+
+
 class Lanes:
-    """The models of some blocks.  Ids are below 2**16."""
+    """The models of some blocks.  Ids are below 2**16.
+
+    The single predictions stand in rows of one array (order 2, order 1, order 1's other one), as their number plus one, 0 for
+    none, so that one array operation serves all of them.  What fits is kept and computed in 32 bits.
+    """
 
     def __init__(self, n: int):
         self.n, self.lane = n, np.arange(n)
         self.row, self.count_row, self.byte_row = self.lane * BLOCK, self.lane * NUMBERS, self.lane * 257
-        self.counts = np.zeros(n * NUMBERS, np.int32)
-        self.next2 = np.full(n * BLOCK, -1, np.int32)   # order 2, by a hash of the last two numbers
-        self.held2 = np.zeros(n * BLOCK, np.int8)
-        self.next1 = np.full(n * BLOCK, -1, np.int32)   # order 1, by the last number
-        self.other1 = np.full(n * BLOCK, -1, np.int32)
-        self.held1 = np.zeros(n * BLOCK, np.int8)
-        self.weights = [np.tile(_SHARES[:, k], n) for k in range(4)]  # by lane and how both have held
-        self.fresh = np.full(n, 1 << 15, np.int64)  # chance of a new id, out of 2**16
-        self.known = np.zeros(n, np.int64)
-        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.high_counts, self.low_counts = np.ones(n * 256, np.int32), np.ones(n * 256, np.int32)
+        self.counts = np.zeros(n * NUMBERS, np.int16)
+        self.after2 = np.zeros(n * BLOCK, np.int32)  # prediction << 2 | held, by a hash of the last two numbers
+        self.after1 = np.zeros(n * BLOCK, np.int32)  # prediction << 14 | other one << 2 | held, by the last number
+        self.weights = np.tile(_SHARES.T.astype(np.int32), n).ravel()  # by model, lane, and how both have held
+        self.weight_row = np.arange(4)[:, None] * (n << 4) + (self.lane << 4)
+        self.fresh = np.full(n, 1 << 15, np.int32)  # chance of a new id, out of 2**16
+        self.known = np.zeros(n, np.int32)
+        self.last, self.before = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        self.high_counts, self.low_counts = np.ones(n * 256, np.uint16), np.ones(n * 256, np.uint16)
+        self.predicted, self.run = np.zeros((3, n), np.int32), np.zeros((2, n), np.int32)
         self.step = 0
 
     def _refresh(self) -> None:
-        known = self.known.astype(np.int32)[:, None]
-        width = int(known.max()) + REFRESH + 1  # numbers beyond can't come up before the next time
-        sums = np.zeros((self.n, width), np.int32)
-        np.cumsum(self.counts.reshape(self.n, NUMBERS)[:, :width - 1], axis=1, out=sums[:, 1:])
-        place = np.arange(width, dtype=np.int32)
-        # each known number and each of the next REFRESH ones keeps one unit at least; the product is below 2**25
-        sums *= UNITS - REFRESH - known
-        sums //= np.maximum(np.int32(self.step), 1)
-        sums += np.minimum(place, known + REFRESH)
-        self.sums, self.sum_row, self.highest = sums.ravel(), self.lane * width, width - 2
+        width = int(self.known.max()) + REFRESH + 1  # numbers beyond can't come up before the next time
+        self.sums, self.sum_row, self.highest = np.empty((self.n, width), np.int16), self.lane * width, width - 2
+        place, counts = np.arange(width, dtype=np.int32), self.counts.reshape(self.n, NUMBERS)
+        for k in range(0, self.n, SOME):
+            known = self.known[k:k + SOME, None]
+            sums = np.zeros((len(known), width), np.int32)
+            np.cumsum(counts[k:k + SOME, :width - 1], axis=1, out=sums[:, 1:])
+            # each known number and each of the next REFRESH ones keeps one unit at least; the product is below 2**25
+            sums *= UNITS - REFRESH - known
+            sums //= np.int32(max(self.step, 1))
+            sums += np.minimum(place, known + REFRESH)
+            self.sums[k:k + SOME] = sums
+        self.sums = self.sums.ravel()
         self.high_sums, self.low_sums = self._byte_sums(self.high_counts), self._byte_sums(self.low_counts)
 
     def _byte_sums(self, counts: np.ndarray) -> np.ndarray:
         """Cumulative frequencies out of 4096; each value keeps one at least."""
-        sums = np.zeros((self.n, 257), np.int32)
-        np.cumsum(counts.reshape(self.n, 256), axis=1, out=sums[:, 1:])
-        # at most 256 + 24 * BLOCK in all, so that the product fits
-        sums = sums * np.int32(3840) // sums[:, -1:]
-        return (sums + np.arange(257, dtype=np.int32)).ravel()
+        out, counts = np.empty((self.n, 257), np.int32), counts.reshape(self.n, 256)
+        for k in range(0, self.n, SOME):
+            sums = out[k:k + SOME]
+            sums[:, 0] = 0
+            np.cumsum(counts[k:k + SOME], axis=1, out=sums[:, 1:])
+            # at most 256 + 24 * BLOCK in all, so that the product fits
+            total = sums[:, -1:].copy()
+            sums *= np.int32(3840)
+            sums //= total
+            sums += np.arange(257, dtype=np.int32)
+        return out.ravel()
 
     def predict(self) -> None:
         """This step's single predictions and the weights of all models, out of 4096."""
         if self.step % REFRESH == 0:
             self._refresh()
         self.at1 = self.row + self.last
-        self.at2 = self.row + ((self.last * 40503 + self.before * 10007 >> 2) & BLOCK - 1)
-        self.two, self.one, self.other = self.next2[self.at2], self.next1[self.at1], self.other1[self.at1]
-        self.run2, self.run1 = self.held2[self.at2], self.held1[self.at1]
-        self.state = (self.lane << 4) + (self.run2 << 2) + self.run1
+        self.at2 = self.row + (self.last * 40503 + self.before * 10007 >> 2 & BLOCK - 1)
+        two, one = self.after2.take(self.at2), self.after1.take(self.at1)
+        predicted, run = self.predicted, self.run
+        np.right_shift(two, 2, out=predicted[0])
+        np.right_shift(one, 14, out=predicted[1])
+        np.bitwise_and(one >> 2, 4095, out=predicted[2])
+        np.bitwise_and(two, 3, out=run[0])
+        np.bitwise_and(one, 3, out=run[1])
+        self.weight_at = self.weight_row + ((run[0] << 2) + run[1])
+        self.weight = self.weights.take(self.weight_at)
         self.new = 16 + (self.fresh * 4000 >> 16)
         rest = 4096 - self.new
-        self.share2, self.share1, self.share_other = (1 + (w[self.state] * (rest - 4) >> 16) for w in self.weights[:3])
-        self.share0 = rest - self.share2 - self.share1 - self.share_other
+        self.shares = (self.weight[:3] * (rest - 4) >> 16) + 1
+        self.share0 = rest - self._sum(self.shares)
 
-    def _starts(self, numbers: np.ndarray) -> np.ndarray:
-        """Where the numbers' intervals begin."""
-        below = self.share2 * (self.two < numbers) + self.share1 * (self.one < numbers) + self.share_other * (self.other < numbers)
-        return (below << 24) + (self.share0 * self.sums[self.sum_row + numbers] << 10)
+    @staticmethod
+    def _sum(rows: np.ndarray) -> np.ndarray:
+        return rows[0] + rows[1] + rows[2]
 
-    def _hits(self, numbers: np.ndarray) -> None:
-        """Which single predictions the numbers are, and their order-0 frequencies."""
-        self.hit2, self.hit1, self.hit_other = self.two == numbers, self.one == numbers, self.other == numbers
-        at = self.sum_row + numbers
-        self.own = (self.sums[at + 1] - self.sums[at]).astype(np.int64)
+    def _below(self, numbers: np.ndarray) -> np.ndarray:
+        """The shares of the single predictions below the numbers."""
+        return self._sum(self.shares * (self.predicted <= numbers))
 
     def intervals(self, numbers: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and size of the ids' intervals out of 2**36, and the lanes whose id is new (has the next number)."""
-        start = self._starts(numbers)
-        self._hits(numbers)
-        size = (self.share2 * self.hit2 + self.share1 * self.hit1 + self.share_other * self.hit_other << 24) + (self.share0 * self.own << 10)
+        at = self.sum_row + numbers
+        sums = self.sums.take(at)
+        # which single predictions the numbers are, and their order-0 frequencies
+        self.hit = self.predicted == numbers + 1
+        self.own = self.share0 * (self.sums.take(at + 1) - sums)
+        self.hit_share = self.shares * self.hit
+        start = ((self._below(numbers).astype(np.int64) << 14) + self.share0 * sums) << 10
+        size = ((self._sum(self.hit_share).astype(np.int64) << 14) + self.own) << 10
         new = np.flatnonzero(numbers == self.known)
         if len(new):
             some, row = ids[new], self.byte_row[new]
@@ -125,7 +152,7 @@ class Lanes:
         return start, size, new
 
     def _in_full(self, start, size, new, high, high_next, low, low_next) -> None:
-        share, wide = self.new[new], (high_next - high).astype(np.int64)
+        share, wide = self.new[new].astype(np.int64), (high_next - high).astype(np.int64)
         start[new] = (4096 - share << 24) + share * ((high.astype(np.int64) << 12) + wide * low)
         size[new] = share * wide * (low_next - low)
 
@@ -134,23 +161,39 @@ class Lanes:
         """The last entry of each row that isn't above the value."""
         at, step = row, 128
         while step:
-            at = np.where(sums[at + step] <= value, at + step, at)
+            at = at + step * (sums.take(at + step) <= value)
             step >>= 1
         return at
 
-    def decode(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The numbers whose intervals hold the values; start, size, lanes with a new id, and those ids."""
-        numbers, step = np.zeros(self.n, np.int64), 1 << max(self.highest.bit_length() - 1, 0)
+    def _number(self, value: np.ndarray) -> np.ndarray:
+        """The last numbers whose intervals don't begin above the values.
+
+        A prediction is below the number if its own interval ends at or below the value. Without the shares of those, the
+        order-0 intervals alone lead to the number, which is not above any other prediction.
+        """
+        predicted, shares, units = self.predicted, self.shares, value >> 10
+        below = np.stack([self._below(p) for p in predicted])
+        # a prediction is its number plus one, where the number's interval ends
+        ended = (below.astype(np.int64) << 14) + self.share0 * self.sums.take(self.sum_row + predicted) <= units
+        most = np.minimum.reduce(predicted + ended * np.int32(NUMBERS)) - 1
+        rest = units - (self._sum(shares * ended).astype(np.int64) << 14)
+        rest = self._quotient(rest, self.share0)
+        at, last, step = self.sum_row, self.sum_row + self.highest, 1 << max(self.highest.bit_length() - 1, 0)
         while step:
-            higher = np.minimum(numbers + step, self.highest)
-            numbers = np.where(self._starts(higher) <= value, higher, numbers)
+            higher = np.minimum(at + step, last)
+            at = at + (higher - at) * (self.sums.take(higher) <= rest)
             step >>= 1
-        new = np.flatnonzero(value >= (4096 - self.new << 24))
+        return np.maximum(np.minimum((at - self.sum_row).astype(np.int32), most), 0)
+
+    def decode(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers whose intervals hold the values; start, size, lanes with a new id, and those ids."""
+        numbers = self._number(value)
+        new = np.flatnonzero(value >> 24 >= 4096 - self.new)
         numbers[new] = self.known[new]
-        ids = np.zeros(self.n, np.int64)
+        ids = np.zeros(self.n, np.int32)
         if len(new):
             share, row = self.new[new], self.byte_row[new]
-            rest = (value[new] - (4096 - share << 24)) // share
+            rest = (value[new] - (4096 - share.astype(np.int64) << 24)) // share
             at = self._found(self.high_sums, row, (rest >> 12).astype(np.int32))
             high, high_next = self.high_sums[at], self.high_sums[at + 1]
             inner = ((rest - (high.astype(np.int64) << 12)) // (high_next - high)).astype(np.int32)
@@ -159,29 +202,36 @@ class Lanes:
         start, size, _ = self.intervals(numbers, ids)
         return numbers, start, size, new, ids[new]
 
+    @staticmethod
+    def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """a // b in doubles, which divide faster: exact for 0 <= a < 2**45 and 0 < b < 2**27, as a quotient below a whole number
+        is below it by 1/b or more, and is rounded by less."""
+        return (a / b).astype(np.int32)
+
     def update(self, numbers: np.ndarray, new: np.ndarray, new_ids: np.ndarray) -> None:
         """Learn the coded numbers; ``new`` are the lanes whose number is a new one, with ``new_ids``."""
-        seen = np.ones(self.n, bool)
-        seen[new] = False
-        parts = (self.share2 * self.hit2 << 14, self.share1 * self.hit1 << 14, self.share_other * self.hit_other << 14, self.share0 * self.own)
-        total = parts[0] + parts[1] + parts[2] + parts[3]
-        for weights, part in zip(self.weights, parts):
-            old = weights[self.state]
-            weights[self.state] = old + (((part << 16) // total - old >> 4) * seen)
-        self.fresh += (~seen * 65535 - self.fresh) >> 5
+        parts = np.empty((4, self.n))
+        np.multiply(self.hit_share, 1 << 30, out=parts[:3], dtype=float)
+        np.multiply(self.own, 1 << 16, out=parts[3], dtype=float)
+        change = self._quotient(parts, (self._sum(parts) + parts[3]) / 65536) - self.weight >> 4
+        change[:, new] = 0
+        self.weights[self.weight_at] = self.weight + change
+        given = np.zeros(self.n, np.int32)
+        given[new] = 65535
+        self.fresh += given - self.fresh >> 5
         self.counts[self.count_row + numbers] += 1
         self.known[new] += 1
         self.high_counts[(new << 8) + (new_ids >> 8)] += 24
         self.low_counts[(new << 8) + (new_ids & 255)] += 24
-        # order 2: one prediction, which has to fail more often the more often it has held
-        keep = ~self.hit2 & (self.run2 > 1)
-        self.next2[self.at2] = np.where(keep, self.two, numbers)
-        self.held2[self.at2] = np.where(self.hit2, np.minimum(self.run2 + 1, 3), np.where(keep, self.run2 - 1, 1))
-        # order 1: a first and a second one; the second takes the first's place when that fails
-        keep = ~self.hit1 & (self.run1 > 1)
-        self.next1[self.at1] = np.where(keep, self.one, numbers)
-        self.other1[self.at1] = np.where(self.hit1, self.other, np.where(keep, numbers, self.one))
-        self.held1[self.at1] = np.where(self.hit1, np.minimum(self.run1 + 1, 3), np.where(keep, self.run1 - 1, 1))
+        # orders 2 and 1: one prediction each, which stays after a failure if it has held often
+        hit, number = self.hit[:2], numbers + 1
+        keep = (self.run > 1) & ~hit
+        two, one = number + (self.predicted[:2] - number) * keep
+        held2, held1 = _HELD_NEXT.take(self.run + (hit << 2))
+        # order 1's other prediction: the first one's when that has failed and goes
+        other = np.where(hit[1], self.predicted[2], np.where(keep[1], number, self.predicted[1]))
+        self.after2[self.at2] = (two << 2) + held2
+        self.after1[self.at1] = (one << 14) + (other << 2) + held1
         self.before, self.last = self.last, numbers
         self.step += 1
 
@@ -216,44 +266,57 @@ def encode(ids: np.ndarray) -> list[bytes]:
     return out
 
 
+def _narrowed(low: np.ndarray, width: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    unit = width >> _SHIFT
+    return low + unit * start.view(U), unit * size.view(U)
+
+
+def _full(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which coders have 16 bits that can leave them, and their low ends and widths (cut where a carry could come)."""
+    same = (low ^ low + width) < _TOP
+    emit = np.flatnonzero(same | (width < _FLOOR))
+    low, width, same = low[emit], width[emit], same[emit]
+    cut = np.flatnonzero(~same)
+    width[cut] = (U(0) - low[cut]) & _LOW_MASK
+    return emit, low, width
+
+
 def _encode(ids: np.ndarray) -> list[bytes]:
     n = -(-len(ids) // BLOCK)
-    padded = np.zeros(n * BLOCK, np.int32)
-    padded[:len(ids)] = ids
-    numbers = np.ascontiguousarray(numbered(padded.reshape(n, BLOCK)).T)
-    table = np.ascontiguousarray(padded.reshape(n, BLOCK).T).astype(np.int64)
+    padded = np.zeros((n, BLOCK), np.uint16)
+    padded.ravel()[:len(ids)] = ids
+    numbers, table = np.empty((BLOCK, n), np.int16), np.ascontiguousarray(padded.T)
+    for k in range(0, n, SOME):
+        numbers[:, k:k + SOME] = numbered(padded[k:k + SOME]).T
+    del padded
     steps = min(BLOCK, len(ids))
     model = Lanes(n)
     low, width = np.zeros(n, U), np.full(n, 0xFFFFFFFFFFFFFFFF, U)
     words = np.zeros((steps * 3 + 4, n), np.uint16)  # lanes side by side: they write at about the same place
-    count = np.zeros(n, np.int64)
+    count, lane = np.zeros(n, np.int64), np.arange(n)
     with np.errstate(over="ignore"):
         for t in range(steps):
             model.predict()
-            start, size, new = model.intervals(numbers[t], table[t])
-            unit = width >> _SHIFT
-            low += unit * start.view(U)
-            width = unit * size.view(U)
-            going = np.arange(n)
-            while len(going):
-                l, w = low[going], width[going]
-                same = (l ^ (l + w)) < _TOP
-                emit = same | (w < _FLOOR)
-                if not emit.any():
-                    break
-                going, l, w, same = going[emit], l[emit], w[emit], same[emit]
-                w = np.where(same, w, (U(0) - l) & _LOW_MASK)
-                words[count[going], going] = (l >> U(48)).astype(np.uint16)
-                count[going] += 1
-                low[going], width[going] = l << U(16), w << U(16)
-            model.update(numbers[t], new, table[t, new])
+            now = numbers[t].astype(np.int32)
+            start, size, new = model.intervals(now, table[t].astype(np.int32))
+            low, width = _narrowed(low, width, start, size)
+            going, (emit, l, w) = lane, _full(low, width)
+            while len(emit):
+                going = going[emit]
+                at = count[going]
+                words[at, going] = l >> U(48)
+                count[going] = at + 1
+                l, w = l << U(16), w << U(16)
+                low[going], width[going] = l, w
+                emit, l, w = _full(l, w)
+            model.update(now, new, table[t, new].astype(np.int64))
         for _ in range(4):
-            words[count, np.arange(n)] = (low >> U(48)).astype(np.uint16)
+            words[count, lane] = (low >> U(48)).astype(np.uint16)
             count += 1
             low <<= U(16)
     # what pads the last block is coded too; its reader stops at the number of ids
-    words = np.ascontiguousarray(words[:count.max()].T)
-    return [words[k, :c].astype("<u2").tobytes() for k, c in enumerate(count.tolist())]
+    words = words[:count.max()]
+    return [words[:c, k].astype("<u2").tobytes() for k, c in enumerate(count.tolist())]
 
 
 def decode(blocks: list[bytes], n_ids: int) -> np.ndarray:
@@ -276,33 +339,29 @@ def _decode(blocks: list[bytes], n_ids: int) -> np.ndarray:
     code = np.zeros(n, U)
     for k in range(4):
         code = code << U(16) | words[k]
-    count = np.full(n, 4)
-    model, table = Lanes(n), np.zeros((BLOCK, n), np.int32)
-    lane, names = np.arange(n), np.zeros((n, NUMBERS), np.int32)  # the id of each number
+    count, lane = np.full(n, 4), np.arange(n)
+    model, table = Lanes(n), np.zeros((BLOCK, n), np.uint16)
+    row, names = lane * NUMBERS, np.zeros(n * NUMBERS, np.uint16)  # the id of each number
     with np.errstate(over="ignore"):
         for t in range(steps):
             model.predict()
-            unit = width >> _SHIFT
-            value = np.minimum((code - low) // unit, U((1 << 36) - 1)).view(np.int64)
+            value = np.minimum((code - low) // (width >> _SHIFT), U((1 << 36) - 1)).view(np.int64)
             numbers, start, size, new, new_ids = model.decode(value)
-            low += unit * start.view(U)
-            width = unit * size.view(U)
-            going = np.arange(n)
-            while len(going):
-                l, w = low[going], width[going]
-                same = (l ^ (l + w)) < _TOP
-                emit = same | (w < _FLOOR)
-                if not emit.any():
-                    break
-                going, l, w, same = going[emit], l[emit], w[emit], same[emit]
-                w = np.where(same, w, (U(0) - l) & _LOW_MASK)
-                code[going] = code[going] << U(16) | words[count[going], going]
-                count[going] += 1
-                low[going], width[going] = l << U(16), w << U(16)
-            names[lane[new], numbers[new]] = new_ids
-            table[t] = names[lane, numbers]
+            low, width = _narrowed(low, width, start, size)
+            going, (emit, l, w) = lane, _full(low, width)
+            while len(emit):
+                going = going[emit]
+                at = count[going]
+                code[going] = code[going] << U(16) | words[at, going]
+                count[going] = at + 1
+                l, w = l << U(16), w << U(16)
+                low[going], width[going] = l, w
+                emit, l, w = _full(l, w)
+            at = row + numbers
+            names[at[new]] = new_ids
+            table[t] = names.take(at)
             model.update(numbers, new, new_ids)
-    return np.ascontiguousarray(table.T).ravel()[:n_ids]
+    return table.T.astype(np.int32).ravel()[:n_ids]
 
 
 def checksum(data: bytes) -> int:

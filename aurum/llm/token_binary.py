@@ -17,6 +17,7 @@ no file and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -45,11 +46,20 @@ CHUNKS_AT_ONCE = 2048
 STRETCH_IDS = range_coder.LANES * range_coder.BLOCK
 
 
+#: A splitter whose pieces of a plain chunk ``PIECES`` finds too.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Chunks of visible ASCII and of Latin-1's letters with marks: each is one composed character, with a small letter of its own.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class Chunks:
     """The tokenizer's ids of texts, one distinct chunk between ASCII white space at a time.
 
     The tokenizer's normaliser makes any white space a blank, and its splitter drops blanks, so that no
-    token crosses them; ``whole`` texts are encoded at once where a tokenizer doesn't promise that.
+    token crosses them; ``whole`` texts are encoded at once where a tokenizer doesn't promise that.  Plain
+    chunks are made small and split here, and each distinct piece goes to the tokenizer's model once; the
+    whole tokenizer encodes the others.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -64,15 +74,50 @@ class Chunks:
         self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in split] == ["Split", "ByteLevel"] and split[0]["behavior"] == "Removed"
         self.known: dict[bytes, bytes] = {}
         self.special = [t["content"] for t in parts["added_tokens"]]
+        self.by_piece = self.by_chunk and split[0] == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True} \
+            and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+        if self.by_piece:
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters = {k: level.pre_tokenize_str(chr(k))[0][0] for k in range(0xC0, 0x100)}
+            self.pieces: dict[str, bytes] = {}
 
     def _encode(self, rows: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(rows, add_special_tokens=False)]
 
     def _chunks(self, new: list[bytes]) -> list[bytes]:
-        """Ids of chunks, many in one call of the library: blanks part them, and offsets tell which token is whose."""
+        if not self.by_piece:
+            return self._others([x.decode() for x in new])
         out: list[bytes] = []
         for k in range(0, len(new), CHUNKS_AT_ONCE):
             chunks = [x.decode() for x in new[k:k + CHUNKS_AT_ONCE]]
+            plain = list(filter(PLAIN.fullmatch, chunks))
+            joined = " ".join(plain)
+            if any(s in joined for s in self.special):
+                plain = [x for x in plain if not any(s in x for s in self.special)]
+            ids = dict(zip(plain, self._plain(plain), strict=True))
+            others = [x for x in chunks if x not in ids]
+            ids.update(zip(others, self._others(others), strict=True))
+            out.extend(map(ids.__getitem__, chunks))
+        return out
+
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        cut = [PIECES.findall(x.lower()) for x in chunks]
+        needed = set().union(*cut)
+        new = needed.difference(self.pieces)
+        keep_below(self.pieces, len(new), needed)
+        tokens = self.tokenizer.model.tokenize
+        for piece in new:
+            ids = [t.id for t in tokens(piece if piece.isascii() else piece.translate(self.letters))]
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return [b"".join(map(self.pieces.__getitem__, own)) for own in cut]
+
+    def _others(self, new: list[str]) -> list[bytes]:
+        """Ids of chunks, many in one call of the library: blanks part them, and offsets tell which token is whose."""
+        out: list[bytes] = []
+        for k in range(0, len(new), CHUNKS_AT_ONCE):
+            chunks = new[k:k + CHUNKS_AT_ONCE]
             joined = " ".join(chunks)
             if any(s in joined for s in self.special):  # these may take blanks beside them
                 out.extend(self._encode(chunks))
@@ -155,7 +200,7 @@ class TokenWriter(DataSourceArrowWriter):
                     doc_ids.append(doc_id or 0)
                     nulls.append(doc_id is None)
                     sizes.append(len(ids))
-                    held.append(ids.astype(np.int32))
+                    held.append(ids.astype(np.uint16))
                     n_held += len(ids)
                     if n_held >= STRETCH_IDS:
                         own = np.concatenate(held)

@@ -305,6 +305,63 @@ def test_coder_round_trips(ids):
     assert (range_coder.decode(range_coder.encode(x), len(x)) == x).all()
 
 
+def test_coder_sees_many_blocks_in_one_step(monkeypatch):
+    from aurum.llm import range_coder
+
+    made = []
+
+    class Counted(range_coder.Lanes):
+        def __init__(self, n):
+            made.append(n)
+            super().__init__(n)
+
+    monkeypatch.setattr(range_coder, "Lanes", Counted)
+    monkeypatch.setattr(range_coder, "BLOCK", 8)
+    ids = np.random.default_rng(5).integers(0, 40, 2900 * 8).astype(np.int32)
+    assert (range_coder.decode(range_coder.encode(ids), len(ids)) == ids).all()
+    assert made == [2900, 2900]
+
+
+def test_coded_bytes_stay_as_they_were():
+    import zlib as z
+
+    from aurum.llm import range_coder
+
+    rng = np.random.default_rng(7)
+    for ids, crc in ((np.minimum(rng.zipf(1.4, 9000), 49407), 1831240131), (np.repeat(rng.integers(0, 50, 3000), rng.integers(1, 9, 3000)), 3687963117)):
+        assert z.crc32(b"".join(range_coder.encode(ids.astype(np.int32)))) == crc
+
+
+def test_pieces_of_chunks_are_the_librarys():
+    import json
+    import random
+
+    import public_tokenizers
+
+    from aurum.llm.token_binary import Chunks
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        text = f.read()
+    chunks = Chunks(text)
+    letters = list("aAbzZ'stremvldSTREMVLD09.,$#_-<|>éÉßÿÞÀ×÷ªµº²½ΣςİıÅé́İ中я\x00\x1c\x1f\x7f\x85\xa0 \t\n\x0b")
+    letters += ["<|startoftext|>", "<|endoftext|>", "'LL", "ﬁ"]
+    rng = random.Random(3)
+    rows = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(5000)]
+    rows += [f"x{chr(k)}Y" for k in range(0x600)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in chunks.tokenizer.encode_batch(rows, add_special_tokens=False)]
+    assert chunks.encode(rows) == want
+    # a word is one piece, however it is written and whatever stands beside it
+    chunks = Chunks(text)
+    chunks.encode(["Straße straße, STRAßE. (straße)"])
+    assert sorted(chunks.pieces) == ["(", ")", ",", ".", "straße"]
+    # another splitter: nothing is split here
+    other = json.loads(text)
+    other["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[^\\s]+"
+    chunks = Chunks(json.dumps(other))
+    assert not chunks.by_piece
+    assert chunks.encode(rows[:500]) == [np.array(e.ids, "<u4").tobytes() for e in chunks.tokenizer.encode_batch(rows[:500], add_special_tokens=False)]
+
+
 def test_numbers_follow_first_occurrence():
     from aurum.llm import range_coder
 
