@@ -165,3 +165,20 @@ def test_lookups_run_no_job_while_planning(spark):
         assert not sc.statusTracker().getJobIdsForGroup("planning")
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_spread_join_deals_one_key_over_many_tasks(spark):
+    """The tasks of a key's product grow with the partitions; they were 16 at most."""
+    left = spark.createDataFrame([(1, k) for k in range(3000)] + [(2, 7), (2, 7), (None, 8), (3, 9)], "a int, x int")
+    right = spark.createDataFrame([(1, "p"), (1, "q"), (1, "q"), (2, "r"), (2, None), (None, "s"), (4, "t")], "b int, y string")
+    plain = left.join(right, F.col("a") == F.col("b"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, least in ((8, 30), (400, 70)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = L.spread_join(left, right, "a", "b")
+            assert rows(got, "a", "x", "b", "y") == rows(plain, "a", "x", "b", "y")
+            tasks = got.where("a = 1").groupBy(F.spark_partition_id()).count().collect()
+            assert len(tasks) >= least and sum(r["count"] for r in tasks) == 9000, len(tasks)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
